@@ -1,0 +1,8 @@
+"""Streaming.
+
+The workloads this engine reproduces are batch only: they read files, fit
+models and report.  There is no streaming source, sink, watermark or state
+to carry over, so this package is intentionally empty.  Every operator in
+``spindle.operators`` is a plain DataFrame transformation and therefore also
+applies unchanged to a streaming DataFrame where its semantics allow it.
+"""
