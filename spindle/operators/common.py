@@ -41,22 +41,24 @@ def rounded(c: Column | str, digits: int = 6) -> Column:
 
 
 def prefix_sums(df: DataFrame, order_col: str, value_cols: list[str],
-                descending: bool = False, buckets: int = 64) -> DataFrame:
-    """Running totals of ``value_cols`` along ``order_col`` (inclusive),
-    computed without a single-partition window.
+                by: list[str] | None = None, descending: bool = False,
+                buckets: int = 64) -> DataFrame:
+    """Running totals of ``value_cols`` along ``order_col`` (inclusive), per
+    group of ``by``, computed without a single-partition window.
 
-    ``order_col`` must be unique in ``df`` (aggregate ties first).  Rows are
-    range-cut into ``buckets`` by approximate quantiles (a fixed-size sketch),
-    each bucket computes local running sums in parallel, and per-bucket
-    offsets — one row per bucket, a proven size bound — are broadcast back.
+    ``order_col`` must be unique within each group (aggregate ties first).
+    Rows are range-cut into ``buckets`` by approximate quantiles (a
+    fixed-size sketch: at most ``buckets - 1`` numbers reach the driver);
+    each (group, bucket) computes local running sums in parallel; per-bucket
+    offsets — one row per (group, bucket), checked before broadcast — are
+    joined back.
     """
+    by = list(by or [])
     key = F.col(order_col)
-    # Quantile boundaries: at most buckets-1 numbers on the driver.
     probs = [i / buckets for i in range(1, buckets)]
-    bounds = sorted(set(x for x in df.approxQuantile(order_col, probs, 0.001) if x is not None))
+    bounds = sorted({x for x in df.approxQuantile(order_col, probs, 0.001) if x is not None})
     if bounds:
         bound_arr = F.array(*[F.lit(float(b)) for b in bounds])
-        # bucket = number of boundaries strictly below the key
         bucket = F.size(F.filter(bound_arr, lambda b: b < key.cast("double")))
     else:
         bucket = F.lit(0)
@@ -64,17 +66,19 @@ def prefix_sums(df: DataFrame, order_col: str, value_cols: list[str],
         bucket = F.lit(len(bounds)) - bucket
     with_bucket = df.withColumn("_bucket", bucket)
     order = key.desc() if descending else key.asc()
-    local_w = (Window.partitionBy("_bucket").orderBy(order)
+    local_w = (Window.partitionBy(*by, "_bucket").orderBy(order)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = with_bucket.select(
         "*", *[F.sum(c).over(local_w).alias(f"_local_{c}") for c in value_cols])
-    totals = with_bucket.groupBy("_bucket").agg(*[F.sum(c).alias(f"_tot_{c}") for c in value_cols])
-    # Exclusive offsets over at most `buckets` rows.
-    off_w = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    totals = with_bucket.groupBy(*by, "_bucket").agg(
+        *[F.sum(c).alias(f"_tot_{c}") for c in value_cols])
+    off_w = (Window.partitionBy(*by).orderBy("_bucket")
+             .rowsBetween(Window.unboundedPreceding, -1))
     offsets = totals.select(
-        "_bucket", *[F.coalesce(F.sum(f"_tot_{c}").over(off_w), F.lit(0)).alias(f"_off_{c}")
-                     for c in value_cols])
-    out = local.join(F.broadcast(offsets), "_bucket")
+        *by, "_bucket",
+        *[F.coalesce(F.sum(f"_tot_{c}").over(off_w), F.lit(0)).alias(f"_off_{c}")
+          for c in value_cols])
+    out = local.join(broadcast_if_small(offsets), [*by, "_bucket"])
     return out.select(
         *[F.col(c) for c in df.columns],
         *[(F.col(f"_local_{c}") + F.col(f"_off_{c}")).alias(f"cum_{c}") for c in value_cols])
