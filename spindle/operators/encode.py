@@ -147,8 +147,11 @@ def encoding_pipeline(categorical: list[str], numeric: list[str], features_col:
     if categorical:
         stages.append(StringIndexer(inputCols=categorical, outputCols=idx, handleInvalid=handle_invalid,
                                     stringOrderType="frequencyDesc"))
+        # With handleInvalid='keep' the indexer already maps unseen values to
+        # index k (its '__unknown' level); drop-last then removes exactly that
+        # slot, so an unseen value encodes as all zeros.
         stages.append(OneHotEncoder(inputCols=idx, outputCols=vec, dropLast=drop_last,
-                                    handleInvalid="keep" if handle_invalid == "keep" else "error"))
+                                    handleInvalid="error"))
     if label:
         stages.append(StringIndexer(inputCol=label, outputCol=label_out, handleInvalid="skip"))
     stages.append(VectorAssembler(inputCols=vec + numeric, outputCol=features_col, handleInvalid="keep"))
