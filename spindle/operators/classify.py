@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spindle.functions.vectors import vector_element
+from spindle.operators.common import ensure_parallelism
 
 
 def fit_logistic(df: DataFrame, features_col: str, label_col: str, reg_param: float = 0.0,
@@ -26,6 +27,8 @@ def fit_logistic(df: DataFrame, features_col: str, label_col: str, reg_param: fl
               elasticNetParam=elastic_net, family="binomial")
     if weight_col:
         kw["weightCol"] = weight_col
+    # L-BFGS steps are bounded by aggregating a dense gradient per partition,
+    # so the input keeps its own partitioning (no forced fan-out).
     return LogisticRegression(**kw).fit(df)
 
 
@@ -36,7 +39,7 @@ def fit_decision_tree(df: DataFrame, features_col: str, label_col: str, max_dept
     kw = dict(featuresCol=features_col, labelCol=label_col, maxDepth=max_depth, seed=seed)
     if weight_col:
         kw["weightCol"] = weight_col
-    return DecisionTreeClassifier(**kw).fit(df)
+    return DecisionTreeClassifier(**kw).fit(ensure_parallelism(df))
 
 
 def fit_random_forest(df: DataFrame, features_col: str, label_col: str, num_trees: int = 20,
@@ -47,7 +50,7 @@ def fit_random_forest(df: DataFrame, features_col: str, label_col: str, num_tree
               seed=seed)
     if weight_col:
         kw["weightCol"] = weight_col
-    return RandomForestClassifier(**kw).fit(df)
+    return RandomForestClassifier(**kw).fit(ensure_parallelism(df))
 
 
 def feature_names(df: DataFrame, features_col: str) -> list[str]:
@@ -97,14 +100,21 @@ def positive_probability(df: DataFrame, prob_col: str = "probability", out: str
 
 
 def fit_multilabel(train: DataFrame, features_col: str, labels: list[str], reg_param: float = 0.1,
-                   max_iter: int = 100) -> dict:
+                   max_iter: int = 100, parallelism: int = 4) -> dict:
     """One binary model per label column (K7).  The caller persists the
-    feature frame once; every fit reads it."""
-    models = {}
-    for lab in labels:
+    feature frame once; every fit reads it.  Up to ``parallelism`` fits run
+    as concurrent Spark jobs from driver threads (each optimiser step is a
+    small job, so the cluster would otherwise idle between steps)."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    def fit_one(lab):
         rows = train.filter(F.col(lab).isNotNull())
-        models[lab] = fit_logistic(rows, features_col, lab, reg_param=reg_param, max_iter=max_iter)
-    return models
+        return lab, fit_logistic(rows, features_col, lab, reg_param=reg_param, max_iter=max_iter)
+
+    workers = max(1, min(parallelism, len(labels)))
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        done = dict(pool.map(fit_one, labels))
+    return {lab: done[lab] for lab in labels}
 
 
 def score_multilabel(models: dict, df: DataFrame, id_col: str, features_col: str,

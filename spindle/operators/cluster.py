@@ -4,16 +4,17 @@ global k-means (K1, K2).
 Per-group k-means fits one independent model per group value, all groups at
 once.  Each iteration is one job:
 
-* the centre table (groups × k rows, model-sized) is collapsed to one row per
-  group holding an array of centres and joined to the points — broadcast when
+* the centre table (groups × k rows, model-sized) is laid out as one row per
+  group with k×d centre columns and joined to the points — broadcast when
   its row count is proven small, otherwise a shuffle join that AQE's skew
   handling splits for a hot group;
-* each point takes the nearest centre (ties → lowest cluster id) with
-  higher-order functions, no Python;
+* each point takes the nearest centre (ties → lowest cluster id) through
+  plain arithmetic over k×d centre columns and ``least`` — inside
+  whole-stage codegen, no Python;
 * new centres are means per (group, cluster): a partial aggregate on the map
   side, so even a group holding a third of all rows shuffles only one partial
   row per task;
-* the new centres are checkpointed into the shared folder, so lineage never
+* the new centres are written as a Parquet table into the shared checkpoint folder, so lineage never
   grows with the iteration count.
 
 Start centres are deterministic: per group, the k distinct points with the
@@ -30,7 +31,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spindle.operators.common import BROADCAST_ROW_LIMIT, checkpointed, row_count_at_most
+from spindle.operators.common import (BROADCAST_ROW_LIMIT, ensure_parallelism, materialized,
+                                      row_count_at_most)
 
 
 def point_hash(features: list[str]) -> Column:
@@ -40,49 +42,55 @@ def point_hash(features: list[str]) -> Column:
     return F.md5(F.concat_ws("|", *parts))
 
 
-def _squared_distance(center: Column, features: list[str]) -> Column:
-    terms = [(F.col(c) - center[f"f{i}"]) * (F.col(c) - center[f"f{i}"])
-             for i, c in enumerate(features)]
-    total = terms[0]
-    for t in terms[1:]:
-        total = total + t
-    return total
+def _wide_centers(centers: DataFrame, group_col: str, features: list[str], k: int) -> DataFrame:
+    """One row per group with the k centres as k×d plain columns
+    ``_c{j}_{i}`` (NULL where a group has fewer than k centres)."""
+    return centers.groupBy(group_col).agg(*[
+        F.max(F.when(F.col("cluster") == j, F.col(c))).alias(f"_c{j}_{i}")
+        for j in range(k) for i, c in enumerate(features)])
+
+
+def _nearest(features: list[str], k: int) -> Column:
+    """Index of the nearest centre; ties go to the lowest index.  Plain
+    arithmetic and ``least`` over (distance, index) structs, so the whole
+    assignment stays inside whole-stage codegen."""
+    inf = F.lit(float("inf"))
+    cands = []
+    for j in range(k):
+        terms = [(F.col(c) - F.col(f"_c{j}_{i}")) * (F.col(c) - F.col(f"_c{j}_{i}"))
+                 for i, c in enumerate(features)]
+        d = terms[0]
+        for t in terms[1:]:
+            d = d + t
+        cands.append(F.struct(F.coalesce(d, inf).alias("d"), F.lit(j).alias("cluster")))
+    return (F.least(*cands) if len(cands) > 1 else cands[0])["cluster"]
 
 
 @dataclass
 class GroupedKMeansModel:
-    centers: DataFrame          # group, cluster, <features>  (checkpointed)
+    centers: DataFrame          # group, cluster, <features>  (materialised)
     group_col: str
     features: list[str]
+    k: int
     iterations: int
     broadcast_centers: bool
 
     def assign(self, points: DataFrame, out_col: str = "cluster") -> DataFrame:
-        return assign_clusters(points, self.centers, self.group_col, self.features,
+        return assign_clusters(points, self.centers, self.group_col, self.features, self.k,
                                out_col, self.broadcast_centers)
 
 
-def _centers_by_group(centers: DataFrame, group_col: str, features: list[str]) -> DataFrame:
-    entry = F.struct(F.col("cluster").alias("cluster"),
-                     *[F.col(c).alias(f"f{i}") for i, c in enumerate(features)])
-    return (centers.groupBy(group_col)
-            .agg(F.array_sort(F.collect_list(entry)).alias("_centers")))
-
-
 def assign_clusters(points: DataFrame, centers: DataFrame, group_col: str,
-                    features: list[str], out_col: str = "cluster",
+                    features: list[str], k: int, out_col: str = "cluster",
                     broadcast: bool | None = None) -> DataFrame:
     """Attach the nearest centre id to every point of its own group."""
-    by_group = _centers_by_group(centers, group_col, features)
+    wide = _wide_centers(centers, group_col, features, k)
     if broadcast is None:
-        broadcast = row_count_at_most(by_group, BROADCAST_ROW_LIMIT)
-    side = F.broadcast(by_group) if broadcast else by_group
+        broadcast = row_count_at_most(wide, BROADCAST_ROW_LIMIT)
+    side = F.broadcast(wide) if broadcast else wide
     joined = points.join(side, group_col, "inner")
-    nearest = F.array_min(F.transform(
-        "_centers",
-        lambda c: F.struct(_squared_distance(c, features).alias("d"),
-                           c["cluster"].alias("cluster"))))
-    return joined.withColumn(out_col, nearest["cluster"]).drop("_centers")
+    center_cols = [f"_c{j}_{i}" for j in range(k) for i in range(len(features))]
+    return joined.withColumn(out_col, _nearest(features, k)).drop(*center_cols)
 
 
 def initial_centers(points: DataFrame, group_col: str, features: list[str], k: int) -> DataFrame:
@@ -108,15 +116,15 @@ def fit_grouped_kmeans(df: DataFrame, group_col: str, features: list[str], k: in
     this only stops once the fit has reached its fixed point, so the result
     equals running all ``max_iter`` steps).
     """
-    points = (df.select(group_col, *[F.col(c).cast("double").alias(c) for c in features])
-              .na.drop())
+    points = ensure_parallelism(
+        df.select(group_col, *[F.col(c).cast("double").alias(c) for c in features]).na.drop())
     if persist:
         points = points.persist(StorageLevel.MEMORY_AND_DISK)
-    centers = checkpointed(initial_centers(points, group_col, features, k))
+    centers = materialized(initial_centers(points, group_col, features, k), "kmeans-init")
     use_broadcast = row_count_at_most(centers, BROADCAST_ROW_LIMIT)
     it = 0
     for it in range(1, max_iter + 1):
-        assigned = assign_clusters(points, centers, group_col, features, "cluster", use_broadcast)
+        assigned = assign_clusters(points, centers, group_col, features, k, "cluster", use_broadcast)
         means = (assigned.groupBy(group_col, "cluster")
                  .agg(*[F.avg(c).alias(c) for c in features]))
         if digits is not None:
@@ -131,14 +139,14 @@ def fit_grouped_kmeans(df: DataFrame, group_col: str, features: list[str], k: in
                           F.greatest(*[F.abs(F.coalesce(F.col(c), F.col(f"_old_{c}"))
                                              - F.col(f"_old_{c}")) for c in features]
                                      + [F.lit(0.0)]).alias("_shift")))
-        merged = checkpointed(merged)
+        merged = materialized(merged, f"kmeans-iter{it}")
         shift = merged.agg(F.max("_shift")).first()[0]
         centers = merged.drop("_shift")
         if shift is None or shift <= tol:
             break
     if persist:
         points.unpersist()
-    return GroupedKMeansModel(centers, group_col, features, it, use_broadcast)
+    return GroupedKMeansModel(centers, group_col, features, k, it, use_broadcast)
 
 
 def cluster_sizes(model: GroupedKMeansModel, df: DataFrame) -> DataFrame:

@@ -22,16 +22,30 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataF
     return F.broadcast(df) if row_count_at_most(df, limit) else df
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and cut its lineage.
+def materialized(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it
+    back: lineage is cut, the data survives executor loss (it lives in the
+    shared folder, not in executor memory), and the planner sees its real
+    size.  Used for model-sized state read many times (centres, IDF)."""
+    from spindle.session import shared_path
+    path = shared_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
-    Used for model-sized tables that later stages read many times (centres,
-    vocabularies).  Survives executor loss: the data lives in the shared
-    folder, not in executor memory.
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread ``df`` over at least ``min_partitions`` (default: the cluster's
+    default parallelism) before CPU-heavy or iterative work.
+
+    Reading a few large row groups can leave a scan with fewer partitions
+    than cores; every later narrow step then runs on those few tasks.  Only
+    in that case a round-robin repartition is added; a frame that already
+    has enough partitions (the normal case on a big input) is returned as is.
     """
-    from spindle.session import checkpoint_root
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
 
 
 def rounded(c: Column | str, digits: int = 6) -> Column:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spindle.operators.common import broadcast_if_small, prefix_sums
+from spindle.operators.common import broadcast_if_small, materialized, prefix_sums
 
 
 def _c(c: Column | str) -> Column:
@@ -72,7 +72,9 @@ def _curve(df: DataFrame, label: str, score: str, by: list[str]) -> tuple[DataFr
     keys = by or ["_all"]
     if not by:
         df = df.withColumn("_all", F.lit(1))
-    counts = _score_counts(df, label, score, keys)
+    # distinct scores are read three times below (sketch, running sums,
+    # totals): materialise them once instead of re-running the aggregate
+    counts = materialized(_score_counts(df, label, score, keys), "score-counts")
     cum = prefix_sums(counts, "_s", ["pos", "neg"], by=keys, descending=True)
     totals = counts.groupBy(*keys).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     return cum.join(broadcast_if_small(totals), keys, "inner"), keys

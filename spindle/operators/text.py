@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spindle.functions.stopwords import ENGLISH_STOP_WORDS
-from spindle.operators.common import broadcast_if_small, checkpointed
+from spindle.operators.common import broadcast_if_small, materialized
 
 NUM_HASH_FEATURES = 1 << 18       # HashingTF's default
 
@@ -33,11 +33,12 @@ def tokens(c: Column | str, drop_empty: bool = True) -> Column:
 
 
 def without_stop_words(c: Column | str, words: list[str] | None = None) -> Column:
-    """Drop stop words from a token array (E2) as a JVM expression: the list
-    is a literal set, so no join or shuffle is involved."""
+    """Drop stop words from a token array (E2), case-insensitively, as a JVM
+    expression.  The literal list is planned as a hash set (``InSet``), so a
+    token costs one lookup; no join or shuffle is involved."""
     col = F.col(c) if isinstance(c, str) else c
-    stop = F.array(*[F.lit(w) for w in (words or ENGLISH_STOP_WORDS)])
-    return F.filter(col, lambda t: ~F.array_contains(stop, F.lower(t)))
+    stop = list(words or ENGLISH_STOP_WORDS)
+    return F.filter(col, lambda t: ~F.lower(t).isin(*stop))
 
 
 def stop_words_remover(input_col: str, output_col: str):
@@ -83,12 +84,12 @@ def fit_idf(docs: DataFrame, tokens_col: str, min_doc_freq: int = 0) -> IdfTable
 
     N counts every training document, also those without a term; document
     frequency counts distinct terms per document (a partial aggregate per
-    term).  The table is checkpointed: it is model state reused by every
-    later transform.
+    term).  The table is materialised in the shared folder: it is model
+    state reused by every later transform.
     """
-    n_docs = docs.count()
+    n_docs = docs.count()          # column-pruned: no tokenising needed
     table = (docs.select(F.explode(F.array_distinct(tokens_col)).alias("term"))
              .groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
              .filter(F.col("doc_freq") >= min_doc_freq)
              .withColumn("idf", F.log((F.lit(n_docs) + 1.0) / (F.col("doc_freq") + 1.0))))
-    return IdfTable(checkpointed(table), n_docs)
+    return IdfTable(materialized(table, "idf"), n_docs)

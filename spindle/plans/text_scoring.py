@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from spindle.functions.text import clean_text
 from spindle.operators.classify import fit_multilabel, positive_probability, score_multilabel
 from spindle.operators.text import hashing_tf, stop_words_remover, tokens
+from spindle.operators.common import ensure_parallelism
 from spindle.sources import load_table
 
 LABELS = ["quality", "toxic"]
@@ -22,7 +23,7 @@ REG_PARAM = 0.1
 def featurize(docs: DataFrame, text_col: str = "text"):
     """clean → tokens → stop words → hashed TF; returns the frame with
     ``tf``.  (IDF is fitted separately, on training rows.)"""
-    words = docs.withColumn("tokens", tokens(clean_text(text_col)))
+    words = ensure_parallelism(docs).withColumn("tokens", tokens(clean_text(text_col)))
     words = stop_words_remover("tokens", "words").transform(words)
     return hashing_tf("words", "tf").transform(words)
 

@@ -8,11 +8,12 @@ from spindle.functions.stopwords import ENGLISH_STOP_WORDS
 from spindle.functions.text import clean_text
 from spindle.operators.text import (fit_idf, hashing_tf, term_frequency, tokens,
                                     without_stop_words)
+from spindle.operators.common import ensure_parallelism
 from spindle.sources import load_table
 
 
 def cleaned_docs(spark, sf_dir, extra: list[str] | None = None):
-    docs = load_table(spark, sf_dir, "documents", ["doc_id", "text", *(extra or [])])
+    docs = ensure_parallelism(load_table(spark, sf_dir, "documents", ["doc_id", "text", *(extra or [])]))
     return docs.select("doc_id", *(extra or []), clean_text("text").alias("clean"))
 
 
