@@ -123,15 +123,19 @@ def chi2_statistics(df: DataFrame, label: str, features: list[str]) -> DataFrame
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value"))
         for c in features])).alias("p")).select("_y", "p.*")
     cells = pairs.groupBy("feature", "value", "_y").agg(F.count(F.lit(1)).alias("o"))
-    wf, wv, wy = (Window.partitionBy("feature"), Window.partitionBy("feature", "value"),
-                  Window.partitionBy("feature", "_y"))
-    cells = (cells.withColumn("n", F.sum("o").over(wf))
-             .withColumn("nv", F.sum("o").over(wv))
-             .withColumn("ny", F.sum("o").over(wy)))
+    # Row margin per (feature, value): a window over that value's few label
+    # cells, spread over many tasks.  Column margins per (feature, label) and
+    # totals per feature are tiny (features × labels rows) and joined back,
+    # so no step ever holds all cells of one feature in one task.
+    cells = cells.withColumn("nv", F.sum("o").over(Window.partitionBy("feature", "value")))
+    ny = cells.groupBy("feature", "_y").agg(F.sum("o").alias("ny"))
+    n = cells.groupBy("feature").agg(F.sum("o").alias("n"), F.countDistinct("_y").alias("n_labels"))
+    cells = (cells.join(broadcast_if_small(ny), ["feature", "_y"])
+             .join(broadcast_if_small(n), "feature"))
     e = F.col("nv") * F.col("ny") / F.col("n")
     return cells.groupBy("feature").agg(
         (F.sum(F.col("o") * F.col("o") / e) - F.first("n")).alias("statistic"),
-        ((F.countDistinct("value") - 1) * (F.countDistinct("_y") - 1)).alias("dof"))
+        ((F.countDistinct("value") - 1) * (F.first("n_labels") - 1)).alias("dof"))
 
 
 def encoding_pipeline(categorical: list[str], numeric: list[str], features_col: str = "features",
