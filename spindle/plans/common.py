@@ -13,7 +13,10 @@ from spindle.operators import evaluate
 def metrics_by_split(scored: DataFrame, label: str, score: str = "p1",
                      prediction: str = "prediction") -> DataFrame:
     """One row per split: confusion counts, derived rates, accuracy %, and
-    areas under ROC and PR.  ``scored`` carries a ``split`` column."""
+    areas under ROC and PR.  ``scored`` carries a ``split`` column.  Only the
+    three columns the metrics read are kept and cached (they are read by
+    four aggregations); a lost cache block is recomputed from lineage."""
+    scored = scored.select(F.col(label).cast("double").alias(label), score, prediction, "split").persist()
     conf = evaluate.derived_metrics(evaluate.confusion_counts(scored, label, prediction, ["split"]))
     acc = evaluate.accuracy_rate(scored, label, prediction, ["split"])
     roc = evaluate.area_under_roc(scored, label, score, ["split"])

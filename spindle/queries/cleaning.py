@@ -105,15 +105,24 @@ QUERIES = {
 SELECT c_custkey, c_nationkey, c_acctbal, c_mktsegment, round(c_acctbal / 1000.0, 6) AS acctbal_k
 FROM customer"""),
     "group_filter_dropna": (q_group_filter_dropna, """
-SELECT event_id, event_type, value FROM events
-WHERE event_type IN ('click', 'purchase') AND event_id % 7 <> 0 AND value IS NOT NULL"""),
+WITH marked AS (
+  SELECT event_id, event_type, CASE WHEN event_id % 7 = 0 THEN NULL ELSE value END AS value FROM events)
+SELECT event_id, event_type, value FROM marked
+WHERE event_type IN ('click', 'purchase') AND event_id IS NOT NULL AND event_type IS NOT NULL
+  AND value IS NOT NULL"""),
     "sentinel_filter_cast": (q_sentinel_filter_cast, """
-SELECT c_custkey, c_nationkey, c_acctbal FROM customer
-WHERE c_custkey % 10 <> 0 AND c_custkey % 13 <> 0"""),
+WITH marked AS (
+  SELECT c_custkey,
+         CASE WHEN c_custkey % 10 = 0 THEN 'NA' ELSE CAST(c_acctbal AS VARCHAR) END AS c_acctbal,
+         CASE WHEN c_custkey % 13 = 0 THEN 'NA' ELSE CAST(c_nationkey AS VARCHAR) END AS c_nationkey
+  FROM customer)
+SELECT c_custkey, TRY_CAST(c_nationkey AS INTEGER) AS c_nationkey, TRY_CAST(c_acctbal AS DOUBLE) AS c_acctbal
+FROM marked WHERE coalesce(c_acctbal <> 'NA', false) AND coalesce(c_nationkey <> 'NA', false)"""),
     "labels_complete": (q_labels_complete, """
+WITH marked AS (SELECT doc_id, CASE WHEN doc_id % 9 = 0 THEN NULL ELSE quality END AS quality, toxic FROM labels)
 SELECT l.doc_id, l.quality, l.toxic, d.lang, d.n_chars
-FROM labels l JOIN documents d ON l.doc_id = d.doc_id
-WHERE l.doc_id % 9 <> 0 AND l.quality IS NOT NULL AND l.toxic IS NOT NULL"""),
+FROM marked l JOIN documents d ON l.doc_id = d.doc_id
+WHERE l.quality IS NOT NULL AND l.toxic IS NOT NULL"""),
     "fill_constant": (q_fill_constant, """
 SELECT o_orderkey, o_orderstatus,
        CASE WHEN o_orderkey % 11 = 0 THEN 'UNKNOWN' ELSE o_orderpriority END AS o_orderpriority,

@@ -69,7 +69,9 @@ QUERIES = {
     "shape_report": (q_shape_report, """
 SELECT 'raw' AS stage, count(*) AS n_rows, 5 AS n_cols FROM customer
 UNION ALL
-SELECT 'clean' AS stage, count(*) AS n_rows, 5 AS n_cols FROM customer WHERE c_custkey % 10 <> 0"""),
+SELECT 'clean' AS stage, count(*) AS n_rows, 5 AS n_cols FROM
+  (SELECT CASE WHEN c_custkey % 10 = 0 THEN 'NA' ELSE CAST(c_acctbal AS VARCHAR) END AS c_acctbal FROM customer)
+WHERE coalesce(c_acctbal <> 'NA', false)"""),
     "expr_predicate_count": (q_expr_predicate_count,
                              "SELECT count(*) AS n_rows FROM labels WHERE toxic = 1"),
     "class_distribution": (q_class_distribution, """
