@@ -54,14 +54,19 @@ def rounded(c: Column | str, digits: int = 6) -> Column:
     return F.round(F.col(c) if isinstance(c, str) else c, digits)
 
 
+# Up to this many rows, running totals use one window per group directly.
+PREFIX_DIRECT_LIMIT = 500_000
+
+
 def prefix_sums(df: DataFrame, order_col: str, value_cols: list[str],
                 by: list[str] | None = None, descending: bool = False,
-                buckets: int = 64) -> DataFrame:
+                buckets: int = 64, direct_limit: int = PREFIX_DIRECT_LIMIT) -> DataFrame:
     """Running totals of ``value_cols`` along ``order_col`` (inclusive), per
     group of ``by``, computed without a single-partition window.
 
     ``order_col`` must be unique within each group (aggregate ties first).
-    Rows are range-cut into ``buckets`` by approximate quantiles (a
+    A table proven to hold at most ``direct_limit`` rows uses one running
+    window per group.  Larger tables: rows are range-cut into ``buckets`` by approximate quantiles (a
     fixed-size sketch: at most ``buckets - 1`` numbers reach the driver);
     each (group, bucket) computes local running sums in parallel; per-bucket
     offsets — one row per (group, bucket), checked before broadcast — are
@@ -69,6 +74,11 @@ def prefix_sums(df: DataFrame, order_col: str, value_cols: list[str],
     """
     by = list(by or [])
     key = F.col(order_col)
+    order = key.desc() if descending else key.asc()
+    if row_count_at_most(df, direct_limit):
+        # proven small: a plain running window is cheaper than the sketch
+        w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.select("*", *[F.sum(c).over(w).alias(f"cum_{c}") for c in value_cols])
     probs = [i / buckets for i in range(1, buckets)]
     bounds = sorted({x for x in df.approxQuantile(order_col, probs, 0.001) if x is not None})
     if bounds:
@@ -79,7 +89,6 @@ def prefix_sums(df: DataFrame, order_col: str, value_cols: list[str],
     if descending:
         bucket = F.lit(len(bounds)) - bucket
     with_bucket = df.withColumn("_bucket", bucket)
-    order = key.desc() if descending else key.asc()
     local_w = (Window.partitionBy(*by, "_bucket").orderBy(order)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = with_bucket.select(

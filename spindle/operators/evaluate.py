@@ -108,6 +108,25 @@ def area_under_pr(df: DataFrame, label: str, score: str, by: list[str] | None =
     return out if by else out.drop("_all")
 
 
+def curve_areas(df: DataFrame, label: str, score: str, by: list[str] | None = None,
+                digits: int | None = 6) -> DataFrame:
+    """Both areas (ROC and PR) from one pass over the distinct-threshold
+    curve: ``(*by, auc_roc, auc_pr)``."""
+    cur, keys = _curve(df, label, score, by or [])
+    tp, fp = F.col("cum_pos"), F.col("cum_neg")
+    roc_term = F.col("neg") * (tp * 2 - F.col("pos")) / 2.0
+    prec = tp / (tp + fp)
+    prev_tp, prev_fp = tp - F.col("pos"), fp - F.col("neg")
+    prev_prec = F.when(prev_tp + prev_fp == 0, prec).otherwise(prev_tp / (prev_tp + prev_fp))
+    pr_term = F.col("pos") * (prec + prev_prec) / 2.0
+    roc = F.try_divide(F.sum(roc_term), F.first("P") * F.first("N"))
+    pr = F.try_divide(F.sum(pr_term), F.first("P").cast("double"))
+    if digits is not None:
+        roc, pr = F.round(roc, digits), F.round(pr, digits)
+    out = cur.groupBy(*keys).agg(roc.alias("auc_roc"), pr.alias("auc_pr"))
+    return out if by else out.drop("_all")
+
+
 def evaluator_metric(df: DataFrame, label: str, raw: str = "rawPrediction",
                      metric: str = "areaUnderROC", exact: bool = True) -> float:
     """MLlib's BinaryClassificationEvaluator (parity path); ``exact`` sets

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,11 +15,14 @@ def metrics_by_split(scored: DataFrame, label: str, score: str = "p1",
     three columns the metrics read are kept and cached (they are read by
     four aggregations); a lost cache block is recomputed from lineage."""
     scored = scored.select(F.col(label).cast("double").alias(label), score, prediction, "split").persist()
-    conf = evaluate.derived_metrics(evaluate.confusion_counts(scored, label, prediction, ["split"]))
-    acc = evaluate.accuracy_rate(scored, label, prediction, ["split"])
-    roc = evaluate.area_under_roc(scored, label, score, ["split"])
-    pr = evaluate.area_under_pr(scored, label, score, ["split"])
-    return reduce(lambda a, b: a.join(b, "split", "left"), [conf, acc, roc, pr])
+    y, p = F.col(label), F.col(prediction).cast("double")
+    counts = scored.groupBy("split").agg(
+        F.count_if((y == 1) & (p == 1)).alias("tp"), F.count_if((y == 0) & (p == 0)).alias("tn"),
+        F.count_if((y == 0) & (p == 1)).alias("fp"), F.count_if((y == 1) & (p == 0)).alias("fn"),
+        F.round(F.avg(F.when(y == p, 1.0).otherwise(0.0)) * 100.0, 6).alias("accuracy_pct"))
+    conf = evaluate.derived_metrics(counts)
+    areas = evaluate.curve_areas(scored, label, score, ["split"])
+    return conf.join(areas, "split", "left")
 
 
 def with_split(df: DataFrame, name: str) -> DataFrame:

@@ -50,7 +50,7 @@ def prepare(df: DataFrame):
         frame = frame.withColumn("country", clean.collapse_category("n_name", "NATION_0", "Not-0"))
         return frame.withColumn("label", clean.binary_label("income", "<=5K").cast("double"))
 
-    train, test = shape(train), shape(test)
+    train, test = shape(train).persist(), shape(test)   # read by every estimator fit
     pipe = encode.encoding_pipeline(CATEGORICAL, NUMERIC, handle_invalid="keep").fit(train)
     keep = ["c_custkey", "label", "features"]
     return pipe.transform(train).select(*keep), pipe.transform(test).select(*keep)

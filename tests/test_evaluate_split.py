@@ -56,3 +56,21 @@ def test_hash_sample_and_preview(spark):
     s2 = [r.k for r in split.hash_sample(base.repartition(5), ["k"], 10).collect()]
     assert s1 == s2 and len(s1) == 10
     assert [r.k for r in split.preview(base, ["k"], 3).collect()] == [0, 1, 2]
+
+
+def test_prefix_sums_bucketed_path_equals_direct(spark):
+    from spindle.operators.common import prefix_sums
+    rows = [("a" if i % 3 else "b", float(i), i % 5) for i in range(3000)]
+    df = spark.createDataFrame(rows, "g string, s double, v int")
+    direct = {(r.g, r.s): r.cum_v for r in prefix_sums(df, "s", ["v"], by=["g"], descending=True).collect()}
+    bucketed = {(r.g, r.s): r.cum_v for r in
+                prefix_sums(df, "s", ["v"], by=["g"], descending=True, buckets=16, direct_limit=10).collect()}
+    assert direct == bucketed
+
+
+def test_curve_areas_equal_single_metrics(spark):
+    rows = [(i % 2, float((i * 37) % 11)) for i in range(400)]
+    df = spark.createDataFrame(rows, "y int, s double")
+    both = evaluate.curve_areas(df, "y", "s").first()
+    assert both.auc_roc == evaluate.area_under_roc(df, "y", "s").first().auc_roc
+    assert both.auc_pr == evaluate.area_under_pr(df, "y", "s").first().auc_pr
