@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spindle.operators.common import (BROADCAST_ROW_LIMIT, ensure_parallelism, materialized,
-                                      row_count_at_most)
+                                      row_count_at_most, skew_split_join)
 
 
 def point_hash(features: list[str]) -> Column:
@@ -87,8 +87,11 @@ def assign_clusters(points: DataFrame, centers: DataFrame, group_col: str,
     wide = _wide_centers(centers, group_col, features, k)
     if broadcast is None:
         broadcast = row_count_at_most(wide, BROADCAST_ROW_LIMIT)
-    side = F.broadcast(wide) if broadcast else wide
-    joined = points.join(side, group_col, "inner")
+    if broadcast:
+        joined = points.join(F.broadcast(wide), group_col, "inner")
+    else:
+        # very many groups: hot groups still avoid a single-task join
+        joined = skew_split_join(points, wide, [group_col], "inner")
     center_cols = [f"_c{j}_{i}" for j in range(k) for i in range(len(features))]
     return joined.withColumn(out_col, _nearest(features, k)).drop(*center_cols)
 
@@ -106,7 +109,8 @@ def initial_centers(points: DataFrame, group_col: str, features: list[str], k: i
 
 def fit_grouped_kmeans(df: DataFrame, group_col: str, features: list[str], k: int = 4,
                        max_iter: int = 20, tol: float = 0.0, digits: int | None = 6,
-                       persist: bool = True) -> GroupedKMeansModel:
+                       persist: bool = True,
+                       broadcast_limit: int = BROADCAST_ROW_LIMIT) -> GroupedKMeansModel:
     """Fit k-means per value of ``group_col`` on ``features``.
 
     Rows with a NULL group or feature are dropped (the reference's
@@ -121,7 +125,7 @@ def fit_grouped_kmeans(df: DataFrame, group_col: str, features: list[str], k: in
     if persist:
         points = points.persist(StorageLevel.MEMORY_AND_DISK)
     centers = materialized(initial_centers(points, group_col, features, k), "kmeans-init")
-    use_broadcast = row_count_at_most(centers, BROADCAST_ROW_LIMIT)
+    use_broadcast = row_count_at_most(centers, broadcast_limit)
     it = 0
     for it in range(1, max_iter + 1):
         assigned = assign_clusters(points, centers, group_col, features, k, "cluster", use_broadcast)

@@ -22,6 +22,37 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataF
     return F.broadcast(df) if row_count_at_most(df, limit) else df
 
 
+# Keys of the big side that get the broadcast treatment in a split join.
+HOT_KEY_LIMIT = 10_000
+
+
+def skew_split_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner",
+                    broadcast_limit: int = BROADCAST_ROW_LIMIT,
+                    hot_limit: int = HOT_KEY_LIMIT) -> DataFrame:
+    """Join ``big`` to ``small`` on ``keys`` so that no key, however hot,
+    lands in a single task.
+
+    * ``small`` proven to fit the broadcast bound → one broadcast join.
+    * Otherwise the ``hot_limit`` heaviest keys of ``big`` are found with a
+      partial aggregate and a top-k (at most ``hot_limit`` rows).  Rows with
+      a hot key are joined to the matching slice of ``small`` by broadcast
+      (that slice is size-checked too); the remaining, cold rows take a
+      shuffle join in which every key holds a bounded share of the rows.
+    ``how`` is ``inner`` or ``left`` (rows of ``big`` are kept).
+    """
+    if row_count_at_most(small, broadcast_limit):
+        return big.join(F.broadcast(small), keys, how)
+    heavy = materialized(
+        big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        .orderBy(F.col("_n").desc()).limit(hot_limit).select(*keys), "hot-keys")
+    hot_small = small.join(F.broadcast(heavy), keys, "left_semi")
+    if not row_count_at_most(hot_small, broadcast_limit):
+        return big.join(small, keys, how)          # AQE skew-join remains the fallback
+    hot = big.join(F.broadcast(heavy), keys, "left_semi").join(F.broadcast(hot_small), keys, how)
+    cold = big.join(F.broadcast(heavy), keys, "left_anti").join(small, keys, how)
+    return hot.unionByName(cold)
+
+
 def materialized(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it
     back: lineage is cut, the data survives executor loss (it lives in the

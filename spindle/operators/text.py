@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spindle.functions.stopwords import ENGLISH_STOP_WORDS
-from spindle.operators.common import broadcast_if_small, materialized
+from spindle.operators.common import materialized, skew_split_join
 
 NUM_HASH_FEATURES = 1 << 18       # HashingTF's default
 
@@ -68,8 +68,7 @@ class IdfTable:
         """``(id, term, tf, idf, tfidf)``; a term unseen at fit time has
         doc_freq 0, i.e. idf = ln((N+1)/1), as the vector IDF gives."""
         unseen = float(_idf(self.n_docs, 0))
-        side = broadcast_if_small(self.table.select("term", "idf"))
-        out = tf.join(side, "term", "left")
+        out = skew_split_join(tf, self.table.select("term", "idf"), ["term"], "left")
         out = out.withColumn("idf", F.coalesce(F.col("idf"), F.lit(unseen)))
         return out.withColumn("tfidf", F.col("tf") * F.col("idf"))
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from spindle.operators import clean, encode, profile, split
 from spindle.operators.classify import (fit_decision_tree, fit_logistic, fit_random_forest,
                                         positive_probability)
-from spindle.operators.common import broadcast_if_small
+from spindle.operators.common import skew_split_join
 from spindle.plans.common import metrics_by_split
 from spindle.sources import load_table
 
@@ -29,7 +29,8 @@ def risk_frame(spark, sf_dir) -> DataFrame:
     orders = load_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus",
                                                   "o_totalprice", "o_orderdate", "o_orderpriority"])
     cust = load_table(spark, sf_dir, "customer", ["c_custkey", "c_acctbal", "c_mktsegment"])
-    df = orders.join(broadcast_if_small(cust), orders.o_custkey == cust.c_custkey, "inner")
+    # a customer may own a large share of all orders: split join on hot keys
+    df = skew_split_join(orders, cust.withColumnRenamed("c_custkey", "o_custkey"), ["o_custkey"], "inner")
     df = df.select("o_orderkey", (F.col("o_orderstatus") == "F").cast("int").alias(LABEL),
                    "o_orderpriority", "c_mktsegment", "o_totalprice", "c_acctbal",
                    F.year("o_orderdate").cast("double").alias("order_year"))

@@ -69,3 +69,10 @@ def test_coefficient_table_names(spark):
     unseen = spark.createDataFrame([("zz", 1.0, 1.0)], "c string, n double, label double")
     pipe = encode.encoding_pipeline(["c"], ["n"]).fit(df)
     assert pipe.transform(unseen).first().features.toArray().tolist() == [0.0, 0.0, 0.0, 1.0]
+
+
+def test_grouped_kmeans_split_join_path_equals_broadcast(spark):
+    df = _points(spark)
+    a = sorted(tuple(r) for r in cluster.fit_grouped_kmeans(df, "g", ["x", "y"]).centers.collect())
+    b = sorted(tuple(r) for r in cluster.fit_grouped_kmeans(df, "g", ["x", "y"], broadcast_limit=2).centers.collect())
+    assert a == b

@@ -74,3 +74,13 @@ def test_curve_areas_equal_single_metrics(spark):
     both = evaluate.curve_areas(df, "y", "s").first()
     assert both.auc_roc == evaluate.area_under_roc(df, "y", "s").first().auc_roc
     assert both.auc_pr == evaluate.area_under_pr(df, "y", "s").first().auc_pr
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_skew_split_join_equals_plain_join(spark, how):
+    from spindle.operators.common import skew_split_join
+    big = spark.createDataFrame([(0 if i % 3 == 0 else i % 50, i) for i in range(600)], "k int, v int")
+    small = spark.createDataFrame([(k, f"s{k}") for k in range(0, 60, 2)], "k int, name string")
+    want = sorted(tuple(r) for r in big.join(small, ["k"], how).collect())
+    got = skew_split_join(big, small, ["k"], how, broadcast_limit=5, hot_limit=3)
+    assert sorted(tuple(r) for r in got.collect()) == want
