@@ -33,9 +33,20 @@ def fit_string_indexes(df: DataFrame, columns: list[str]) -> DataFrame:
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
         for c in columns])).alias("p")).select("p.*").filter(F.col("value").isNotNull())
     counts = pairs.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n_rows"))
-    # one window partition per column, over its distinct values only
-    w = Window.partitionBy("column_name").orderBy(F.col("n_rows").desc(), F.col("value").asc())
-    return counts.withColumn("label_index", (F.row_number().over(w) - 1).cast("double"))
+    # rank = (#values more frequent) + (#equally frequent values that sort
+    # first).  The first term comes from a histogram of frequencies (one row
+    # per distinct count, small); the second is a window per (column, count),
+    # so a high-cardinality column is ranked by many tasks, not one.
+    hist = counts.groupBy("column_name", "n_rows").agg(F.count(F.lit(1)).alias("_c"))
+    before = (Window.partitionBy("column_name").orderBy(F.col("n_rows").desc())
+              .rowsBetween(Window.unboundedPreceding, -1))
+    offsets = hist.select("column_name", "n_rows",
+                          F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
+    within = Window.partitionBy("column_name", "n_rows").orderBy(F.col("value").asc())
+    ranked = counts.withColumn("_r", F.row_number().over(within))
+    return (ranked.join(broadcast_if_small(offsets), ["column_name", "n_rows"])
+            .select("column_name", "value", "n_rows",
+                    (F.col("_off") + F.col("_r") - 1).cast("double").alias("label_index")))
 
 
 @dataclass
