@@ -99,10 +99,10 @@ WITH ix AS (SELECT value, row_number() OVER (ORDER BY n DESC, value ASC) - 1 AS
             FROM (SELECT c_mktsegment AS value, count(*) AS n FROM customer GROUP BY 1)),
 j AS (SELECT c.c_custkey, CAST(ix.i AS DOUBLE) AS c_mktsegment_index FROM customer c JOIN ix ON c.c_mktsegment = ix.value)
 SELECT c_custkey, c_mktsegment_index,
-  CASE WHEN c_mktsegment_index = 0 THEN 1.0 ELSE 0.0 END AS seg_0,
-  CASE WHEN c_mktsegment_index = 1 THEN 1.0 ELSE 0.0 END AS seg_1,
-  CASE WHEN c_mktsegment_index = 2 THEN 1.0 ELSE 0.0 END AS seg_2,
-  CASE WHEN c_mktsegment_index = 3 THEN 1.0 ELSE 0.0 END AS seg_3
+  CAST(CASE WHEN c_mktsegment_index = 0 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS seg_0,
+  CAST(CASE WHEN c_mktsegment_index = 1 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS seg_1,
+  CAST(CASE WHEN c_mktsegment_index = 2 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS seg_2,
+  CAST(CASE WHEN c_mktsegment_index = 3 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS seg_3
 FROM j"""),
     "standard_scale": (q_standard_scale, """
 SELECT c_custkey, round(c_acctbal / (SELECT stddev_samp(c_acctbal) FROM customer), 6) AS acctbal_scaled

@@ -76,7 +76,7 @@ QUERIES = {
     "lr_score_fixed": (q_lr_score_fixed, f"""
 SELECT l_orderkey, l_linenumber,
        round(1.0 / (1.0 + exp(-({INTERCEPT} + {W_QTY} * l_quantity + {W_DISC} * l_discount + {W_TAX} * l_tax))), 6) AS probability,
-       CASE WHEN {INTERCEPT} + {W_QTY} * l_quantity + {W_DISC} * l_discount + {W_TAX} * l_tax > 0 THEN 1.0 ELSE 0.0 END AS prediction
+       CAST(CASE WHEN {INTERCEPT} + {W_QTY} * l_quantity + {W_DISC} * l_discount + {W_TAX} * l_tax > 0 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS prediction
 FROM lineitem"""),
     "lr_l2_fit": (q_lr_l2_fit, None),
     "lr_weighted_fit": (q_lr_weighted_fit, None),

@@ -87,10 +87,10 @@ idf AS (SELECT term, doc_freq, ln((n + 1.0) / (doc_freq + 1.0)) AS idf FROM dfre
 QUERIES = {
     "text_clean": (q_text_clean, f"SELECT doc_id, {CLEAN_SQL} AS clean_text FROM documents"),
     "tokenize": (q_tokenize, f"""
-SELECT doc_id, len(t) AS n_tokens, len(list_distinct(t)) AS n_distinct
+SELECT doc_id, CAST(len(t) AS INTEGER) AS n_tokens, CAST(len(list_distinct(t)) AS INTEGER) AS n_distinct
 FROM (SELECT doc_id, {TOKENS_SQL} AS t FROM (SELECT doc_id, {CLEAN_SQL} AS clean FROM documents))"""),
     "stopwords": (q_stopwords, f"""WITH {_DOCS}
-SELECT doc_id, len(words) AS n_kept, array_to_string(words, ' ') AS kept_text FROM docs"""),
+SELECT doc_id, CAST(len(words) AS INTEGER) AS n_kept, array_to_string(words, ' ') AS kept_text FROM docs"""),
     "term_frequency": (q_term_frequency, f"""WITH {_DOCS}
 SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(words) AS term FROM docs WHERE lang = 'en')
 GROUP BY doc_id, term"""),

@@ -34,13 +34,19 @@ def con():
     return c
 
 
+DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+                 "TIMESTAMP": "timestamp_ntz", "FLOAT": "float", "BOOLEAN": "boolean"}
+
+
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_oracle(spark, con, name):
     df = ALL[name](spark, SMALL)
     got = _canon(df.columns, [tuple(r) for r in df.collect()])
-    cur = con.execute(SQL[name])
-    want = _canon([d[0] for d in cur.description], cur.fetchall())
+    rel = con.sql(SQL[name])
+    duck_types = {c: DUCK_TO_SPARK.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
+    want = _canon(rel.columns, rel.fetchall())
     assert got[0] == want[0]
+    assert dict(df.dtypes) == duck_types
     assert got[1] == want[1]
 
 
