@@ -35,6 +35,10 @@ from spindle.operators.common import (BROADCAST_ROW_LIMIT, ensure_parallelism, m
                                       row_count_at_most, skew_split_join)
 
 
+# Centre tables up to this many rows (groups × k) stay local between steps.
+LOCAL_CENTER_LIMIT = 100_000
+
+
 def point_hash(features: list[str]) -> Column:
     """md5 over coordinates rounded to 1e-6, printed as integers so the hash
     is the same in any engine."""
@@ -80,11 +84,27 @@ class GroupedKMeansModel:
                                out_col, self.broadcast_centers)
 
 
-def assign_clusters(points: DataFrame, centers: DataFrame, group_col: str,
+def _wide_from_rows(spark, rows, group_field, features: list[str], k: int) -> DataFrame:
+    """The wide centre table built from collected (proven-small) centre rows,
+    as a local relation — no shuffle stage before the broadcast."""
+    from pyspark.sql.types import DoubleType, StructField, StructType
+    by: dict = {}
+    for r in rows:
+        by.setdefault(r[group_field.name], {})[r["cluster"]] = [r[c] for c in features]
+    schema = StructType([group_field] + [StructField(f"_c{j}_{i}", DoubleType())
+                                         for j in range(k) for i in range(len(features))])
+    empty = [None] * len(features)
+    data = [(g, *[cs.get(j, empty)[i] for j in range(k) for i in range(len(features))])
+            for g, cs in by.items()]
+    return spark.createDataFrame(data, schema)
+
+
+def assign_clusters(points: DataFrame, centers: DataFrame | None, group_col: str,
                     features: list[str], k: int, out_col: str = "cluster",
-                    broadcast: bool | None = None) -> DataFrame:
+                    broadcast: bool | None = None, wide: DataFrame | None = None) -> DataFrame:
     """Attach the nearest centre id to every point of its own group."""
-    wide = _wide_centers(centers, group_col, features, k)
+    if wide is None:
+        wide = _wide_centers(centers, group_col, features, k)
     if broadcast is None:
         broadcast = row_count_at_most(wide, BROADCAST_ROW_LIMIT)
     if broadcast:
@@ -126,9 +146,21 @@ def fit_grouped_kmeans(df: DataFrame, group_col: str, features: list[str], k: in
         points = points.persist(StorageLevel.MEMORY_AND_DISK)
     centers = materialized(initial_centers(points, group_col, features, k), "kmeans-init")
     use_broadcast = row_count_at_most(centers, broadcast_limit)
+    # Proven-small centre tables are held as a local relation between steps
+    # (as MLlib's k-means keeps its centres on the driver): lineage is cut
+    # without a write per step.  Larger ones go through the shared folder.
+    local = row_count_at_most(centers, LOCAL_CENTER_LIMIT)
+    spark = df.sparkSession
+    group_field = centers.schema[group_col]
+    rows = None
+    if local:
+        rows = centers.collect()
+        centers = spark.createDataFrame(rows, centers.schema)
     it = 0
     for it in range(1, max_iter + 1):
-        assigned = assign_clusters(points, centers, group_col, features, k, "cluster", use_broadcast)
+        wide = _wide_from_rows(spark, rows, group_field, features, k) if local else None
+        assigned = assign_clusters(points, centers, group_col, features, k, "cluster",
+                                   use_broadcast or local, wide=wide)
         means = (assigned.groupBy(group_col, "cluster")
                  .agg(*[F.avg(c).alias(c) for c in features]))
         if digits is not None:
@@ -143,9 +175,15 @@ def fit_grouped_kmeans(df: DataFrame, group_col: str, features: list[str], k: in
                           F.greatest(*[F.abs(F.coalesce(F.col(c), F.col(f"_old_{c}"))
                                              - F.col(f"_old_{c}")) for c in features]
                                      + [F.lit(0.0)]).alias("_shift")))
-        merged = materialized(merged, f"kmeans-iter{it}")
-        shift = merged.agg(F.max("_shift")).first()[0]
-        centers = merged.drop("_shift")
+        if local:
+            merged_rows = merged.collect()
+            shift = max((r["_shift"] for r in merged_rows), default=None)
+            centers = spark.createDataFrame([r[:-1] for r in merged_rows], centers.schema)
+            rows = centers.collect()
+        else:
+            merged = materialized(merged, f"kmeans-iter{it}")
+            shift = merged.agg(F.max("_shift")).first()[0]
+            centers = merged.drop("_shift")
         if shift is None or shift <= tol:
             break
     if persist:
