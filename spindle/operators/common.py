@@ -64,19 +64,22 @@ def materialized(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None,
+                       keys: list[str] | None = None) -> DataFrame:
     """Spread ``df`` over at least ``min_partitions`` (default: the cluster's
     default parallelism) before CPU-heavy or iterative work.
 
     Reading a few large row groups can leave a scan with fewer partitions
     than cores; every later narrow step then runs on those few tasks.  Only
-    in that case a round-robin repartition is added; a frame that already
-    has enough partitions (the normal case on a big input) is returned as is.
+    in that case a repartition is added — by ``keys`` when given, so a later
+    aggregation on those keys reuses the partitioning, else round-robin; a
+    frame that already has enough partitions (the normal case on a big
+    input) is returned as is.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(target)
+    return df.repartition(target, *keys) if keys else df.repartition(target)
 
 
 def rounded(c: Column | str, digits: int = 6) -> Column:

@@ -47,9 +47,21 @@ def stop_words_remover(input_col: str, output_col: str):
     return StopWordsRemover(inputCol=input_col, outputCol=output_col)
 
 
+def explode_terms(df: DataFrame, tokens: Column | str, keep: list[str] | None = None) -> DataFrame:
+    """One row per token.  ``explode_outer`` + a NULL filter instead of
+    ``explode``: for a plain explode the optimiser infers a ``size(tokens) >
+    0`` filter below the generator, which re-evaluates the whole cleaning
+    expression a second time per document."""
+    col = F.col(tokens) if isinstance(tokens, str) else tokens
+    return (df.select(*(keep or []), F.explode_outer(col).alias("term"))
+            .filter(F.col("term").isNotNull()))
+
+
 def term_frequency(df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
-    """Exact term counts ``(id, term, tf)`` (E3, exact form)."""
-    return (df.select(id_col, F.explode(tokens_col).alias("term"))
+    """Exact term counts ``(id, term, tf)`` (E3, exact form).  If the input is
+    hash-partitioned by ``id_col`` the aggregation needs no further shuffle:
+    all of a document's tokens come from one row."""
+    return (explode_terms(df, tokens_col, [id_col])
             .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
@@ -87,7 +99,7 @@ def fit_idf(docs: DataFrame, tokens_col: str, min_doc_freq: int = 0) -> IdfTable
     state reused by every later transform.
     """
     n_docs = docs.count()          # column-pruned: no tokenising needed
-    table = (docs.select(F.explode(F.array_distinct(tokens_col)).alias("term"))
+    table = (explode_terms(docs, F.array_distinct(tokens_col))
              .groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
              .filter(F.col("doc_freq") >= min_doc_freq)
              .withColumn("idf", F.log((F.lit(n_docs) + 1.0) / (F.col("doc_freq") + 1.0))))

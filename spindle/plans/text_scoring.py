@@ -23,7 +23,7 @@ REG_PARAM = 0.1
 def featurize(docs: DataFrame, text_col: str = "text"):
     """clean → tokens → stop words → hashed TF; returns the frame with
     ``tf``.  (IDF is fitted separately, on training rows.)"""
-    words = ensure_parallelism(docs).withColumn("tokens", tokens(clean_text(text_col)))
+    words = ensure_parallelism(docs, keys=["doc_id"]).withColumn("tokens", tokens(clean_text(text_col)))
     words = stop_words_remover("tokens", "words").transform(words)
     return hashing_tf("words", "tf").transform(words)
 

@@ -13,7 +13,8 @@ from spindle.sources import load_table
 
 
 def cleaned_docs(spark, sf_dir, extra: list[str] | None = None):
-    docs = ensure_parallelism(load_table(spark, sf_dir, "documents", ["doc_id", "text", *(extra or [])]))
+    docs = ensure_parallelism(load_table(spark, sf_dir, "documents", ["doc_id", "text", *(extra or [])]),
+                              keys=["doc_id"])
     return docs.select("doc_id", *(extra or []), clean_text("text").alias("clean"))
 
 
