@@ -96,3 +96,21 @@ def test_tokens_drop_empty_vs_tokenizer(spark):
     df = spark.createDataFrame([("a  b",)], "t string")
     assert Tokenizer(inputCol="t", outputCol="w").transform(df).first().w == ["a", "", "b"]
     assert df.select(text.tokens("t").alias("w")).first().w == ["a", "b"]
+
+
+def test_index_join_path_equals_map_path(spark, monkeypatch):
+    df = spark.createDataFrame([(f"v{i % 7}",) for i in range(50)] + [("zz",)], "c string")
+    test = spark.createDataFrame([("v1",), ("nope",)], "c string")
+    small = encode.IndexModel.fit(df, ["c"])
+    want = sorted(tuple(r) for r in small.transform(test, ["c"]).collect())
+    monkeypatch.setattr(encode, "MAP_LIMIT", 2)
+    big = encode.IndexModel.fit(df, ["c"])
+    assert big.labels is None
+    assert sorted(tuple(r) for r in big.transform(test, ["c"]).collect()) == want
+
+
+def test_string_index_ties_many_frequencies(spark):
+    rows = [(v,) for v, n in [("a", 3), ("b", 3), ("c", 1), ("d", 2), ("e", 1), ("f", 3)] for _ in range(n)]
+    df = spark.createDataFrame(rows, "c string")
+    ours = {r.value: r.label_index for r in encode.fit_string_indexes(df, ["c"]).collect()}
+    assert ours == {"a": 0.0, "b": 1.0, "f": 2.0, "d": 3.0, "c": 4.0, "e": 5.0}
