@@ -18,9 +18,10 @@ once.  Each iteration is one job:
   grows with the iteration count.
 
 Start centres are deterministic: per group, the k distinct points with the
-smallest md5 of their (micro-rounded) coordinates.  ``dense_rank() <= k`` is
-planned with a map-side WindowGroupLimit, so a hot group sends only k rows
-per task to the shuffle.  Empty clusters keep their previous centre.
+smallest md5 of their (micro-rounded) coordinates.  Duplicates collapse in a
+partial aggregate first; ``row_number() <= k`` is then planned with a
+map-side WindowGroupLimit, so a hot group sends only k rows per task to the
+final ranking.  Empty clusters keep their previous centre.
 """
 
 from __future__ import annotations
@@ -117,14 +118,19 @@ def assign_clusters(points: DataFrame, centers: DataFrame | None, group_col: str
 
 
 def initial_centers(points: DataFrame, group_col: str, features: list[str], k: int) -> DataFrame:
-    """k distinct points per group with the smallest coordinate hash."""
+    """k distinct points per group with the smallest coordinate hash.
+
+    Duplicates are collapsed first by a partial aggregate on (group, hash) —
+    a point repeated in a third of all rows becomes one partial row per
+    task — so the ``row_number() <= k`` that follows has no ties and is
+    planned with a map-side WindowGroupLimit: at most k rows per group per
+    task reach the final ranking.
+    """
+    distinct = (points.withColumn("_h", point_hash(features))
+                .groupBy(group_col, "_h").agg(*[F.min(c).alias(c) for c in features]))
     w = Window.partitionBy(group_col).orderBy("_h")
-    ranked = (points.withColumn("_h", point_hash(features))
-              .withColumn("_r", F.dense_rank().over(w))
-              .filter(F.col("_r") <= k))
-    return (ranked.groupBy(group_col, "_r")
-            .agg(*[F.min(c).alias(c) for c in features])
-            .select(group_col, (F.col("_r") - 1).cast("int").alias("cluster"), *features))
+    ranked = distinct.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
+    return ranked.select(group_col, (F.col("_r") - 1).cast("int").alias("cluster"), *features)
 
 
 def fit_grouped_kmeans(df: DataFrame, group_col: str, features: list[str], k: int = 4,

@@ -76,3 +76,13 @@ def test_grouped_kmeans_split_join_path_equals_broadcast(spark):
     a = sorted(tuple(r) for r in cluster.fit_grouped_kmeans(df, "g", ["x", "y"]).centers.collect())
     b = sorted(tuple(r) for r in cluster.fit_grouped_kmeans(df, "g", ["x", "y"], broadcast_limit=2).centers.collect())
     assert a == b
+
+
+def test_initial_centers_distinct_under_hot_duplicate(spark):
+    # one point holds most rows of its group; start centres must still be k distinct points
+    rows = [("g", 1.0, 1.0)] * 500 + [("g", float(i), 2.0 * i) for i in range(2, 30)]
+    df = spark.createDataFrame(rows, "g string, x double, y double").repartition(6)
+    init = cluster.initial_centers(df, "g", ["x", "y"], 4).collect()
+    pts = {(r.x, r.y) for r in init}
+    assert len(init) == 4 and len(pts) == 4
+    assert sorted(r.cluster for r in init) == [0, 1, 2, 3]
