@@ -17,13 +17,40 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spindle.operators.common import broadcast_if_small
+from spindle.operators.common import broadcast_if_small, materialized, row_count_at_most
 
 # Above this many distinct labels an index is applied by a join, not an
 # inline map literal.
 MAP_LIMIT = 10_000
 
 
+# Index tables above this many (column, value) rows are ranked by a
+# range-partitioned global order instead of per-frequency windows.
+RANK_WINDOW_LIMIT = 500_000
+
+
+def _ranked_by_range(counts: DataFrame, partitions: int) -> DataFrame:
+    """label_index for large index tables without any unbounded window.
+
+    Rows are range-partitioned on (column, count desc, value) — the values
+    are distinct, so sampling balances the ranges — each range numbers its
+    rows locally, a per-range count table (one row per range) gives offsets,
+    and each column's first position is subtracted.
+    """
+    order = [F.col("column_name").asc(), F.col("n_rows").desc(), F.col("value").asc()]
+    ranged = (counts.repartitionByRange(partitions, *order)
+              .withColumn("_pid", F.spark_partition_id()))
+    local = ranged.withColumn("_pos", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)))
+    sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_size"))
+    offsets = sizes.select("_pid", F.coalesce(F.sum("_size").over(
+        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    glob = local.join(F.broadcast(offsets), "_pid").withColumn("_g", F.col("_off") + F.col("_pos") - 1)
+    starts = glob.groupBy("column_name").agg(F.min("_g").alias("_start"))
+    return (glob.join(broadcast_if_small(starts), "column_name")
+            .select("column_name", "value", "n_rows",
+                    (F.col("_g") - F.col("_start")).cast("double").alias("label_index")))
+
+
 def fit_string_indexes(df: DataFrame, columns: list[str]) -> DataFrame:
     """Index table for several columns in one pass:
     ``(column_name, value, label_index, n_rows)``.  Index 0 is the most
@@ -33,6 +60,9 @@ def fit_string_indexes(df: DataFrame, columns: list[str]) -> DataFrame:
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
         for c in columns])).alias("p")).select("p.*").filter(F.col("value").isNotNull())
     counts = pairs.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n_rows"))
+    if not row_count_at_most(counts, RANK_WINDOW_LIMIT):
+        counts = materialized(counts, "index-counts")
+        return _ranked_by_range(counts, max(counts.sparkSession.sparkContext.defaultParallelism, 8))
     # rank = (#values more frequent) + (#equally frequent values that sort
     # first).  The first term comes from a histogram of frequencies (one row
     # per distinct count, small); the second is a window per (column, count),

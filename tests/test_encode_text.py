@@ -114,3 +114,12 @@ def test_string_index_ties_many_frequencies(spark):
     df = spark.createDataFrame(rows, "c string")
     ours = {r.value: r.label_index for r in encode.fit_string_indexes(df, ["c"]).collect()}
     assert ours == {"a": 0.0, "b": 1.0, "f": 2.0, "d": 3.0, "c": 4.0, "e": 5.0}
+
+
+def test_string_index_range_path_equals_window_path(spark, monkeypatch):
+    rows = [(f"a{i % 37}", f"b{(i * 7) % 101}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "a string, b string")
+    want = {(r.column_name, r.value): r.label_index for r in encode.fit_string_indexes(df, ["a", "b"]).collect()}
+    monkeypatch.setattr(encode, "RANK_WINDOW_LIMIT", 10)
+    got = {(r.column_name, r.value): r.label_index for r in encode.fit_string_indexes(df, ["a", "b"]).collect()}
+    assert got == want and len(got) == 37 + 101
