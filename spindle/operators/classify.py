@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spindle.functions.vectors import vector_element
+from spindle.functions.vectors import vector_element  # noqa: F401 (re-exported)
 from spindle.operators.common import ensure_parallelism
 
 

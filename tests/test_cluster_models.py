@@ -86,3 +86,22 @@ def test_initial_centers_distinct_under_hot_duplicate(spark):
     pts = {(r.x, r.y) for r in init}
     assert len(init) == 4 and len(pts) == 4
     assert sorted(r.cluster for r in init) == [0, 1, 2, 3]
+
+
+def test_multilabel_chain_equals_per_label_join(spark):
+    """The chained single-plan scoring gives the same probabilities as the
+    reference's per-label transform + join on id."""
+    from pyspark.ml.feature import VectorAssembler
+    rows = [(i, float(i % 7), float((i * 3) % 5), 1 if i % 7 > 3 else 0, 1 if (i * 3) % 5 > 1 else 0)
+            for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, x double, z double, a int, b int")
+    x = VectorAssembler(inputCols=["x", "z"], outputCol="features").transform(df)
+    models = classify.fit_multilabel(x, "features", ["a", "b"], reg_param=0.1)
+    chained = {r.id: (r.p_a, r.p_b) for r in classify.score_multilabel(models, x, "id", "features").collect()}
+    joined = x.select("id")
+    for lab, m in models.items():
+        res = m.transform(x).select("id", classify.vector_element("probability", 1).alias(lab))
+        joined = joined.join(res, "id")
+    brute = {r.id: (r.a, r.b) for r in joined.collect()}
+    assert chained.keys() == brute.keys()
+    assert all(chained[k] == pytest.approx(brute[k], abs=1e-12) for k in brute)
