@@ -74,7 +74,9 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None,
     in that case a repartition is added — by ``keys`` when given, so a later
     aggregation on those keys reuses the partitioning, else round-robin; a
     frame that already has enough partitions (the normal case on a big
-    input) is returned as is.
+    input) is returned as is.  Apply it to a scan (or a cached frame): on a
+    plan that still contains a shuffle, reading the partition count makes
+    adaptive execution run those stages first.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:

@@ -23,26 +23,30 @@ REG_PARAM = 0.1
 def featurize(docs: DataFrame, text_col: str = "text"):
     """clean → tokens → stop words → hashed TF; returns the frame with
     ``tf``.  (IDF is fitted separately, on training rows.)"""
-    words = ensure_parallelism(docs, keys=["doc_id"]).withColumn("tokens", tokens(clean_text(text_col)))
+    words = docs.withColumn("tokens", tokens(clean_text(text_col)))
     words = stop_words_remover("tokens", "words").transform(words)
     return hashing_tf("words", "tf").transform(words)
 
 
 def labelled_frames(spark, sf_dir):
-    docs = load_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    """Every document is featurised once, straight off the scan; the split
+    into labelled (train) and unlabelled (test) rows then joins feature
+    vectors, not raw text."""
+    docs = ensure_parallelism(load_table(spark, sf_dir, "documents", ["doc_id", "text"]), keys=["doc_id"])
     labels = load_table(spark, sf_dir, "labels")
-    train = docs.join(labels, "doc_id", "inner").na.drop(subset=LABELS)
-    test = docs.join(labels, "doc_id", "left_anti")
+    tf = featurize(docs).select("doc_id", "tf")
+    train = tf.join(labels, "doc_id", "inner").na.drop(subset=LABELS)
+    test = tf.join(labels, "doc_id", "left_anti")
     return train, test
 
 
 def fitted_features(spark, sf_dir):
     from pyspark.ml.feature import IDF
-    train, test = labelled_frames(spark, sf_dir)
-    train_tf = featurize(train).select("doc_id", *LABELS, "tf")
+    train_tf, test_tf = labelled_frames(spark, sf_dir)
+    train_tf = train_tf.select("doc_id", *LABELS, "tf")
     idf = IDF(inputCol="tf", outputCol="features").fit(train_tf)
     train_x = idf.transform(train_tf).select("doc_id", *LABELS, "features").persist()
-    test_x = idf.transform(featurize(test).select("doc_id", "tf")).select("doc_id", "features")
+    test_x = idf.transform(test_tf).select("doc_id", "features")
     return train_x, test_x
 
 
