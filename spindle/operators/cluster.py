@@ -150,18 +150,21 @@ def fit_grouped_kmeans(df: DataFrame, group_col: str, features: list[str], k: in
         df.select(group_col, *[F.col(c).cast("double").alias(c) for c in features]).na.drop())
     if persist:
         points = points.persist(StorageLevel.MEMORY_AND_DISK)
-    centers = materialized(initial_centers(points, group_col, features, k), "kmeans-init")
-    use_broadcast = row_count_at_most(centers, broadcast_limit)
+    init = initial_centers(points, group_col, features, k).persist()
     # Proven-small centre tables are held as a local relation between steps
     # (as MLlib's k-means keeps its centres on the driver): lineage is cut
     # without a write per step.  Larger ones go through the shared folder.
-    local = row_count_at_most(centers, LOCAL_CENTER_LIMIT)
+    local = row_count_at_most(init, LOCAL_CENTER_LIMIT)
+    use_broadcast = local or row_count_at_most(init, broadcast_limit)
     spark = df.sparkSession
-    group_field = centers.schema[group_col]
+    group_field = init.schema[group_col]
     rows = None
     if local:
-        rows = centers.collect()
-        centers = spark.createDataFrame(rows, centers.schema)
+        rows = init.collect()
+        centers = spark.createDataFrame(rows, init.schema)
+    else:
+        centers = materialized(init, "kmeans-init")
+    init.unpersist()
     it = 0
     for it in range(1, max_iter + 1):
         wide = _wide_from_rows(spark, rows, group_field, features, k) if local else None
