@@ -102,10 +102,9 @@ class IndexModel:
 
     def transform(self, df: DataFrame, columns: list[str], suffix: str = "_index",
                   handle_invalid: str = "keep") -> DataFrame:
-        """Add ``<col><suffix>``.  Unseen or NULL values: ``keep`` → index k
-        (one past the last label), ``skip`` → row dropped, ``error`` → NULL
-        then fail on use is avoided: rows are dropped as with skip but only
-        after a check that none exist."""
+        """Add ``<col><suffix>`` for each column.  Unseen or NULL values:
+        ``keep`` → index k (one past the last label); ``skip`` → the row is
+        dropped; ``error`` → a ValueError if any such row exists."""
         out = df
         for c in columns:
             if self.labels is not None:
