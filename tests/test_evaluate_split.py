@@ -84,3 +84,13 @@ def test_skew_split_join_equals_plain_join(spark, how):
     want = sorted(tuple(r) for r in big.join(small, ["k"], how).collect())
     got = skew_split_join(big, small, ["k"], how, broadcast_limit=5, hot_limit=3)
     assert sorted(tuple(r) for r in got.collect()) == want
+
+
+@pytest.mark.parametrize("parts", [1, 3, 8])
+def test_metrics_partition_stable(spark, parts):
+    rnd = random.Random(11)
+    rows = [(rnd.randint(0, 1), float(rnd.randint(0, 40)) / 8.0) for _ in range(1500)]
+    base = spark.createDataFrame(rows, "y int, s double")
+    ref = evaluate.curve_areas(base.repartition(1), "y", "s").first()
+    got = evaluate.curve_areas(base.repartition(parts), "y", "s").first()
+    assert (got.auc_roc, got.auc_pr) == (ref.auc_roc, ref.auc_pr)
