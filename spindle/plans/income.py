@@ -40,6 +40,7 @@ def income_frame(spark, sf_dir) -> DataFrame:
 
 
 def prepare(df: DataFrame):
+    df = df.persist()              # both splits read the joined rows: build them once
     train, test = split.split_frames(df, ["c_custkey"], 80)
     # test rows carry the other spelling of the label ('<=5K.')
     test = test.withColumn("income", F.concat("income", F.lit(".")))

@@ -43,9 +43,9 @@ def prepare(df: DataFrame):
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import StandardScaler, VectorAssembler
     df = clean.drop_marked(df, ["o_totalprice", "c_acctbal"], "NA")
-    df = clean.cast_columns(df, ["o_totalprice", "c_acctbal"], "double")
+    # both splits read the joined, cleaned rows: build them once
+    df = clean.cast_columns(df, ["o_totalprice", "c_acctbal"], "double").persist()
     train, test = split.split_frames(df, ["o_orderkey"], 80)
-    train = train.persist()        # read by the balance count and every estimator fit
     ratio = profile.class_balance(train, LABEL).first()["balancing_ratio"]
     train = profile.with_class_weights(train, LABEL, ratio, "class_weight")
     test = profile.with_class_weights(test, LABEL, ratio, "class_weight")
