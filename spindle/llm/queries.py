@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from spindle.llm import jaccard, oracles
+from spindle.llm import jaccard, katz, oracles
 from spindle.llm.base import documents
 
 
@@ -10,6 +10,11 @@ def op10_ngram_jaccard(spark, sf_dir):
     return jaccard.jaccard_components(documents(spark, sf_dir, "doc_id", "text"))
 
 
+def op1_katz(spark, sf_dir):
+    return katz.katz_scores(documents(spark, sf_dir, "doc_id", "text"))
+
+
 QUERIES = {
+    "op1_katz": (op1_katz, None),
     "op10_ngram_jaccard": (op10_ngram_jaccard, oracles.JACCARD),
 }
