@@ -6,10 +6,11 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spindle.operators.common import materialized
+from spindle.session import shared_path
 
 #: Bytes of text that are tokenised at once (a single longer text is taken whole).
 SLICE_BYTES = 4 << 20
@@ -30,7 +31,19 @@ def documents(spark, sf_dir: str, *columns: str) -> DataFrame:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the cluster's shared checkpoint folder."""
-    return materialized(df, name)
+    spark, path = df.sparkSession, shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove written tables that no later plan reads."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.written_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def hash_mod(column: str, n: int):
@@ -39,8 +52,8 @@ def hash_mod(column: str, n: int):
 
 
 def buckets(spark) -> int:
-    """Key ranges that an exchange is cut into: a few for each shuffle partition."""
-    return 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """Key ranges that an exchange is cut into: one for each shuffle partition."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -120,6 +133,15 @@ def hashed_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashes), np.concatenate(counts)
 
 
+def shared(spark, value):
+    """Broadcast ``value`` pickled by value (tasks need not import this package)."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(broadcast):
+    return cloudpickle.loads(broadcast.value)
+
+
 def key_bucket(h: np.ndarray, n: int) -> np.ndarray:
     """Range of a 64-bit key among ``n`` equal ranges (ascending with the key)."""
     return (((h >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)).astype(np.int32)
