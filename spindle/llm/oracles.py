@@ -16,3 +16,11 @@ reach(id, r) AS (SELECT a, b FROM links UNION SELECT id, links.b FROM reach JOIN
 top AS (SELECT id, min(r) AS r FROM reach GROUP BY id)
 SELECT doc_id, coalesce(n.n, 0) AS n_shingles, least(doc_id, coalesce(top.r, doc_id)) AS component_id
 FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN top ON top.id = doc_id"""
+
+TOP_K = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))
+  AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20"""
