@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from spindle.llm import jaccard, katz, oracles
+from spindle.llm import ann, jaccard, katz, langid, mixing, oracles, pii, sentencepiece, sharding, topk, toxicity
 from spindle.llm.base import documents
 
 
@@ -14,7 +14,49 @@ def op1_katz(spark, sf_dir):
     return katz.katz_scores(documents(spark, sf_dir, "doc_id", "text"))
 
 
+def op6_toxicity(spark, sf_dir):
+    return toxicity.score_toxicity(documents(spark, sf_dir, "doc_id", "text"),
+                                   spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op8_langid(spark, sf_dir):
+    return langid.predict_languages(documents(spark, sf_dir, "doc_id", "text", "lang"))
+
+
+def op4_hash_tree(spark, sf_dir):
+    return sharding.shard_documents(documents(spark, sf_dir, "doc_id", "text"), 8)
+
+
+def op9_soft_mixing(spark, sf_dir):
+    return mixing.document_rates(documents(spark, sf_dir, "doc_id", "text", "lang"),
+                                 spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op2_pii_surrogates(spark, sf_dir):
+    return pii.pseudonymise(documents(spark, sf_dir, "doc_id", "text"))
+
+
+def op3_threshold_topk(spark, sf_dir):
+    return topk.top_inner_products(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op5_posting_lists(spark, sf_dir):
+    return ann.nearest_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op7_sentencepiece(spark, sf_dir):
+    return sentencepiece.digest(sentencepiece.encode(documents(spark, sf_dir, "doc_id", "text")))
+
+
 QUERIES = {
     "op1_katz": (op1_katz, None),
+    "op2_pii_surrogates": (op2_pii_surrogates, None),
+    "op3_threshold_topk": (op3_threshold_topk, oracles.TOP_K),
+    "op5_posting_lists": (op5_posting_lists, None),
+    "op4_hash_tree": (op4_hash_tree, None),
+    "op9_soft_mixing": (op9_soft_mixing, None),
+    "op6_toxicity": (op6_toxicity, None),
+    "op7_sentencepiece": (op7_sentencepiece, None),
+    "op8_langid": (op8_langid, None),
     "op10_ngram_jaccard": (op10_ngram_jaccard, oracles.JACCARD),
 }

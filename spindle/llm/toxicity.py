@@ -78,7 +78,8 @@ def _label_counts(batches):
                                              names=["term", "pos", "n"])
 
 
-def _vectors(vocabulary):
+def _vectors(vocabulary, keep: list[str]):
+    """Texts -> vocabulary terms and their numbers, beside the kept columns."""
     def run(batches):
         terms = received(vocabulary)                    # sorted hashes
         screen = np.zeros(1 << 20, bool)
@@ -94,8 +95,8 @@ def _vectors(vocabulary):
                     out_t[first + k // len(terms)].append(k % len(terms))
                     out_n[first + k // len(terms)].append(t)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), pa.array(out_t, pa.list_(pa.int32())),
-                 pa.array(out_n, pa.list_(pa.int32()))], names=["doc_id", "held_out", "terms", "times"])
+                [*(batch.column(c) for c in keep), pa.array(out_t, pa.list_(pa.int32())),
+                 pa.array(out_n, pa.list_(pa.int32()))], names=[*keep, "_terms", "_times"])
     return run
 
 
@@ -151,18 +152,21 @@ def _votes(index):
         for batch in batches:
             tenth = [min(9, int(10 * v)) if v >= 0 else -1 for v in (
                 ix.vote(t, n, but=d)[0] if t else -1.0 for d, t, n in zip(*(batch.column(c).to_pylist() for c in (
-                    "doc_id", "terms", "times"))))]
+                    "doc_id", "_terms", "_times"))))]
             yield pa.RecordBatch.from_arrays([pa.array(tenth, pa.int32()), batch.column("toxic")], names=["tenth", "toxic"])
     return run
 
 
-def _score(index, rates):
+_HIDDEN = ["_score", "_predicted", "_evidence"]
+
+
+def _score(index, rates, keep: list[str], hidden: bool = False):
     def run(batches):
         ix, rate = received(index), received(rates)
         seen: dict = {}
         for batch in batches:
             score, evidence = [], []
-            for t, n in zip(batch.column("terms").to_pylist(), batch.column("times").to_pylist()):
+            for t, n in zip(batch.column("_terms").to_pylist(), batch.column("_times").to_pylist()):
                 key = (tuple(t), tuple(n))
                 if key not in seen:
                     if len(seen) > 100_000:
@@ -173,27 +177,28 @@ def _score(index, rates):
                 score.append(seen[key][0])
                 evidence.append(seen[key][1])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), pa.array(score, pa.float64()),
+                [*(batch.column(c) for c in keep), pa.array(score, pa.float64()),
                  pa.array([int(s >= 0.7) for s in score], pa.int32()),
                  pa.array(evidence, pa.list_(pa.struct([("doc_id", pa.int64()), ("toxic", pa.int32()), ("cosine", pa.float64())])))],
-                names=["doc_id", "held_out", "score", "predicted", "evidence"])
+                names=[*keep, *(["score", "predicted", "evidence"] if not hidden else _HIDDEN)])
     return run
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1,
-                   fit_rows: int = FIT_ROWS) -> DataFrame:
-    """``(doc_id, held_out, score, predicted, evidence)`` for every row of
-    ``docs (doc_id, text)``; ``labels (doc_id, toxic)`` count only for rows
-    with ``crc32(doc_id) % folds <> held``.
+def _schema(df: DataFrame, keep: list[str], more: str) -> str:
+    return ", ".join([f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep] + [more])
 
-    NULL and empty texts and texts without a vocabulary term get the label
-    rate of such examples and no evidence; without any labelled row the score
-    is 0.  A doc_id with several labels takes the largest, NULL labels none.
-    Repeated rows are scored one by one, other columns are ignored, an empty
-    table gives no rows.
-    """
-    spark = docs.sparkSession
-    rows = docs.select("doc_id", "text", (hash_mod("doc_id", folds) == held).alias("held_out"))
+
+_VECTOR = "_terms array<int>, _times array<int>"
+
+
+def _evidence(names: list[str]) -> str:
+    return (f"{names[0]} double, {names[1]} int, {names[2]} array<struct<doc_id:bigint,toxic:int,cosine:double>>")
+
+
+def fit(rows: DataFrame, labels: DataFrame, folds: int, held: int, fit_rows: int):
+    """``(vocabulary, index, rates, vectors)``, all but the vectors broadcast;
+    ``rows (doc_id, text, held_out)``."""
+    spark = rows.sparkSession
     sample = written(labels.filter((hash_mod("doc_id", folds) != held) & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
                      .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
                      .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows), "toxicity-sample")
@@ -208,21 +213,49 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int
         (F.col("chi2") >= MIN_CHI2) & (F.col("pos") >= MIN_SUPPORT * size["pos"]))
     top = top.orderBy(F.desc("chi2"), "term").limit(TERMS)
     terms = np.sort(np.array([r["term"] for r in top.select("term").collect()], np.int64).view(np.uint64))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    vectors = written(rows.mapInArrow(_vectors(shared(spark, terms)),
-                                      f"doc_id {kind}, held_out boolean, terms array<int>, times array<int>"), "toxicity-vectors")
+    vocabulary, keep = shared(spark, terms), ["doc_id", "held_out"]
+    vectors = written(rows.mapInArrow(_vectors(vocabulary, keep), _schema(rows, keep, _VECTOR)), "toxicity-vectors")
     df, total = np.zeros(len(terms)), vectors.count()
-    for r in vectors.select(F.explode("terms").alias("t")).groupBy("t").count().collect():    # one row for each term
+    for r in vectors.select(F.explode("_terms").alias("t")).groupBy("t").count().collect():    # one row for each term
         df[r["t"]] = r["count"]
     idf = np.log((1 + total) / (1 + df))
     examples = vectors.join(F.broadcast(sample), "doc_id")
-    own = examples.filter(F.size("terms") > 0).orderBy("doc_id").collect()                    # fit_rows rows at most
-    index = shared(spark, Index([r["doc_id"] for r in own], [r["toxic"] for r in own], [r["terms"] for r in own],
-                                [r["times"] for r in own], idf))
+    own = examples.filter(F.size("_terms") > 0).orderBy("doc_id").collect()                    # fit_rows rows at most
+    index = shared(spark, Index([r["doc_id"] for r in own], [r["toxic"] for r in own], [r["_terms"] for r in own],
+                                [r["_times"] for r in own], idf))
     votes = (examples.repartition("doc_id").mapInArrow(_votes(index), "tenth int, toxic int").groupBy("tenth")
              .agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("pos")).collect())
     prior = size["pos"] / size["n"] if size["n"] else 0.0
     rate = {k: prior if k < 0 else (k + 0.5) / 10 for k in range(-1, 10)}
     rate |= {r["tenth"]: (r["pos"] + rate[r["tenth"]]) / (r["n"] + 1) for r in votes}
-    return vectors.mapInArrow(_score(index, shared(spark, rate)), f"doc_id {kind}, held_out boolean, score double, "
-                              "predicted int, evidence array<struct<doc_id:bigint,toxic:int,cosine:double>>")
+    return vocabulary, index, shared(spark, rate), vectors
+
+
+def _rows(docs: DataFrame, folds: int, held: int) -> DataFrame:
+    return docs.select("doc_id", "text", (hash_mod("doc_id", folds) == held).alias("held_out"))
+
+
+def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1,
+                   fit_rows: int = FIT_ROWS) -> DataFrame:
+    """``(doc_id, held_out, score, predicted, evidence)`` for every row of
+    ``docs (doc_id, text)``; ``labels (doc_id, toxic)`` count only for rows
+    with ``crc32(doc_id) % folds <> held``.
+
+    NULL and empty texts and texts without a vocabulary term get the label
+    rate of such examples and no evidence; without any labelled row the score
+    is 0.  A doc_id with several labels takes the largest, NULL labels none.
+    Repeated rows are scored one by one, other columns are ignored, an empty
+    table gives no rows.
+    """
+    _, index, rates, vectors = fit(_rows(docs, folds, held), labels, folds, held, fit_rows)
+    keep = ["doc_id", "held_out"]
+    return vectors.mapInArrow(_score(index, rates, keep), _schema(vectors, keep, _evidence(["score", "predicted", "evidence"])))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1, fit_rows: int = FIT_ROWS) -> DataFrame:
+    """The rows of ``docs``, all columns, that ``score_toxicity`` doesn't predict as toxic."""
+    vocabulary, index, rates, _ = fit(_rows(docs, folds, held), labels, folds, held, fit_rows)
+    keep = docs.columns
+    found = docs.mapInArrow(_vectors(vocabulary, keep), _schema(docs, keep, _VECTOR))
+    found = found.mapInArrow(_score(index, rates, keep, hidden=True), _schema(docs, keep, _evidence(_HIDDEN)))
+    return found.filter("_predicted = 0").select(*keep)
