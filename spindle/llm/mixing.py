@@ -37,6 +37,13 @@ SHARES = {"f_upper": "[A-Z]", "f_digit": "[0-9]", "f_symbol": r"[%$&*#!|<>{}]",
 FEATURES = ["f_length", "f_word", *SHARES]
 
 
+def once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add columns that are worked out once for a row, however often they are
+    used: a generator of one row, which the optimiser does not merge into
+    the expressions above it."""
+    return df.select("*", F.inline_outer(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def domain_of(quality: Column, lang: Column) -> Column:
     return F.when(quality == 0, "poor").when(quality == 1, F.concat(F.lit("good-"), lang))
 
@@ -47,7 +54,7 @@ def with_features(docs: DataFrame) -> DataFrame:
     n = F.length(text)
     tokens = F.regexp_count(text, F.lit(r"\S+")).cast("long")
     size = F.greatest(n, F.lit(1))
-    return docs.withColumns({
+    return once(docs, {
         "tokens": tokens, "f_length": F.log1p(n.cast("double")) / 10,
         "f_word": F.least(n / F.greatest(tokens, F.lit(1)), F.lit(50.0)) / 10}
         | {f: F.regexp_count(text, F.lit(chars)) / size * 10 for f, chars in SHARES.items()})
@@ -69,12 +76,13 @@ def posteriors(rows: DataFrame, labelled: DataFrame, domains: list[str]) -> Data
     model = LogisticRegression(featuresCol="x", labelCol="y", family="multinomial", regParam=1e-3, maxIter=50).fit(ready)
     weight, bias = model.coefficientMatrix.toArray(), model.interceptVector.toArray()
     margins = [sum((F.col(f) * float(w) for f, w in zip(FEATURES, weight[i])), F.lit(float(bias[i]))) for i in range(len(seen))]
-    rows = rows.withColumns({f"_m{i}": m for i, m in enumerate(margins)})
+    rows = once(rows, {f"_m{i}": m for i, m in enumerate(margins)})
     top = F.greatest(*[F.col(f"_m{i}") for i in range(len(seen))])
-    parts = [F.exp(F.col(f"_m{i}") - top) for i in range(len(seen))]
+    rows = once(rows, {f"_e{i}": F.exp(F.col(f"_m{i}") - top) for i in range(len(seen))})
+    parts = [F.col(f"_e{i}") for i in range(len(seen))]
     whole = sum(parts[1:], parts[0])
-    rows = rows.withColumns({f"p_{d}": parts[seen.index(d)] / whole if d in seen else F.lit(0.0) for d in domains})
-    return rows.drop(*[f"_m{i}" for i in range(len(seen))])
+    rows = once(rows, {f"p_{d}": parts[seen.index(d)] / whole if d in seen else F.lit(0.0) for d in domains})
+    return rows.drop(*[f"_{x}{i}" for x in "me" for i in range(len(seen))])
 
 
 def rate_column(steps: list[np.ndarray], domains: list[str]) -> Column:
@@ -121,7 +129,7 @@ def fit_rates(rows: DataFrame, targets: dict[str, float], whole: float = TOTAL)
 
 def _copies(rows: DataFrame, steps: list[np.ndarray], domains: list[str]) -> DataFrame:
     u = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("mix")), F.lit(1 << 30)) / float(1 << 30)
-    rows = rows.withColumn("rate", rate_column(steps, domains))
+    rows = once(rows, {"rate": rate_column(steps, domains)})
     whole = F.floor("rate")
     return rows.withColumn("copies", (whole + (u < F.col("rate") - whole).cast("int")).cast("int"))
 
