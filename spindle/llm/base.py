@@ -96,6 +96,20 @@ def text_slices(column: pa.Array):
         row = last
 
 
+def small_batches(batches, column: str = "text", size: int = 2 * SLICE_BYTES):
+    """The same rows in batches of about ``size`` bytes of text at most."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        end = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0)).astype(np.int64))
+        row = 0
+        while row < batch.num_rows:
+            before = end[row - 1] if row else 0
+            last = max(row + 1, int(np.searchsorted(end, before + size, "right")))
+            yield batch.slice(row, last - row)
+            row = last
+
+
 def words_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
     """``(word start, word end, words of each row)``: runs of bytes other
     than space and \\t..\\r, never across rows."""

@@ -13,8 +13,8 @@ Distance is 1 - |x & y| / |x | y|, a metric; documents link within
 2.  *Outer regions.*  Sets of one n-gram are the first pivots.  The cell of
     pivot {g} holds the documents for which g is among the n-grams that can
     be the first shared one; a document near several cells is replicated to
-    each.  Cells with the same smallest document are merged into that
-    document's region, so that copies meet once.
+    each.  A cell is merged into the region of its smallest document, and
+    that document's own cells with it, so that copies meet once or twice.
 3.  *Inner regions.*  A region joins recursively: pivots are documents of the
     region, each document goes to its nearest pivot's cell, and to the cell
     of each pivot that is at most ``2 * eps`` farther (the triangle
@@ -33,13 +33,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spindle.llm.base import buckets, components, hashed_words, key_bucket, mix64, runs, written
+from spindle.llm.base import (buckets, components, hashed_words, key_bucket, mix64, received, runs, shared, small_batches,
+                              written)
 
 #: Documents of one batch, as bits of a packed key; n-grams have the other 50.
 DOC_BITS = 14
 GRAM_BITS = 64 - DOC_BITS
 #: Part of a set, beyond what the threshold leaves free, that the first pruning compares.
 SLACK = 0.08
+#: N-grams of fewer documents than this count as equally rare; at most so many are told apart (16 bytes each, broadcast).
+FREQUENT_LEAST, FREQUENT_MOST = 8, 200_000
 #: Documents of a region that one task joins; larger regions are cut over several tasks.
 REGION_LIMIT = 4096
 #: Survivors up to this many ids (8 bytes each) are broadcast to the scan; more are joined by a shuffle.
@@ -79,14 +82,11 @@ def _requests(words: int, threshold: float, slack: float, parts: int):
     """Batches of documents -> one row for each key range: the documents, how
     many of their n-grams in this range are known to be shared within the
     batch, and the other n-grams with their single owner."""
-    schema = pa.schema([("bucket", pa.int32()), ("doc_id", pa.binary()), ("n", pa.binary()),
-                        ("need", pa.binary()), ("local", pa.binary()), ("gram", pa.binary()),
-                        ("owner", pa.binary())])
+    schema = pa.schema([("bucket", pa.int32()), ("home", pa.binary()), ("doc_id", pa.binary()),
+                        ("gram", pa.binary()), ("owner", pa.binary())])
 
     def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in small_batches(batches):
             keys, n = ngram_keys(batch.column("text"), words)
             ids = np.asarray(batch.column("doc_id").cast(pa.int64()))
             free = n - _least(n, threshold)                    # n-grams that a partner may lack
@@ -102,64 +102,77 @@ def _requests(words: int, threshold: float, slack: float, parts: int):
             packed.sort()
             gram, doc = packed >> np.uint64(DOC_BITS), (packed & np.uint64((1 << DOC_BITS) - 1)).astype(np.int64)
             at, times = runs(gram)
-            single = np.repeat(times == 1, times)
-            owner = np.where(times == 1, doc[at], -1).astype(np.int16)
+            local = np.bincount(doc[np.repeat(times > 1, times)], minlength=len(ids))
+            owner = np.where(times == 1, doc[at], -1)
             gram = gram[at]
             of = key_bucket(gram << np.uint64(DOC_BITS), parts)
-            every = key_bucket(packed, parts)
             home = (mix64(ids.astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
+            about = np.stack([ids, n, need, local], axis=1)
             for b in np.union1d(np.unique(of), np.unique(home)):
                 lo, hi = np.searchsorted(of, [b, b + 1])
-                l2, h2 = np.searchsorted(every, [b, b + 1])
-                local = np.bincount(doc[l2:h2][~single[l2:h2]], minlength=len(ids))
-                there = np.zeros(len(ids), bool)
-                there[doc[l2:h2]] = True
-                there |= home == b
-                new = np.cumsum(there) - 1                      # only documents with n-grams here travel
                 own = owner[lo:hi]
-                own = np.where(own >= 0, new[own], -1).astype(np.int16)
+                there = np.unique(own[own >= 0])
+                own = np.where(own >= 0, np.searchsorted(there, own), -1).astype(np.int16)
                 yield pa.RecordBatch.from_pylist([{
-                    "bucket": int(b), "doc_id": ids[there].tobytes(), "n": n[there].astype(np.int32).tobytes(),
-                    "need": need[there].astype(np.int32).tobytes(),
-                    "local": local[there].astype(np.int32).tobytes(),
+                    "bucket": int(b), "home": about[home == b].tobytes(), "doc_id": ids[there].tobytes(),
                     "gram": gram[lo:hi].tobytes(), "owner": own.tobytes()}], schema=schema)
-    return run, "bucket int, doc_id binary, n binary, need binary, local binary, gram binary, owner binary"
+    return run, "bucket int, home binary, doc_id binary, gram binary, owner binary"
+
+
+_FACTS = ("doc_id", "n_shingles", "need", "shared")
 
 
-def _answers(table: pa.Table) -> pa.Table:
-    """One key range: n-grams of each document that another document has too."""
-    blobs = {c: table.column(c).to_pylist() for c in ("doc_id", "n", "need", "local", "gram", "owner")}
+def _answers(parts: int):
+    """One key range: what its home documents brought along, and for each
+    document how many of its n-grams here another document has too; one row
+    for each range that the documents are at home in."""
+    def run(table: pa.Table) -> pa.Table:
+        rows = _range_facts(table)
+        home = (mix64(rows[:, 0].astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
+        rows = rows[np.argsort(home, kind="stable")]
+        at, size = runs(np.sort(home))
+        return pa.table({"home": pa.array(np.sort(home)[at].astype(np.int32)),
+                         "facts": pa.array([rows[a:a + n].tobytes() for a, n in zip(at, size)], pa.binary())})
+    return run
+
+
+def _summed(table: pa.Table) -> pa.Table:
+    """One home range: the facts of each of its documents."""
+    rows = np.concatenate([np.frombuffer(b, np.int64).reshape(-1, 4) for b in table.column("facts").to_pylist()])
+    rows = rows[np.lexsort((rows[:, 2], rows[:, 0]))]
+    at, size = runs(rows[:, 0])
+    known = np.add.reduceat(rows[:, 2] < 0, at) + at               # first row that states the need
+    return pa.table({"doc_id": pa.array(rows[at, 0]), "n_shingles": pa.array(np.maximum.reduceat(rows[:, 1], at)),
+                     "need": pa.array(rows[known, 2]), "shared": pa.array(np.add.reduceat(rows[:, 3], at))})
+
+
+def _range_facts(table: pa.Table) -> np.ndarray:
+    blobs = {c: table.column(c).to_pylist() for c in ("home", "doc_id", "gram", "owner")}
     grams = [np.frombuffer(x, np.uint64) for x in blobs["gram"]]
-    owners = [np.frombuffer(x, np.int16) for x in blobs["owner"]]
     both = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
     both.sort()
     at, times = runs(both)
     common = both[at[times > 1]]
-    out: list[list[np.ndarray]] = [[], [], [], []]
-    for i, gram in enumerate(grams):
-        ids, n, need = (np.frombuffer(blobs[c][i], t) for c, t in
-                        (("doc_id", np.int64), ("n", np.int32), ("need", np.int32)))
-        shared = np.frombuffer(blobs["local"][i], np.int32).astype(np.int64)
-        if len(common):
-            spot = np.minimum(np.searchsorted(common, gram), len(common) - 1)
-            hit = owners[i][(common[spot] == gram) & (owners[i] >= 0)]
-            shared = shared + np.bincount(hit, minlength=len(ids))
-        for col, x in zip(out, (ids, n, need, shared)):
-            col.append(x)
-    cols = [np.concatenate(c) if c else np.zeros(0, np.int64) for c in out]
-    return pa.table({k: pa.array(v.astype(np.int64)) for k, v in
-                     zip(("doc_id", "n_shingles", "need", "shared"), cols)})
+    out = [np.frombuffer(b, np.int64).reshape(-1, 4) for b in blobs["home"]]
+    for i, gram in enumerate(grams if len(common) else []):
+        ids = np.frombuffer(blobs["doc_id"][i], np.int64)
+        owner = np.frombuffer(blobs["owner"][i], np.int16)
+        spot = np.minimum(np.searchsorted(common, gram), len(common) - 1)
+        shared = np.bincount(owner[(common[spot] == gram) & (owner >= 0)], minlength=len(ids))
+        some = np.flatnonzero(shared)
+        none = np.full(len(some), -1)
+        out.append(np.stack([ids[some], none, none, shared[some]], axis=1))
+    return np.concatenate(out) if out else np.zeros((0, 4), np.int64)
 
 
 def shared_counts(docs: DataFrame, words: int, threshold: float, slack: float) -> DataFrame:
     """``(doc_id, n_shingles, need, shared)`` for every document: how many of
     its compared n-grams occur elsewhere and how many a link would need."""
-    run, schema = _requests(words, threshold, slack, buckets(docs.sparkSession))
+    parts = buckets(docs.sparkSession)
+    run, schema = _requests(words, threshold, slack, parts)
     rows = docs.select("doc_id", "text").mapInArrow(run, schema)
-    parts = rows.groupBy("bucket").applyInArrow(
-        _answers, "doc_id long, n_shingles long, need long, shared long")
-    return parts.groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles"),
-                                       F.min("need").alias("need"), F.sum("shared").alias("shared"))
+    facts = rows.groupBy("bucket").applyInArrow(_answers(parts), "home int, facts binary")
+    return facts.groupBy("home").applyInArrow(_summed, ", ".join(f"{c} long" for c in _FACTS))
 
 
 def kept_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -169,11 +182,16 @@ def kept_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(ids, "doc_id", "left_semi")
 
 
+def rows_without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose doc_id is not in the written table ``ids``."""
+    if ids.count() <= BROADCAST_IDS:
+        return docs.join(F.broadcast(ids), "doc_id", "left_anti")
+    return docs.join(ids, "doc_id", "left_anti")
+
+
 def _sets(words: int):
     def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in small_batches(batches):
             keys, n = ngram_keys(batch.column("text"), words)
             gram = keys & np.uint64((1 << GRAM_BITS) - 1)
             end = np.cumsum(n)
@@ -200,13 +218,42 @@ def _unpack(b: bytes) -> np.ndarray:
     return raw.reshape(-1).view("<u8")
 
 
-def _prefix(threshold: float):
-    """Set -> the n-grams one of which every linked set has in the same role."""
+def _gram_counts(batches):
+    for batch in batches:
+        sets = [_unpack(b) for b in batch.column("grams").to_pylist()]
+        if sets:
+            grams, c = np.unique(np.concatenate(sets), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(grams.astype(np.int64)), pa.array(c)], names=["gram", "c"])
+
+
+def frequent_grams(points: DataFrame, least: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent n-grams, at most ``most`` and none below ``least``
+    documents, sorted, with their numbers of documents.  They only set the
+    order in which n-grams are compared, so any choice gives the same links."""
+    counts = written(points.mapInArrow(_gram_counts, "gram long, c long").groupBy("gram")
+                     .agg(F.sum("c").alias("c")).filter(F.col("c") >= least), "jaccard-frequent")
+    step = F.floor(F.log2("c") * 16)
+    steps = {r["step"]: r["k"] for r in counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("k")).collect()}
+    floor, room = max(steps, default=0) + 1, most
+    while floor > min(steps, default=0) and steps.get(floor - 1, 0) <= room:
+        floor -= 1
+        room -= steps.get(floor, 0)
+    top = counts.filter(step >= floor).toPandas().sort_values("gram")       # at most ``most`` rows
+    return top["gram"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64)
+
+
+def _prefix(threshold: float, frequent):
+    """Set -> the n-grams one of which every linked set has in the same role:
+    the first in the order of frequency (all rare ones alike), then hash."""
     def run(batches):
+        known, often = received(frequent)
         for batch in batches:
             ids, grams = [], []
             for i, b in zip(batch.column("rep").to_pylist(), batch.column("grams").to_pylist()):
                 g = _unpack(b)
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, g), len(known) - 1)
+                    g = g[np.argsort(np.where(known[at] == g, often[at], 0), kind="stable")]
                 first = g[:len(g) - int(_least(np.array([len(g)]), threshold)[0]) + 1]
                 ids.append(np.full(len(first), i, np.int64))
                 grams.append(first.astype(np.int64))
@@ -255,6 +302,17 @@ class _Region:
         union = self.size[p] + self.size[others] - both
         return 1 - both / union, both >= _least(union, self.threshold)
 
+    def touches(self, y: int, others: np.ndarray) -> bool:
+        """Does ``y`` link to any of ``others``?"""
+        fits = ((self.size[others] >= _least(self.size[y:y + 1], self.threshold))
+                & (self.size[y] >= _least(self.size[others], self.threshold)))
+        others, step = others[fits], 16
+        while len(others):
+            if self.distance(y, others[:step])[1].any():
+                return True
+            others, step = others[step:], 4 * step
+        return False
+
     def join(self, members: np.ndarray) -> None:
         """Link all members of one region to the components they belong to."""
         todo = [members]
@@ -274,9 +332,8 @@ class _Region:
                 db, dr = d[linked], d[~linked & (d <= 2 * self.eps + 1e-9)]
                 for y, dy in zip(border, dr):
                     near = ball[np.abs(db - dy) <= self.eps + 1e-9]
-                    if len(near) and self.root(y) != self.root(p):
-                        if self.distance(y, near)[1].any():
-                            self.union(p, y)
+                    if self.root(y) != self.root(p) and self.touches(y, near):
+                        self.union(p, y)
                 rest = others[~linked]
 
 
@@ -316,10 +373,16 @@ def jaccard_components(docs: DataFrame, words: int = 4, threshold: float = 0.85,
     points = written(sets.join(same.withColumnRenamed("rep", "doc_id"), ["n", "fp1", "fp2", "doc_id"])
                      .dropDuplicates(["n", "fp1", "fp2", "doc_id"])
                      .select(F.col("doc_id").alias("rep"), "grams"), "jaccard-points")
-    run, schema = _prefix(threshold)
+    often = shared(points.sparkSession, frequent_grams(points, FREQUENT_LEAST, FREQUENT_MOST))
+    run, schema = _prefix(threshold, often)
     cells = written(points.mapInArrow(run, schema).distinct(), "jaccard-cells")
     heads = cells.groupBy("gram").agg(F.min("rep").alias("head"), F.count(F.lit(1)).alias("c")).filter("c > 1")
-    regions = written(cells.join(heads, "gram").select("head", "rep").distinct(), "jaccard-regions")
+    pairs = written(cells.join(heads, "gram").select("head", "rep").distinct(), "jaccard-pairs")
+    tops = (pairs.groupBy(F.col("rep").alias("a")).agg(F.min("head").alias("b"))
+            .join(pairs.select(F.col("head").alias("a")).distinct(), "a", "left_semi").filter("a <> b"))
+    tops = components(tops, "jaccard-heads").withColumnRenamed("id", "head")
+    regions = written(pairs.join(tops, "head", "left").select(F.coalesce("label", "head").alias("head"), "rep")
+                      .distinct(), "jaccard-regions")
     links = _region_links(regions, points, threshold, region_limit)
     labels = components(copies.unionByName(links), "jaccard")
     return (counts.join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left")
