@@ -76,10 +76,16 @@ def modes_dict(modes: DataFrame) -> dict[str, str]:
     return {r["column_name"]: r["mode"] for r in modes.collect()}
 
 
-def impute_marker(df: DataFrame, fills: dict[str, str], marker: str) -> DataFrame:
-    """Replace ``marker`` (and NULL) by the learnt value per column."""
+def impute_marker(df: DataFrame, fills: dict[str, str], marker: str,
+                  include_null: bool = False) -> DataFrame:
+    """Replace ``marker`` (and NULL, if asked) by the learnt value per column
+    (P14).  A column without a learnt value raises."""
+    missing = [c for c, v in fills.items() if v is None]
+    if missing:
+        raise ValueError(f"no mode learnt for {missing}")
+    hit = {c: F.col(c) == F.lit(marker) for c in fills}
     return df.withColumns({
-        c: F.when(F.col(c).isNull() | (F.col(c) == F.lit(marker)), F.lit(v)).otherwise(F.col(c))
+        c: F.when(hit[c] | F.col(c).isNull() if include_null else hit[c], F.lit(v)).otherwise(F.col(c))
         for c, v in fills.items()})
 
 
@@ -87,11 +93,9 @@ def frequent_items(df: DataFrame, columns: list[str], support: float) -> DataFra
     """Spark's approximate frequent items (A5 parity) as rows
     ``(column_name, item)``.  May include false positives by design."""
     fi = df.freqItems(columns, support)
-    parts = [fi.select(F.lit(c).alias("column_name"),
-                       F.explode(F.col(f"{c}_freqItems")).alias("item"))
-             .withColumn("item", F.col("item").cast("string"))
-             for c in columns]
-    return reduce(DataFrame.unionByName, parts)
+    return fi.select(F.explode(F.flatten(F.array(*[F.transform(
+        F.col(f"{c}_freqItems"), lambda x, c=c: F.struct(F.lit(c).alias("column_name"), x.cast("string").alias("item")))
+        for c in columns]))).alias("p")).select("p.*")
 
 
 def collapse_category(c: Column | str, keep: str, other: str) -> Column:
@@ -106,9 +110,3 @@ def binary_label(c: Column | str, negative: str, strip: str = ".") -> Column:
     so ``'<=50K.'`` and ``' <=50K'`` both count), otherwise 1 (P16)."""
     norm = F.rtrim(F.trim(_c(c)), F.lit(strip)) if strip else F.trim(_c(c))
     return F.when(norm == F.lit(negative), F.lit(0)).otherwise(F.lit(1))
-
-
-def match_indicator(label: Column | str, prediction: Column | str) -> Column:
-    """1.0 where the prediction equals the label, else 0.0."""
-    return F.when(_c(label).cast("double") == _c(prediction).cast("double"),
-                  F.lit(1.0)).otherwise(F.lit(0.0))

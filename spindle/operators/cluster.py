@@ -43,7 +43,7 @@ LOCAL_CENTER_LIMIT = 100_000
 def point_hash(features: list[str]) -> Column:
     """md5 over coordinates rounded to 1e-6, printed as integers so the hash
     is the same in any engine."""
-    parts = [F.round(F.col(c) * F.lit(1e6)).cast("bigint").cast("string") for c in features]
+    parts = [F.round(F.col(c) * F.lit(1e6)).cast("decimal(38,0)").cast("string") for c in features]
     return F.md5(F.concat_ws("|", *parts))
 
 
@@ -127,14 +127,15 @@ def initial_centers(points: DataFrame, group_col: str, features: list[str], k: i
     task reach the final ranking.
     """
     distinct = (points.withColumn("_h", point_hash(features))
-                .groupBy(group_col, "_h").agg(*[F.min(c).alias(c) for c in features]))
+                .groupBy(group_col, "_h").agg(F.min(F.struct(*features)).alias("_p"))
+                .select(group_col, "_h", "_p.*"))
     w = Window.partitionBy(group_col).orderBy("_h")
     ranked = distinct.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
     return ranked.select(group_col, (F.col("_r") - 1).cast("int").alias("cluster"), *features)
 
 
 def fit_grouped_kmeans(df: DataFrame, group_col: str, features: list[str], k: int = 4,
-                       max_iter: int = 20, tol: float = 0.0, digits: int | None = 6,
+                       max_iter: int = 20, tol: float = 0.0, digits: int | None = None,
                        persist: bool = True,
                        broadcast_limit: int = BROADCAST_ROW_LIMIT) -> GroupedKMeansModel:
     """Fit k-means per value of ``group_col`` on ``features``.
@@ -187,8 +188,8 @@ def fit_grouped_kmeans(df: DataFrame, group_col: str, features: list[str], k: in
         if local:
             merged_rows = merged.collect()
             shift = max((r["_shift"] for r in merged_rows), default=None)
+            rows = merged_rows
             centers = spark.createDataFrame([r[:-1] for r in merged_rows], centers.schema)
-            rows = centers.collect()
         else:
             merged = materialized(merged, f"kmeans-iter{it}")
             shift = merged.agg(F.max("_shift")).first()[0]

@@ -6,14 +6,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Largest table that is ever broadcast.  A side is broadcast only after its
-# row count has been checked against this bound (with a bounded probe, so the
-# check itself never scans more than ``limit + 1`` rows).
+# rows have been counted against this bound.
 BROADCAST_ROW_LIMIT = 2_000_000
 
 
 def row_count_at_most(df: DataFrame, limit: int) -> bool:
-    """True when ``df`` has at most ``limit`` rows; reads at most limit+1."""
-    return df.limit(limit + 1).count() <= limit
+    """True when ``df`` has at most ``limit`` rows: a partial-aggregate count,
+    one number for each partition."""
+    return df.count() <= limit
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
@@ -90,31 +90,23 @@ def rounded(c: Column | str, digits: int = 6) -> Column:
     return F.round(F.col(c) if isinstance(c, str) else c, digits)
 
 
-# Up to this many rows, running totals use one window per group directly.
-PREFIX_DIRECT_LIMIT = 500_000
-
-
 def prefix_sums(df: DataFrame, order_col: str, value_cols: list[str],
                 by: list[str] | None = None, descending: bool = False,
-                buckets: int = 64, direct_limit: int = PREFIX_DIRECT_LIMIT) -> DataFrame:
+                buckets: int | None = None) -> DataFrame:
     """Running totals of ``value_cols`` along ``order_col`` (inclusive), per
     group of ``by``, computed without a single-partition window.
 
     ``order_col`` must be unique within each group (aggregate ties first).
-    A table proven to hold at most ``direct_limit`` rows uses one running
-    window per group.  Larger tables: rows are range-cut into ``buckets`` by approximate quantiles (a
-    fixed-size sketch: at most ``buckets - 1`` numbers reach the driver);
-    each (group, bucket) computes local running sums in parallel; per-bucket
-    offsets — one row per (group, bucket), checked before broadcast — are
-    joined back.
+    Rows are range-cut into ``buckets`` (as many as shuffle partitions unless
+    given) by approximate quantiles — a fixed-size sketch, at most ``buckets
+    - 1`` numbers reach the driver; each (group, bucket) computes local
+    running sums in parallel; per-bucket offsets — one row per (group,
+    bucket), checked before broadcast — are joined back.
     """
     by = list(by or [])
     key = F.col(order_col)
     order = key.desc() if descending else key.asc()
-    if row_count_at_most(df, direct_limit):
-        # proven small: a plain running window is cheaper than the sketch
-        w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.select("*", *[F.sum(c).over(w).alias(f"cum_{c}") for c in value_cols])
+    buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     probs = [i / buckets for i in range(1, buckets)]
     bounds = sorted({x for x in df.approxQuantile(order_col, probs, 0.001) if x is not None})
     if bounds:

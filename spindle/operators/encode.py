@@ -17,29 +17,21 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spindle.operators.common import broadcast_if_small, materialized, row_count_at_most
+from spindle.operators.common import broadcast_if_small, materialized
 
-# Above this many distinct labels an index is applied by a join, not an
-# inline map literal.
-MAP_LIMIT = 10_000
-
-
-# Index tables above this many (column, value) rows are ranked by a
-# range-partitioned global order instead of per-frequency windows.
-RANK_WINDOW_LIMIT = 500_000
-
-
-def _ranked_by_range(counts: DataFrame, partitions: int) -> DataFrame:
-    """label_index for large index tables without any unbounded window.
+def _ranked(counts: DataFrame) -> DataFrame:
+    """label_index for index tables of any size, without an unbounded window.
 
     Rows are range-partitioned on (column, count desc, value) — the values
-    are distinct, so sampling balances the ranges — each range numbers its
-    rows locally, a per-range count table (one row per range) gives offsets,
+    are distinct, so sampling balances the ranges — and written together with
+    the number of their range, so that every later read sees the same ranges.
+    Each range numbers its rows, a table of one row per range gives offsets,
     and each column's first position is subtracted.
     """
     order = [F.col("column_name").asc(), F.col("n_rows").desc(), F.col("value").asc()]
-    ranged = (counts.repartitionByRange(partitions, *order)
-              .withColumn("_pid", F.spark_partition_id()))
+    ranges = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = materialized(counts.repartitionByRange(ranges, *order)
+                          .withColumn("_pid", F.spark_partition_id()), "index-ranges")
     local = ranged.withColumn("_pos", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)))
     sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_size"))
     offsets = sizes.select("_pid", F.coalesce(F.sum("_size").over(
@@ -60,64 +52,32 @@ def fit_string_indexes(df: DataFrame, columns: list[str]) -> DataFrame:
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
         for c in columns])).alias("p")).select("p.*").filter(F.col("value").isNotNull())
     counts = pairs.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n_rows"))
-    if not row_count_at_most(counts, RANK_WINDOW_LIMIT):
-        counts = materialized(counts, "index-counts")
-        return _ranked_by_range(counts, max(counts.sparkSession.sparkContext.defaultParallelism, 8))
-    # rank = (#values more frequent) + (#equally frequent values that sort
-    # first).  The first term comes from a histogram of frequencies (one row
-    # per distinct count, small); the second is a window per (column, count),
-    # so a high-cardinality column is ranked by many tasks, not one.
-    hist = counts.groupBy("column_name", "n_rows").agg(F.count(F.lit(1)).alias("_c"))
-    before = (Window.partitionBy("column_name").orderBy(F.col("n_rows").desc())
-              .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = hist.select("column_name", "n_rows",
-                          F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
-    within = Window.partitionBy("column_name", "n_rows").orderBy(F.col("value").asc())
-    ranked = counts.withColumn("_r", F.row_number().over(within))
-    return (ranked.join(broadcast_if_small(offsets), ["column_name", "n_rows"])
-            .select("column_name", "value", "n_rows",
-                    (F.col("_off") + F.col("_r") - 1).cast("double").alias("label_index")))
+    return _ranked(counts)
 
 
 @dataclass
 class IndexModel:
-    table: DataFrame                        # column_name, value, label_index, n_rows
-    labels: dict[str, list[str]] | None     # per column, when small enough to inline
+    table: DataFrame                        # column_name, value, label_index, n_rows (written)
 
     @classmethod
     def fit(cls, df: DataFrame, columns: list[str]) -> "IndexModel":
-        table = fit_string_indexes(df, columns).persist()
-        small = table.limit(MAP_LIMIT + 1).count() <= MAP_LIMIT
-        labels = None
-        if small:
-            labels = {c: [] for c in columns}
-            for r in table.orderBy("column_name", "label_index").collect():
-                labels[r["column_name"]].append(r["value"])
-        return cls(table, labels)
+        return cls(materialized(fit_string_indexes(df, columns), "index"))
 
     def size(self, column: str) -> int:
-        if self.labels is not None:
-            return len(self.labels[column])
         return self.table.filter(F.col("column_name") == column).count()
 
     def transform(self, df: DataFrame, columns: list[str], suffix: str = "_index",
                   handle_invalid: str = "keep") -> DataFrame:
-        """Add ``<col><suffix>`` for each column.  Unseen or NULL values:
-        ``keep`` → index k (one past the last label); ``skip`` → the row is
-        dropped; ``error`` → a ValueError if any such row exists."""
+        """Add ``<col><suffix>`` for each column by a join to its index rows.
+        Unseen or NULL values: ``keep`` → index k (one past the last label);
+        ``skip`` → the row is dropped; ``error`` → a ValueError if any such
+        row exists."""
         out = df
         for c in columns:
-            if self.labels is not None:
-                labels = self.labels[c]
-                mapping = F.create_map(*[x for i, v in enumerate(labels)
-                                         for x in (F.lit(v), F.lit(float(i)))])
-                idx = F.element_at(mapping, F.col(c).cast("string")) if labels else F.lit(None)
-                out = out.withColumn(f"{c}{suffix}", idx.cast("double"))
-            else:
-                side = (self.table.filter(F.col("column_name") == c)
-                        .select(F.col("value").alias(f"_v_{c}"), F.col("label_index").alias(f"{c}{suffix}")))
-                out = (out.join(broadcast_if_small(side), F.col(c).cast("string") == F.col(f"_v_{c}"), "left")
-                       .drop(f"_v_{c}"))
+            side = (self.table.filter(F.col("column_name") == c)
+                    .select(F.col("value").alias(f"_v_{c}"), F.col("label_index").alias(f"{c}{suffix}")))
+            out = (out.join(broadcast_if_small(side), F.col(c).cast("string") == F.col(f"_v_{c}"), "left")
+                   .drop(f"_v_{c}"))
             k = self.size(c)
             if handle_invalid == "keep":
                 out = out.withColumn(f"{c}{suffix}", F.coalesce(F.col(f"{c}{suffix}"), F.lit(float(k))))
@@ -172,9 +132,10 @@ def chi2_statistics(df: DataFrame, label: str, features: list[str]) -> DataFrame
     n = cells.groupBy("feature").agg(F.sum("o").alias("n"), F.countDistinct("_y").alias("n_labels"))
     cells = (cells.join(broadcast_if_small(ny), ["feature", "_y"])
              .join(broadcast_if_small(n), "feature"))
-    e = F.col("nv") * F.col("ny") / F.col("n")
+    o = F.col("o").cast("double")
+    e = F.col("nv").cast("double") / F.col("n") * F.col("ny")
     return cells.groupBy("feature").agg(
-        (F.sum(F.col("o") * F.col("o") / e) - F.first("n")).alias("statistic"),
+        (F.sum(o * o / e) - F.first("n")).alias("statistic"),
         ((F.countDistinct("value") - 1) * (F.first("n_labels") - 1)).alias("dof"))
 
 

@@ -19,6 +19,11 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _d(name: str) -> Column:
+    """A count as a double: products of counts overflow a bigint from 3e9 rows on."""
+    return F.col(name).cast("double")
+
+
 def confusion_counts(df: DataFrame, label: str, prediction: str, by: list[str] | None = None) -> DataFrame:
     """TP, TN, FP, FN per group in one pass."""
     y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
@@ -87,8 +92,8 @@ def area_under_roc(df: DataFrame, label: str, score: str, by: list[str] | None =
     MLlib's evaluator with ``numBins=0``."""
     cur, keys = _curve(df, label, score, by or [])
     # trapezoid between the previous point (cum - own) and this one
-    term = F.col("neg") * (F.col("cum_pos") * 2 - F.col("pos")) / 2.0
-    auc = F.try_divide(F.sum(term), F.first("P") * F.first("N"))
+    term = _d("neg") * (_d("cum_pos") * 2 - _d("pos")) / 2.0
+    auc = F.try_divide(F.sum(term), F.first(_d("P")) * F.first(_d("N")))
     out = cur.groupBy(*keys).agg((F.round(auc, digits) if digits is not None else auc).alias("auc_roc"))
     return out if by else out.drop("_all")
 
@@ -99,7 +104,7 @@ def area_under_pr(df: DataFrame, label: str, score: str, by: list[str] | None =
     thresholds, starting at (recall 0, precision of the first threshold) as
     MLlib's evaluator does."""
     cur, keys = _curve(df, label, score, by or [])
-    tp, fp = F.col("cum_pos"), F.col("cum_neg")
+    tp, fp = _d("cum_pos"), _d("cum_neg")
     prec = tp / (tp + fp)
     prev_tp, prev_fp = tp - F.col("pos"), fp - F.col("neg")
     prev_prec = F.when(prev_tp + prev_fp == 0, prec).otherwise(prev_tp / (prev_tp + prev_fp))
@@ -114,13 +119,13 @@ def curve_areas(df: DataFrame, label: str, score: str, by: list[str] | None = No
     """Both areas (ROC and PR) from one pass over the distinct-threshold
     curve: ``(*by, auc_roc, auc_pr)``."""
     cur, keys = _curve(df, label, score, by or [])
-    tp, fp = F.col("cum_pos"), F.col("cum_neg")
-    roc_term = F.col("neg") * (tp * 2 - F.col("pos")) / 2.0
+    tp, fp = _d("cum_pos"), _d("cum_neg")
+    roc_term = _d("neg") * (tp * 2 - _d("pos")) / 2.0
     prec = tp / (tp + fp)
     prev_tp, prev_fp = tp - F.col("pos"), fp - F.col("neg")
     prev_prec = F.when(prev_tp + prev_fp == 0, prec).otherwise(prev_tp / (prev_tp + prev_fp))
     pr_term = F.col("pos") * (prec + prev_prec) / 2.0
-    roc = F.try_divide(F.sum(roc_term), F.first("P") * F.first("N"))
+    roc = F.try_divide(F.sum(roc_term), F.first(_d("P")) * F.first(_d("N")))
     pr = F.try_divide(F.sum(pr_term), F.first("P").cast("double"))
     if digits is not None:
         roc, pr = F.round(roc, digits), F.round(pr, digits)

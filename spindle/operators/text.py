@@ -75,11 +75,13 @@ class IdfTable:
     """Fitted IDF: ``table(term, doc_freq, idf)`` and the training doc count."""
     table: DataFrame
     n_docs: int
+    min_doc_freq: int = 0
 
     def transform(self, tf: DataFrame, id_col: str) -> DataFrame:
         """``(id, term, tf, idf, tfidf)``; a term unseen at fit time has
-        doc_freq 0, i.e. idf = ln((N+1)/1), as the vector IDF gives."""
-        unseen = float(_idf(self.n_docs, 0))
+        doc_freq 0, i.e. idf = ln((N+1)/1), or 0 where a least document
+        frequency is set, as the vector IDF gives."""
+        unseen = 0.0 if self.min_doc_freq > 0 else float(_idf(self.n_docs, 0))
         out = skew_split_join(tf, self.table.select("term", "idf"), ["term"], "left")
         out = out.withColumn("idf", F.coalesce(F.col("idf"), F.lit(unseen)))
         return out.withColumn("tfidf", F.col("tf") * F.col("idf"))
@@ -101,6 +103,6 @@ def fit_idf(docs: DataFrame, tokens_col: str, min_doc_freq: int = 0) -> IdfTable
     n_docs = docs.count()          # column-pruned: no tokenising needed
     table = (explode_terms(docs, F.array_distinct(tokens_col))
              .groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
-             .filter(F.col("doc_freq") >= min_doc_freq)
-             .withColumn("idf", F.log((F.lit(n_docs) + 1.0) / (F.col("doc_freq") + 1.0))))
-    return IdfTable(materialized(table, "idf"), n_docs)
+             .withColumn("idf", F.when(F.col("doc_freq") >= min_doc_freq, F.log(
+                 (F.lit(n_docs) + 1.0) / (F.col("doc_freq") + 1.0))).otherwise(0.0)))
+    return IdfTable(materialized(table, "idf"), n_docs, min_doc_freq)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -50,6 +51,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and re.match(r"local($|\[)", sc.master) is None:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not configured:
         configured = tempfile.mkdtemp(prefix="spindle-ckpt-")
     sc.setCheckpointDir(configured)

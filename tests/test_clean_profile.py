@@ -29,8 +29,9 @@ def test_modes_exclude_marker_and_break_ties_high(spark):
     df = spark.createDataFrame([("?",), ("?",), ("?",), ("a",), ("b",), (None,)], "c string")
     modes = clean.modes_dict(clean.column_modes(df, ["c"], exclude="?"))
     assert modes == {"c": "b"}                 # '?' most frequent but excluded; a/b tie → 'b'
-    out = clean.impute_marker(df, modes, "?")
+    out = clean.impute_marker(df, modes, "?", include_null=True)
     assert sorted(r.c for r in out.collect()) == ["a", "b", "b", "b", "b", "b"]
+    assert clean.impute_marker(df, modes, "?").filter("c is null").count() == 1
 
 
 def test_collapse_and_binary_label(spark):

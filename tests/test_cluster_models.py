@@ -38,8 +38,8 @@ def test_grouped_kmeans_cost_never_rises_and_groups_independent(spark):
 
 def test_grouped_kmeans_partition_stable(spark):
     df = _points(spark)
-    r1 = sorted(tuple(r) for r in cluster.fit_grouped_kmeans(df.repartition(1), "g", ["x", "y"]).centers.collect())
-    r2 = sorted(tuple(r) for r in cluster.fit_grouped_kmeans(df.repartition(5), "g", ["x", "y"]).centers.collect())
+    r1 = sorted(tuple(r) for r in cluster.fit_grouped_kmeans(df.repartition(1), "g", ["x", "y"], digits=6).centers.collect())
+    r2 = sorted(tuple(r) for r in cluster.fit_grouped_kmeans(df.repartition(5), "g", ["x", "y"], digits=6).centers.collect())
     assert r1 == r2
 
 
@@ -105,3 +105,11 @@ def test_multilabel_chain_equals_per_label_join(spark):
     brute = {r.id: (r.a, r.b) for r in joined.collect()}
     assert chained.keys() == brute.keys()
     assert all(chained[k] == pytest.approx(brute[k], abs=1e-12) for k in brute)
+
+
+def test_grouped_kmeans_tiny_and_huge_coordinates(spark):
+    from spindle.operators.cluster import fit_grouped_kmeans
+    near = spark.createDataFrame([("g", 1e-3 * i) for i in range(100)], "g string, x double")
+    assert fit_grouped_kmeans(near, "g", ["x"], k=4).centers.select("x").distinct().count() == 4
+    far = spark.createDataFrame([("g", 1e13 + i) for i in range(20)], "g string, x double")
+    assert fit_grouped_kmeans(far, "g", ["x"], k=2).centers.count() == 2

@@ -98,15 +98,11 @@ def test_tokens_drop_empty_vs_tokenizer(spark):
     assert df.select(text.tokens("t").alias("w")).first().w == ["a", "b"]
 
 
-def test_index_join_path_equals_map_path(spark, monkeypatch):
+def test_index_join_keeps_unseen_values(spark):
     df = spark.createDataFrame([(f"v{i % 7}",) for i in range(50)] + [("zz",)], "c string")
-    test = spark.createDataFrame([("v1",), ("nope",)], "c string")
-    small = encode.IndexModel.fit(df, ["c"])
-    want = sorted(tuple(r) for r in small.transform(test, ["c"]).collect())
-    monkeypatch.setattr(encode, "MAP_LIMIT", 2)
-    big = encode.IndexModel.fit(df, ["c"])
-    assert big.labels is None
-    assert sorted(tuple(r) for r in big.transform(test, ["c"]).collect()) == want
+    test = spark.createDataFrame([("v1",), ("nope",), (None,)], "c string")
+    m = encode.IndexModel.fit(df, ["c"])
+    assert {r.c: r.c_index for r in m.transform(test, ["c"]).collect()} == {"v1": 1.0, "nope": 8.0, None: 8.0}
 
 
 def test_string_index_ties_many_frequencies(spark):
@@ -116,10 +112,21 @@ def test_string_index_ties_many_frequencies(spark):
     assert ours == {"a": 0.0, "b": 1.0, "f": 2.0, "d": 3.0, "c": 4.0, "e": 5.0}
 
 
-def test_string_index_range_path_equals_window_path(spark, monkeypatch):
-    rows = [(f"a{i % 37}", f"b{(i * 7) % 101}") for i in range(3000)]
-    df = spark.createDataFrame(rows, "a string, b string")
-    want = {(r.column_name, r.value): r.label_index for r in encode.fit_string_indexes(df, ["a", "b"]).collect()}
-    monkeypatch.setattr(encode, "RANK_WINDOW_LIMIT", 10)
-    got = {(r.column_name, r.value): r.label_index for r in encode.fit_string_indexes(df, ["a", "b"]).collect()}
-    assert got == want and len(got) == 37 + 101
+def test_string_index_many_values_without_exchange_reuse(spark):
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        df = spark.range(400_000).select(F.concat(F.lit("a"), "id").alias("a"), (F.col("id") % 3).alias("b"))
+        got = encode.fit_string_indexes(df, ["a", "b"]).groupBy("column_name").agg(
+            F.count_distinct("label_index").alias("k"), F.min("label_index").alias("lo"), F.max("label_index").alias("hi"))
+        assert {r.column_name: (r.k, r.lo, r.hi) for r in got.collect()} == {"a": (400_000, 0.0, 399_999.0), "b": (3, 0.0, 2.0)}
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def test_idf_least_document_frequency_matches_mllib(spark):
+    docs = spark.createDataFrame([(0, ["a", "b"]), (1, ["a"]), (2, ["c", "a"])], "id int, w array<string>")
+    table = text.fit_idf(docs, "w", min_doc_freq=2)
+    tf = text.term_frequency(docs, "id", "w")
+    got = {r.term: r.idf for r in table.transform(tf, "id").collect()}
+    assert got["b"] == got["c"] == 0.0 and abs(got["a"] - 0.0) < 1e-12
+
