@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from spindle.session import shared_path
 
 #: Bytes of text that are tokenised at once (a single longer text is taken whole).
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -71,7 +71,7 @@ def _powers(n: int) -> list[np.ndarray]:
     if not _POWERS or len(_POWERS[0]) < n:
         _POWERS[:] = []
         for base in (_BASE, _BASE_INV):
-            p = np.full(max(n, SLICE_BYTES + 1), np.uint64(base))
+            p = np.full(1 << (n - 1).bit_length(), np.uint64(base))
             p[0] = 1
             _POWERS.append(np.multiply.accumulate(p))
     return _POWERS
@@ -96,7 +96,7 @@ def text_slices(column: pa.Array):
         row = last
 
 
-def small_batches(batches, column: str = "text", size: int = 2 * SLICE_BYTES):
+def small_batches(batches, column: str = "text", size: int = 4 * SLICE_BYTES):
     """The same rows in batches of about ``size`` bytes of text at most."""
     for batch in batches:
         if not batch.num_rows:
@@ -137,6 +137,16 @@ def span_hashes(data: np.ndarray, begin: np.ndarray, finish: np.ndarray) -> np.n
     return mix64(h + (finish - begin).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+def code_hashes(codes: np.ndarray, begin: np.ndarray, finish: np.ndarray) -> np.ndarray:
+    """64-bit hashes of spans of code points, as they are."""
+    n = len(codes)
+    power, inverse = _powers(n + 1)
+    total = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * power[:n], out=total[1:])
+    h = (total[finish] - total[begin]) * inverse[begin]
+    return mix64(h + (finish - begin).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
 def hashed_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All word hashes of a column in row order and the word count of each row."""
     hashes, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]

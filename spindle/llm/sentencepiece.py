@@ -28,15 +28,24 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spindle.llm.base import received, shared, small_batches, written
+from spindle.llm.base import buckets, code_hashes, received, shared, small_batches
 from spindle.llm.pieces import MODEL_FILE, SPACE_MARK, Cutter, read_pieces
+from spindle.session import shared_path
 
 #: Longest unit that is encoded by the fold.
 LONG = 64
+#: Units of a partition whose edges are grouped in memory (above, Spark sorts them).
+GROUPED_UNITS = 200_000
 #: What an unknown character costs below the lowest score.
 UNKNOWN_PENALTY = 10.0
+#: Bits of a unit's number within a part (a part has no more units than bytes, one long text aside).
+PLACE_BITS = 32
+#: Rows that reach a Python worker at once while streams are made.
+BATCH_ROWS = 1000
+#: Bytes of text that are cut into units at once.
+BATCH_BYTES = 1 << 20
 #: Bytes of text of a part of the input (a longer text is a part of its own).
-PART_BYTES = 48 << 20
+PART_BYTES = 16 << 20
 
 
 def _units_of(cutter: Cutter, texts: list[str]):
@@ -49,20 +58,27 @@ def _units_of(cutter: Cutter, texts: list[str]):
     start = cutter.units(codes, first[size > 0])
     counts = np.searchsorted(start, first + size) - np.searchsorted(start, first)
     end = np.append(start[1:], len(codes))
-    seen: dict[str, int] = {}
-    number = np.fromiter((seen.setdefault(whole[a:b], len(seen)) for a, b in zip(start.tolist(), end.tolist())),
-                         np.int32, len(start))
-    return counts, number, list(seen)
-
-
-def _planes(x: np.ndarray) -> bytes:
-    """32-bit numbers, byte by byte, compressed."""
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes())
-
-
-def _unplanes(b: bytes) -> np.ndarray:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(b), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(raw.T).view("<u4").reshape(-1)
+    _, at, number = np.unique(code_hashes(codes, start, end), return_index=True, return_inverse=True)
+    return counts, number, [whole[a:b] for a, b in zip(start[at].tolist(), end[at].tolist())]
+
+
+def _pack_numbers(x: np.ndarray) -> bytes:
+    """Numbers as bytes; 255 stands for one of the rest, three bytes each."""
+    low = np.minimum(x, 255).astype(np.uint8)
+    rest = np.ascontiguousarray(x[x >= 255].astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].T)
+    press = zstandard.ZstdCompressor(level=3).compress
+    first = press(low.tobytes())
+    return len(first).to_bytes(8, "little") + first + press(rest.tobytes())
+
+
+def _unpack_numbers(b: bytes) -> np.ndarray:
+    size, plain = int.from_bytes(b[:8], "little"), zstandard.ZstdDecompressor().decompress
+    out = np.frombuffer(plain(b[8:8 + size]), np.uint8).astype(np.int64)
+    raw = np.frombuffer(plain(b[8 + size:]), np.uint8).reshape(3, -1)
+    rest = np.zeros((raw.shape[1], 4), np.uint8)
+    rest[:, :3] = raw.T
+    out[out == 255] = rest.reshape(-1).view("<u4")
+    return out
 
 
 def _streams(cutter):
@@ -73,19 +89,21 @@ def _streams(cutter):
         bytes_held = 0
 
         def row():
-            times = np.bincount(np.concatenate([h[2] for h in held]), minlength=len(known))
-            rank = np.empty(len(known), np.int64)
+            times = np.zeros(len(known), np.int64)
+            for h in held:
+                times += np.bincount(h[2], minlength=len(known))
+            rank = np.empty(len(known), np.uint32)
             order = np.argsort(-times, kind="stable")           # frequent units get small numbers
-            rank[order] = np.arange(len(known))
+            rank[order] = np.arange(len(known), dtype=np.uint32)
             units = list(known)
             return pa.RecordBatch.from_pylist([{
-                "chunk": (part << 32) | seq, "doc_id": [i for h in held for i in h[0]],
+                "chunk": (part << 15) | seq, "doc_id": [i for h in held for i in h[0]],
                 "n": np.concatenate([h[1] for h in held]).astype(np.int32).tobytes(),
-                "stream": _planes(rank[np.concatenate([h[2] for h in held])]), "units": [units[i] for i in order]}],
+                "stream": _pack_numbers(np.concatenate([rank[h[2]] for h in held])), "units": [units[i] for i in order]}],
                 schema=pa.schema([("chunk", pa.int64()), ("doc_id", pa.list_(pa.int64())), ("n", pa.binary()),
                                   ("stream", pa.binary()), ("units", pa.list_(pa.string()))]))
 
-        for batch in small_batches(batches):
+        for batch in small_batches(batches, size=BATCH_BYTES):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             counts, number, units = _units_of(cut, texts)
             at = np.fromiter((known.setdefault(u, len(known)) for u in units), np.int64, len(units))
@@ -94,9 +112,12 @@ def _streams(cutter):
             bytes_held += sum(map(len, texts))
             if bytes_held >= PART_BYTES:
                 yield row()
+                pa.default_memory_pool().release_unused()
                 seq, held, known, bytes_held = seq + 1, [], {}, 0
         if held:
             yield row()
+        held, known = [], {}
+        pa.default_memory_pool().release_unused()
     return run, "chunk long, doc_id array<long>, n binary, stream binary, units array<string>"
 
 
@@ -145,92 +166,102 @@ def viterbi(unit: str, pieces: dict[str, tuple[int, float]], longest: int, lowes
     return ids[::-1]
 
 
-def _long_units(table):
-    def run(batches):
-        pieces, longest, lowest = received(table)
-        for batch in batches:
-            units = batch.column("unit").to_pylist()
-            yield pa.RecordBatch.from_arrays([batch.column("unit"), pa.array([viterbi(u, pieces, longest, lowest) for u in units],
-                                                                             pa.list_(pa.int32()))], names=["unit", "ids"])
-    return run
+def _with_bytes(unit: str, ids: list[int], names: dict[int, str], byte: dict[int, int]) -> list[int]:
+    """Unknown characters as their UTF-8 bytes."""
+    out, at = [], 0
+    for i in ids:
+        if i < 0:
+            out += [byte[b] for b in unit[at].encode("utf-8", "surrogatepass")]
+            at += 1
+        else:
+            out.append(i)
+            at += len(names[i])
+    return out
 
 
-def _assembled(byte_ids):
-    """A part's stream + (position, unit, ids) -> ids of each text."""
+def _assembled(table):
+    """A part's stream + (position, ids, rare) of its units -> ids of each
+    text; ``rare`` is the unit where it is long or has unknown characters."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        byte = received(byte_ids)
-        out = []
-        pos = np.asarray(right.column("pos")).astype(np.int64)
-        order = np.argsort(pos)
-        units = right.column("unit").take(pa.array(order)).combine_chunks().to_pylist()
-        lists = right.column("ids").take(pa.array(order)).combine_chunks()
-        size, flat = np.asarray(lists.value_lengths()).astype(np.int64), np.asarray(lists.flatten())
-        if (flat < 0).any():                             # unknown characters become their bytes
-            fixed, at = [], 0
-            for u, s in zip(units, size.tolist()):
-                ids = flat[at:at + s].tolist()
-                at += s
-                fixed.append(_with_bytes(u, ids, byte) if -1 in ids else ids)
-            size = np.fromiter((len(f) for f in fixed), np.int64, len(fixed))
-            flat = np.fromiter((i for f in fixed for i in f), np.int32, int(size.sum()))
-        begin = np.cumsum(size) - size
+        pieces, longest, lowest, byte = received(table)
+        order = pa.array(np.argsort(np.asarray(right.column("pos"))))
+        lists = right.column("ids").combine_chunks().take(order)
+        rare = right.column("rare").combine_chunks().take(order)
+        size, flat = np.asarray(lists.value_lengths().fill_null(0)).astype(np.int64), np.asarray(lists.flatten())
+        begin, out = np.cumsum(size) - size, []
+        if rare.null_count < len(rare):
+            names, more, at = {i: p for p, (i, _) in pieces.items()}, [flat], len(flat)
+            for k in np.flatnonzero(np.asarray(rare.is_valid())).tolist():
+                unit, ids = rare[k].as_py(), lists[k].as_py()
+                ids = _with_bytes(unit, viterbi(unit, pieces, longest, lowest) if ids is None else ids, names, byte)
+                more.append(np.asarray(ids, np.int32))
+                begin[k], size[k], at = at, len(ids), at + len(ids)
+            flat = np.concatenate(more)
         for row in left.to_pylist():
-            stream, n = _unplanes(row["stream"]).astype(np.int64), np.frombuffer(row["n"], np.int32)
-            first, step = 0, 200_000
-            ends = np.cumsum(n)
-            while first < len(n):                        # texts by texts, so that memory stays bounded
-                last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + step, "right")))
-                units_here = stream[ends[first] - n[first]:ends[last - 1]]
-                k = size[units_here]
-                where = np.repeat(begin[units_here] - (np.cumsum(k) - k), k) + np.arange(k.sum())
-                total = np.add.reduceat(np.append(k, 0), np.minimum(np.cumsum(n[first:last]) - n[first:last], len(k))) \
-                    if len(k) else np.zeros(last - first, np.int64)
-                total = np.where(n[first:last] > 0, total, 0)
+            stream, n = _unpack_numbers(row["stream"]), np.frombuffer(row["n"], np.int32).astype(np.int64)
+            end, first = np.cumsum(n), 0
+            while first < len(n):                        # some texts at a time, so that memory stays bounded
+                done = end[first - 1] if first else 0
+                last = max(first + 1, int(np.searchsorted(end, done + 200_000, "right")))
+                units = stream[done:end[last - 1]]
+                k = size[units]
+                where = np.repeat(begin[units] - (np.cumsum(k) - k), k) + np.arange(k.sum())
+                text = np.repeat(np.arange(last - first), n[first:last])
+                total = np.bincount(text, weights=k, minlength=last - first).astype(np.int64)
                 offsets = np.concatenate([[0], np.cumsum(total)]).astype(np.int32)
                 out.append(pa.table({"doc_id": pa.array(row["doc_id"][first:last], pa.int64()),
                                      "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat[where].astype(np.int32)))}))
                 first = last
-        return pa.concat_tables(out) if out else pa.table({"doc_id": pa.array([], pa.int64()), "ids": pa.array([], pa.list_(pa.int32()))})
+        return pa.concat_tables(out)
     return run
 
 
-def _with_bytes(unit: str, ids: list[int], byte: tuple[dict[int, int], dict[int, str]]) -> list[int]:
-    codes, names = byte
-    out, at = [], 0
-    for i in ids:
-        if i < 0:
-            out += [codes[b] for b in unit[at].encode("utf-8", "surrogatepass")]
-            at += 1
-        else:
-            out.append(i)
-            at += len(names[i])
-    return out
+def _bucketed(df: DataFrame, key: str, parts: int) -> DataFrame:
+    """``df`` as a table in the shared folder, cut by ``key`` as a shuffle
+    would, so that later groupings by it need none."""
+    spark, path = df.sparkSession, shared_path(df.sparkSession, "pieces-streams")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    df.write.option("compression", "zstd").bucketBy(parts, key).option("path", path).saveAsTable(name)
+    return spark.table(name)
 
 
 def encode(docs: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
     """``(doc_id, ids)`` for every row of ``docs (doc_id, text)``.
 
+    Sets the session's limit of keys that collect_list groups without a sort.
     NULL and empty texts have no ids.  Of equal sums the one
     with the longer last piece wins, from the end of each unit backwards.  Repeated rows are encoded one by one; other columns are ignored; an
     empty table gives no rows.
     """
     spark = docs.sparkSession
+    spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", str(GROUPED_UNITS))
     normal, byte = read_pieces(model_file)
     longest, lowest = max(len(p) for _, p, _ in normal), min(s for _, _, s in normal)
     pieces = spark.createDataFrame([(p, i, s) for i, p, s in normal], "piece string, id int, score double")
     run, schema = _streams(shared(spark, Cutter([p for _, p, _ in normal])))
-    streams = written(docs.select("doc_id", "text").mapInArrow(run, schema), "pieces-streams")
-    asked = streams.select("chunk", F.posexplode("units").alias("pos", "unit"))
-    units = asked.select("unit").distinct()
-    short = encode_units(units.filter(F.length("unit") <= LONG), pieces, longest, lowest)
-    table = shared(spark, ({p: (i, s) for i, p, s in normal}, longest, lowest))
-    long = units.filter(F.length("unit") > LONG).mapInArrow(_long_units(table), "unit string, ids array<int>")
-    known = written(short.unionByName(long), "pieces-units")
-    answers = asked.join(known, "unit").select("chunk", "pos", "unit", "ids")
-    bytes_ = shared(spark, (byte, {i: p for i, p, _ in normal}))
-    streams = spark.read.schema(streams.schema).parquet(streams.written_path)
-    return (streams.drop("units").groupBy("chunk").cogroup(answers.groupBy("chunk"))
-            .applyInArrow(_assembled(bytes_), "doc_id long, ids array<int>"))
+    rows, before = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set(rows, str(BATCH_ROWS))
+    try:
+        streams = _bucketed(docs.select("doc_id", "text").mapInArrow(run, schema), "chunk", buckets(spark))
+    finally:
+        spark.conf.set(rows, before)
+    asked = streams.select("chunk", F.posexplode("units").alias("pos", "unit")).filter("unit is not null")
+    # one exchange by unit: the lattice and the list of who asked both start from it
+    place = F.shiftleft("chunk", PLACE_BITS) + F.col("pos")
+    asked = asked.select("unit", place.alias("place")).repartition(4 * buckets(spark), "unit")
+    asked = asked.groupBy("unit").agg(F.collect_list("place").alias("at"))
+    # (conditions on "at", so that they stay above the exchange, which is then reused)
+    size = F.when(F.size("at") > 0, F.length("unit"))
+    short = encode_units(asked.filter(size <= LONG).select("unit"), pieces, longest, lowest)
+    answers = (asked.filter(size > 0).join(short.withColumnRenamed("unit", "_unit"), F.col("unit") == F.col("_unit"), "left")
+               .select("ids", F.when(F.col("ids").isNull() | F.array_contains("ids", -1), F.col("unit")).alias("rare"),
+                       F.explode("at").alias("place"))
+               .select("ids", "rare", F.shiftright("place", PLACE_BITS).alias("chunk"),
+                       F.col("place").bitwiseAND((1 << PLACE_BITS) - 1).cast("int").alias("pos")))
+    table = shared(spark, ({p: (i, s) for i, p, s in normal}, longest, lowest, byte))
+    streams = streams.select(F.col("chunk").alias("part"), "doc_id", "n", "stream")
+    return streams.groupBy("part").cogroup(answers.groupBy("chunk")).applyInArrow(
+        _assembled(table), "doc_id long, ids array<int>")
 
 
 def decode_ids(ids: list[int], names: dict[int, str], byte_of: dict[int, int]) -> str:
