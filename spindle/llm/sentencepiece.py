@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spindle.llm.base import buckets, code_hashes, received, shared, small_batches
+from spindle.llm.base import buckets, code_hashes, received, runs, shared, small_batches
 from spindle.llm.pieces import MODEL_FILE, SPACE_MARK, Cutter, read_pieces
 from spindle.session import shared_path
 
@@ -44,6 +44,8 @@ PLACE_BITS = 32
 BATCH_ROWS = 1000
 #: Bytes of text that are cut into units at once.
 BATCH_BYTES = 1 << 20
+#: Answers that are packed together.
+PACKED = 500_000
 #: Bytes of text of a part of the input (a longer text is a part of its own).
 PART_BYTES = 16 << 20
 
@@ -63,9 +65,9 @@ def _units_of(cutter: Cutter, texts: list[str]):
 
 
 def _pack_numbers(x: np.ndarray) -> bytes:
-    """Numbers as bytes; 255 stands for one of the rest, three bytes each."""
+    """Numbers as bytes; 255 stands for one of the rest, four bytes each."""
     low = np.minimum(x, 255).astype(np.uint8)
-    rest = np.ascontiguousarray(x[x >= 255].astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].T)
+    rest = np.ascontiguousarray(x[x >= 255].astype("<u4").view(np.uint8).reshape(-1, 4).T)
     press = zstandard.ZstdCompressor(level=3).compress
     first = press(low.tobytes())
     return len(first).to_bytes(8, "little") + first + press(rest.tobytes())
@@ -74,9 +76,9 @@ def _pack_numbers(x: np.ndarray) -> bytes:
 def _unpack_numbers(b: bytes) -> np.ndarray:
     size, plain = int.from_bytes(b[:8], "little"), zstandard.ZstdDecompressor().decompress
     out = np.frombuffer(plain(b[8:8 + size]), np.uint8).astype(np.int64)
-    raw = np.frombuffer(plain(b[8 + size:]), np.uint8).reshape(3, -1)
+    raw = np.frombuffer(plain(b[8 + size:]), np.uint8).reshape(4, -1)
     rest = np.zeros((raw.shape[1], 4), np.uint8)
-    rest[:, :3] = raw.T
+    rest[:] = raw.T
     out[out == 255] = rest.reshape(-1).view("<u4")
     return out
 
@@ -179,24 +181,67 @@ def _with_bytes(unit: str, ids: list[int], names: dict[int, str], byte: dict[int
     return out
 
 
+_ANSWERS = "chunk long, pos binary, size binary, flat binary, rare_at binary, rare array<string>"
+
+
+def _packed_answers(batches):
+    """(ids, rare, place) -> one row for each part among every ``PACKED`` rows."""
+    def rows():
+        place = np.concatenate([np.asarray(b.column("place")) for b in held])
+        lists = pa.concat_arrays([b.column("ids") for b in held])
+        rare = pa.concat_arrays([b.column("rare") for b in held])
+        order = np.argsort(place, kind="stable")
+        place, lists, rare = place[order], lists.take(pa.array(order)), rare.take(pa.array(order))
+        size = np.asarray(lists.value_lengths().fill_null(0)).astype(np.int64)
+        flat, end, odd = np.asarray(lists.flatten()).astype(np.int64), np.cumsum(size), np.asarray(rare.is_valid())
+        at, n = runs(place >> PLACE_BITS)
+        out = []
+        for a, k in zip(at.tolist(), n.tolist()):
+            strange = np.flatnonzero(odd[a:a + k])
+            out.append({"chunk": int(place[a]) >> PLACE_BITS,
+                        "pos": _pack_numbers(np.diff(place[a:a + k] & ((1 << PLACE_BITS) - 1), prepend=0)),
+                        "size": _pack_numbers(size[a:a + k]),
+                        "flat": _pack_numbers(flat[end[a] - size[a]:end[a + k - 1]] + 1),
+                        "rare_at": _pack_numbers(strange), "rare": rare.take(pa.array(a + strange)).to_pylist()})
+        return pa.RecordBatch.from_pylist(out, schema=pa.schema(
+            [("chunk", pa.int64()), *((c, pa.binary()) for c in ("pos", "size", "flat", "rare_at")), ("rare", pa.list_(pa.string()))]))
+
+    held: list = []
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+        if sum(b.num_rows for b in held) >= PACKED:
+            yield rows()
+            held = []
+    if held:
+        yield rows()
+
+
 def _assembled(table):
-    """A part's stream + (position, ids, rare) of its units -> ids of each
-    text; ``rare`` is the unit where it is long or has unknown characters."""
+    """A part's stream + the packed ids of its units -> ids of each text;
+    ``rare`` units are long or have unknown characters."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         pieces, longest, lowest, byte = received(table)
-        order = pa.array(np.argsort(np.asarray(right.column("pos"))))
-        lists = right.column("ids").combine_chunks().take(order)
-        rare = right.column("rare").combine_chunks().take(order)
-        size, flat = np.asarray(lists.value_lengths().fill_null(0)).astype(np.int64), np.asarray(lists.flatten())
-        begin, out = np.cumsum(size) - size, []
-        if rare.null_count < len(rare):
-            names, more, at = {i: p for p, (i, _) in pieces.items()}, [flat], len(flat)
-            for k in np.flatnonzero(np.asarray(rare.is_valid())).tolist():
-                unit, ids = rare[k].as_py(), lists[k].as_py()
-                ids = _with_bytes(unit, viterbi(unit, pieces, longest, lowest) if ids is None else ids, names, byte)
-                more.append(np.asarray(ids, np.int32))
-                begin[k], size[k], at = at, len(ids), at + len(ids)
-            flat = np.concatenate(more)
+        names = {i: p for p, (i, _) in pieces.items()}
+        spots, sizes, flats, fixes, at = [], [], [], [], 0
+        for row in right.to_pylist():
+            spots.append(np.cumsum(_unpack_numbers(row["pos"])))
+            sizes.append(_unpack_numbers(row["size"]))
+            flats.append((_unpack_numbers(row["flat"]) - 1).astype(np.int32))
+            fixes += [(at + k, unit) for k, unit in zip(_unpack_numbers(row["rare_at"]).tolist(), row["rare"])]
+            at += len(spots[-1])
+        none = [np.zeros(0, np.int64)]
+        spot, size = np.concatenate(spots or none), np.concatenate(sizes or none)
+        flat = np.concatenate(flats or [np.zeros(0, np.int32)])
+        begin, more, at, out = np.cumsum(size) - size, [flat], len(flat), []
+        for k, unit in fixes:
+            ids = flat[begin[k]:begin[k] + size[k]].tolist()
+            ids = _with_bytes(unit, ids or viterbi(unit, pieces, longest, lowest), names, byte)
+            more.append(np.asarray(ids, np.int32))
+            begin[k], size[k], at = at, len(ids), at + len(ids)
+        flat = np.concatenate(more)
+        by_spot = np.argsort(spot, kind="stable")
+        begin, size = begin[by_spot], size[by_spot]
         for row in left.to_pylist():
             stream, n = _unpack_numbers(row["stream"]), np.frombuffer(row["n"], np.int32).astype(np.int64)
             end, first = np.cumsum(n), 0
@@ -255,9 +300,7 @@ def encode(docs: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
     short = encode_units(asked.filter(size <= LONG).select("unit"), pieces, longest, lowest)
     answers = (asked.filter(size > 0).join(short.withColumnRenamed("unit", "_unit"), F.col("unit") == F.col("_unit"), "left")
                .select("ids", F.when(F.col("ids").isNull() | F.array_contains("ids", -1), F.col("unit")).alias("rare"),
-                       F.explode("at").alias("place"))
-               .select("ids", "rare", F.shiftright("place", PLACE_BITS).alias("chunk"),
-                       F.col("place").bitwiseAND((1 << PLACE_BITS) - 1).cast("int").alias("pos")))
+                       F.explode("at").alias("place")).mapInArrow(_packed_answers, _ANSWERS))
     table = shared(spark, ({p: (i, s) for i, p, s in normal}, longest, lowest, byte))
     streams = streams.select(F.col("chunk").alias("part"), "doc_id", "n", "stream")
     return streams.groupBy("part").cogroup(answers.groupBy("chunk")).applyInArrow(
