@@ -14,6 +14,8 @@ from spindle.session import shared_path
 
 #: Bytes of text that are tokenised at once (a single longer text is taken whole).
 SLICE_BYTES = 2 << 20
+#: Bytes of an Arrow batch that carries texts to Python.
+BATCH_BYTES = 8 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -77,7 +79,13 @@ def _powers(n: int) -> list[np.ndarray]:
     return _POWERS
 
 
-def text_slices(column: pa.Array):
+def bounded_batches(spark) -> None:
+    """Hold the session's Arrow batches to ``BATCH_BYTES`` (rows alone don't
+    bound a batch of long texts).  Batches never change a result."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+def text_slices(column: pa.Array, size: int = SLICE_BYTES):
     """``(first row, bytes, starts, ends)`` for runs of rows of a string
     column; NULL is an empty text.  Starts and ends index the bytes."""
     if isinstance(column, pa.ChunkedArray):
@@ -90,7 +98,7 @@ def text_slices(column: pa.Array):
     data = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
     row = 0
     while row < len(column):
-        last = max(row + 1, int(np.searchsorted(offsets, offsets[row] + SLICE_BYTES, "right")) - 1)
+        last = max(row + 1, int(np.searchsorted(offsets, offsets[row] + size, "right")) - 1)
         cut = offsets[row:last + 1]
         yield row, data[cut[0]:cut[-1]], cut[:-1] - cut[0], cut[1:] - cut[0]
         row = last
@@ -127,14 +135,22 @@ def words_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
     return begin, finish, np.searchsorted(begin, ends) - np.searchsorted(begin, starts)
 
 
-def span_hashes(data: np.ndarray, begin: np.ndarray, finish: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte spans with A-Z read as a-z."""
+def span_hasher(data: np.ndarray):
+    """``(begin, finish) -> 64-bit hashes`` of byte spans with A-Z read as a-z."""
     n = len(data)
     power, inverse = _powers(n + 1)
     total = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum(_LOWER[data] * power[:n], out=total[1:])
-    h = (total[finish] - total[begin]) * inverse[begin]
-    return mix64(h + (finish - begin).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+    def hashes(begin: np.ndarray, finish: np.ndarray) -> np.ndarray:
+        h = (total[finish] - total[begin]) * inverse[begin]
+        return mix64(h + (finish - begin).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    return hashes
+
+
+def span_hashes(data: np.ndarray, begin: np.ndarray, finish: np.ndarray) -> np.ndarray:
+    """64-bit hashes of byte spans with A-Z read as a-z."""
+    return span_hasher(data)(begin, finish)
 
 
 def code_hashes(codes: np.ndarray, begin: np.ndarray, finish: np.ndarray) -> np.ndarray:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spindle.llm.base import received, shared, written
+from spindle.llm.base import bounded_batches, received, shared, written
 
 #: Largest number of redrawn entities that is broadcast (beyond: a join by text).
 BROADCAST_REDRAWN = 50_000
@@ -265,6 +265,7 @@ def _rewritten(key: bytes, fixed, columns: list[str]):
                 counts.append(n)
             arrays = [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in columns]
             yield pa.RecordBatch.from_arrays([*arrays, pa.array(counts, pa.int32())], names=[*columns, "n_entities"])
+        pa.default_memory_pool().release_unused()
     return run
 
 
@@ -284,6 +285,7 @@ def pseudonymise(docs: DataFrame, key: bytes = KEY, broadcast_limit: int = BROAD
     replaced); an empty table gives no rows.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     docs = docs.drop(*[c for c in docs.columns if c.lower() == "n_entities"])
     redrawn = written(surrogate_table(docs, key).filter("draw > 0").select("kind", "form", "new"), "pii-redrawn")
     schema = docs.schema.simpleString()

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spindle.llm.base import hash_mod, mix64, received, shared, text_slices, written
+from spindle.llm.base import bounded_batches, hash_mod, mix64, received, shared, text_slices, written
 
 #: Labelled rows that examples and vocabulary are taken from, largest vocabulary, examples that vote, examples of a block.
 FIT_ROWS, TERMS, NEAREST, BLOCK = 20_000, 2048, 15, 64
@@ -31,6 +31,8 @@ FIT_ROWS, TERMS, NEAREST, BLOCK = 20_000, 2048, 15, 64
 #: hold it (a number, and a share of all that bear the label: copies of one text must not make its words terms).
 MIN_CHI2, MIN_SHARE, MIN_ROWS, MIN_SUPPORT = 30.0, 0.6, 6, 0.01
 STEMS = (4, 5, 6)
+#: Bytes of text whose terms are hashed at once.
+TERM_BYTES = 512 << 10
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
 _LETTER = np.zeros(256, bool)
@@ -39,8 +41,8 @@ _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
 
 def _terms(column: pa.Array):
     """``(first row, row of each term, term hash)`` by slices."""
-    from spindle.llm.base import span_hashes
-    for row, data, starts, ends in text_slices(column):
+    from spindle.llm.base import span_hasher
+    for row, data, starts, ends in text_slices(column, TERM_BYTES):
         low = _FOLD[data]
         latin = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)) + 1
         low[latin] += 32
@@ -54,11 +56,12 @@ def _terms(column: pa.Array):
         begin, finish = np.flatnonzero(begin), np.flatnonzero(finish) + 1
         n = np.searchsorted(begin, ends) - np.searchsorted(begin, starts)
         of = np.repeat(np.arange(len(n)), n)
-        rows, hashes = [of], [span_hashes(low, begin, finish)]
+        span_hashes = span_hasher(low)
+        rows, hashes = [of], [span_hashes(begin, finish)]
         for k in STEMS:
             long = finish - begin > k
             rows.append(of[long])
-            hashes.append(mix64(span_hashes(low, begin[long], begin[long] + k) + np.uint64(k)))
+            hashes.append(mix64(span_hashes(begin[long], begin[long] + k) + np.uint64(k)))
         yield row, len(n), np.concatenate(rows), np.concatenate(hashes)
 
 
@@ -97,6 +100,7 @@ def _vectors(vocabulary, keep: list[str]):
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in keep), pa.array(out_t, pa.list_(pa.int32())),
                  pa.array(out_n, pa.list_(pa.int32()))], names=[*keep, "_terms", "_times"])
+        pa.default_memory_pool().release_unused()
     return run
 
 
@@ -199,6 +203,7 @@ def fit(rows: DataFrame, labels: DataFrame, folds: int, held: int, fit_rows: int
     """``(vocabulary, index, rates, vectors)``, all but the vectors broadcast;
     ``rows (doc_id, text, held_out)``."""
     spark = rows.sparkSession
+    bounded_batches(spark)
     sample = written(labels.filter((hash_mod("doc_id", folds) != held) & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
                      .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
                      .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows), "toxicity-sample")
@@ -244,6 +249,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int
     NULL and empty texts and texts without a vocabulary term get the label
     rate of such examples and no evidence; without any labelled row the score
     is 0.  A doc_id with several labels takes the largest, NULL labels none.
+    Sets the session's limit of bytes of an Arrow batch.
     Repeated rows are scored one by one, other columns are ignored, an empty
     table gives no rows.
     """
@@ -256,6 +262,6 @@ def without_toxic(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int
     """The rows of ``docs``, all columns, that ``score_toxicity`` doesn't predict as toxic."""
     vocabulary, index, rates, _ = fit(_rows(docs, folds, held), labels, folds, held, fit_rows)
     keep = docs.columns
-    found = docs.mapInArrow(_vectors(vocabulary, keep), _schema(docs, keep, _VECTOR))
-    found = found.mapInArrow(_score(index, rates, keep, hidden=True), _schema(docs, keep, _evidence(_HIDDEN)))
+    vectors, scored = _vectors(vocabulary, keep), _score(index, rates, keep, hidden=True)
+    found = docs.mapInArrow(lambda batches: scored(vectors(batches)), _schema(docs, keep, _evidence(_HIDDEN)))
     return found.filter("_predicted = 0").select(*keep)
