@@ -18,45 +18,18 @@ from spindle.functions.vectors import vector_element  # noqa: F401 (re-exported)
 from spindle.operators.common import ensure_parallelism
 
 
-def vector_size(df: DataFrame, features_col: str) -> int:
-    """Width of a vector column, from its ML metadata (no job) when present."""
-    meta = df.schema[features_col].metadata.get("ml_attr", {})
-    if "num_attrs" in meta:
-        return int(meta["num_attrs"])
-    first = df.select(features_col).first()
-    return first[0].size if first else 0
-
-
-def sized_for_gradient(df: DataFrame, dim: int) -> tuple[DataFrame, int]:
-    """Right-size partitions for an optimiser that sums a dense gradient of
-    width ``dim`` per partition in every step.
-
-    Each partition then costs O(dim) per step however few rows it holds, so
-    partitions should carry at least ``max(10 000, dim / 8)`` rows.  Only
-    ever *reduces* the partition count, with ``coalesce`` (no shuffle); a
-    large input keeps its partitioning.  Returns the frame and a tree
-    aggregation depth suited to its partition count.
-    """
-    parts = df.rdd.getNumPartitions()
-    rows_per_part = max(10_000, dim // 8)
-    target = min(parts, max(1, -(-df.count() // rows_per_part)))
-    out = df.coalesce(target) if target < parts else df
-    depth = 2 if target <= 1_000 else 3
-    return out, depth
-
-
 def fit_logistic(df: DataFrame, features_col: str, label_col: str, reg_param: float = 0.0,
-                 max_iter: int = 100, weight_col: str | None = None, elastic_net: float = 0.0):
+                 max_iter: int = 100, weight_col: str | None = None, elastic_net: float = 0.0,
+                 aggregation_depth: int = 2):
     """Binary logistic regression (K5: L2 via ``reg_param``; K6: weighted
-    and/or capped iterations).  Partitions are sized for the gradient width
-    (see :func:`sized_for_gradient`)."""
+    and/or capped iterations).  Rows keep the partitions they have; raise
+    ``aggregation_depth`` where thousands of them sum a wide gradient."""
     from pyspark.ml.classification import LogisticRegression
-    data, depth = sized_for_gradient(df, vector_size(df, features_col))
     kw = dict(featuresCol=features_col, labelCol=label_col, regParam=reg_param, maxIter=max_iter,
-              elasticNetParam=elastic_net, family="binomial", aggregationDepth=depth)
+              elasticNetParam=elastic_net, family="binomial", aggregationDepth=aggregation_depth)
     if weight_col:
         kw["weightCol"] = weight_col
-    return LogisticRegression(**kw).fit(data)
+    return LogisticRegression(**kw).fit(df)
 
 
 def fit_decision_tree(df: DataFrame, features_col: str, label_col: str, max_depth: int = 5,

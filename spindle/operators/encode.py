@@ -143,7 +143,8 @@ def encoding_pipeline(categorical: list[str], numeric: list[str], features_col:
                       label: str | None = None, label_out: str = "label",
                       handle_invalid: str = "keep", drop_last: bool = True):
     """MLlib stages: one multi-column StringIndexer, one OneHotEncoder, an
-    optional label indexer and a VectorAssembler (E5–E9)."""
+    optional label indexer and a VectorAssembler (E5–E9).  ``handle_invalid``
+    is for categories; a NULL number and an unseen or NULL label raise."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
     idx = [f"{c}_index" for c in categorical]
@@ -158,8 +159,8 @@ def encoding_pipeline(categorical: list[str], numeric: list[str], features_col:
         stages.append(OneHotEncoder(inputCols=idx, outputCols=vec, dropLast=drop_last,
                                     handleInvalid="error"))
     if label:
-        stages.append(StringIndexer(inputCol=label, outputCol=label_out, handleInvalid="skip"))
-    stages.append(VectorAssembler(inputCols=vec + numeric, outputCol=features_col, handleInvalid="keep"))
+        stages.append(StringIndexer(inputCol=label, outputCol=label_out, handleInvalid="error"))
+    stages.append(VectorAssembler(inputCols=vec + numeric, outputCol=features_col, handleInvalid="error"))
     return Pipeline(stages=stages)
 
 

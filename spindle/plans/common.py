@@ -23,7 +23,3 @@ def metrics_by_split(scored: DataFrame, label: str, score: str = "p1",
     conf = evaluate.derived_metrics(counts)
     areas = evaluate.curve_areas(scored, label, score, ["split"])
     return conf.join(areas, "split", "left")
-
-
-def with_split(df: DataFrame, name: str) -> DataFrame:
-    return df.withColumn("split", F.lit(name))

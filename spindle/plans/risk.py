@@ -44,13 +44,14 @@ def prepare(df: DataFrame):
     from pyspark.ml.feature import StandardScaler, VectorAssembler
     df = clean.drop_marked(df, ["o_totalprice", "c_acctbal"], "NA")
     # both splits read the joined, cleaned rows: build them once
-    df = clean.cast_columns(df, ["o_totalprice", "c_acctbal"], "double").persist()
+    df = clean.cast_columns(df, ["o_totalprice", "c_acctbal"], "double")
+    df = clean.drop_incomplete(df, NUMERIC).persist()           # a number that does not parse is NULL
     train, test = split.split_frames(df, ["o_orderkey"], 80)
     ratio = profile.class_balance(train, LABEL).first()["balancing_ratio"]
     train = profile.with_class_weights(train, LABEL, ratio, "class_weight")
     test = profile.with_class_weights(test, LABEL, ratio, "class_weight")
     cat = encode.encoding_pipeline(CATEGORICAL, [], features_col="cat_vec", handle_invalid="keep")
-    num = VectorAssembler(inputCols=NUMERIC, outputCol="num_vec", handleInvalid="keep")
+    num = VectorAssembler(inputCols=NUMERIC, outputCol="num_vec", handleInvalid="error")
     scaler = StandardScaler(inputCol="num_vec", outputCol="num_scaled")
     selector = encode.chi2_selector("cat_vec", LABEL, "cat_selected", fpr=0.05)
     final = VectorAssembler(inputCols=["cat_selected", "num_scaled"], outputCol="features")

@@ -41,8 +41,7 @@ def q_stopwords(spark, sf_dir):
 
 
 def q_term_frequency(spark, sf_dir):
-    docs = word_docs(spark, sf_dir, ["lang"]).filter(F.col("lang") == "en")
-    return term_frequency(docs, "doc_id", "words")
+    return term_frequency(word_docs(spark, sf_dir), "doc_id", "words")
 
 
 def q_hashed_tf(spark, sf_dir):
@@ -93,7 +92,7 @@ FROM (SELECT doc_id, {TOKENS_SQL} AS t FROM (SELECT doc_id, {CLEAN_SQL} AS clean
     "stopwords": (q_stopwords, f"""WITH {_DOCS}
 SELECT doc_id, CAST(len(words) AS INTEGER) AS n_kept, array_to_string(words, ' ') AS kept_text FROM docs"""),
     "term_frequency": (q_term_frequency, f"""WITH {_DOCS}
-SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(words) AS term FROM docs WHERE lang = 'en')
+SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(words) AS term FROM docs)
 GROUP BY doc_id, term"""),
     "hashed_tf": (q_hashed_tf, None),
     "idf_fit": (q_idf_fit, _IDF + "\nSELECT term, doc_freq, round(idf, 6) AS idf FROM idf"),

@@ -130,3 +130,13 @@ def test_idf_least_document_frequency_matches_mllib(spark):
     got = {r.term: r.idf for r in table.transform(tf, "id").collect()}
     assert got["b"] == got["c"] == 0.0 and abs(got["a"] - 0.0) < 1e-12
 
+
+def test_encoding_pipeline_raises_on_null_numbers_and_zeroes_unseen_categories(spark):
+    from spindle.operators.encode import encoding_pipeline
+    train = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", 3.0)], "c string, x double")
+    model = encoding_pipeline(["c"], ["x"]).fit(train)
+    seen = {r.c: r.features.toArray().tolist() for r in model.transform(
+        spark.createDataFrame([("a", 5.0), ("b", 5.0), ("new", 5.0)], "c string, x double")).collect()}
+    assert seen == {"a": [1.0, 0.0, 5.0], "b": [0.0, 1.0, 5.0], "new": [0.0, 0.0, 5.0]}
+    with pytest.raises(Exception, match="(?i)null"):
+        model.transform(spark.createDataFrame([("a", None)], "c string, x double")).collect()
