@@ -87,6 +87,21 @@ def test_katz_weights_sum_to_one():
         assert abs(p.sum() - 1) < 1e-9
 
 
+def test_good_turing_holds_on_counts_with_copies():
+    # numbers of kinds with counts 1..6 of the given tables; n5 is close to n4 (copies), so that raw Turing factors pass 1
+    for low in ([215810, 61309, 26017, 14862, 13741, 7222], [16971, 3831, 1233, 563, 507, 210], [206040, 32099, 5057, 1892, 2568, 660]):
+        r, n = np.arange(1, 7), np.array(low, float)
+        spread = np.log(n / np.append(np.ones(5), 1.0))        # neighbours are one apart
+        slope = np.polyfit(np.log(r), spread, 1)[0]
+        tail = 6 ** (slope + 1)
+        want = ((1 + 1 / r[:5]) ** (slope + 1) - tail) / (1 - tail)
+        got = katz.discounts(low)
+        assert np.allclose(got[1:], want) and (got[1:] > 0).all() and (got[1:] < 1).all() and (np.diff(got[1:]) > 0).all()
+    far = katz.discounts([100, 30, 5, 2], at=[1, 2, 7, 40])
+    assert (far[1:] > 0).all() and (far[1:] < 1).all() and not np.allclose(far[1:], katz.discounts([100, 30, 5, 2])[1:])
+    assert katz.discounts([4])[1] == 0.5                       # no line: absolute discounting
+
+
 def test_pieces_match_brute_force_and_round_trip(spark, docs):
     normal, byte = read_pieces()
     pieces, names = {p: (i, s) for i, p, s in normal}, {i: p for i, p, _ in normal}
