@@ -21,6 +21,8 @@ Viterbi in a Python function, as the fold copies its state at each step.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -48,6 +50,7 @@ BATCH_BYTES = 1 << 20
 PACKED = 500_000
 #: Bytes of text of a part of the input (a longer text is a part of its own).
 PART_BYTES = 16 << 20
+_MARK = SPACE_MARK.encode("utf-8")
 
 
 def _units_of(cutter: Cutter, texts: list[str]):
@@ -307,27 +310,63 @@ def encode(docs: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
         _assembled(table), "doc_id long, ids array<int>")
 
 
-def decode_ids(ids: list[int], names: dict[int, str], byte_of: dict[int, int]) -> str:
-    """The text that ids stand for."""
-    raw = b"".join(bytes([byte_of[i]]) if i in byte_of else names[i].encode("utf-8") for i in ids)
-    text = raw.decode("utf-8", "surrogatepass").replace(SPACE_MARK, " ")
-    return text[1:] if text.startswith(" ") else text
+def _byte_table(model_file: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of all pieces one after another; first byte and length of each id (-1: no such id)."""
+    normal, byte = read_pieces(model_file)
+    names = {i: p.encode("utf-8") for i, p, _ in normal} | {i: bytes([b]) for b, i in byte.items()}
+    size = np.full(max(names) + 1, -1, np.int64)
+    size[list(names)] = [len(x) for x in names.values()]
+    order = sorted(names)
+    first = np.zeros(len(size), np.int64)
+    first[order] = np.cumsum(size[order]) - size[order]
+    return np.frombuffer(b"".join(names[i] for i in order), np.uint8), first, size
+
+
+def _decoded(table, lists: pa.Array):
+    """The UTF-8 bytes of the text that each list of ids stands for."""
+    data, first, size = table
+    counts = np.asarray(lists.value_lengths().fill_null(0)).astype(np.int64)
+    ids, end, row = np.asarray(lists.flatten()), np.cumsum(counts), 0
+    while row < len(counts):                             # some texts at a time, so that memory stays bounded
+        done = end[row - 1] if row else 0
+        last = max(row + 1, int(np.searchsorted(end, done + 200_000, "right")))
+        some = ids[done:end[last - 1]]
+        k = size[some]
+        if len(k) and k.min() < 0:
+            raise ValueError("an id that is not in the vocabulary")
+        raw = data[np.repeat(first[some] - (np.cumsum(k) - k), k) + np.arange(k.sum())].tobytes()
+        cut = np.concatenate([[0], np.cumsum(k)])[np.concatenate([[done], end[row:last]]) - done].tolist()
+        for a, b in zip(cut, cut[1:]):
+            text = raw[a:b].replace(_MARK, b" ")
+            yield text[1:] if text.startswith(b" ") else text
+        row = last
 
 
 def decode(encoded: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
     """``(doc_id, text)`` of ``encoded (doc_id, ids)``; no ids give an empty text."""
-    normal, byte = read_pieces(model_file)
-    share = shared(encoded.sparkSession, ({i: p for i, p, _ in normal}, {i: b for b, i in byte.items()}))
+    share = shared(encoded.sparkSession, _byte_table(model_file))
 
     def run(batches):
-        names, byte_of = received(share)
+        table = received(share)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(
-                [decode_ids(i or [], names, byte_of) for i in batch.column("ids").to_pylist()], pa.string())],
-                names=["doc_id", "text"])
+            texts = pa.array(list(_decoded(table, batch.column("ids"))), pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), texts.cast(pa.string())], names=["doc_id", "text"])
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
 
-def digest(encoded: DataFrame) -> DataFrame:
-    """``(doc_id, n_pieces, ids_hash)``: the hash is over the ids in order."""
-    return encoded.select("doc_id", F.size("ids").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"))
+def digest(encoded: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
+    """``(doc_id, n_pieces, ids_hash, text_crc32, text_bytes)``: the hash is
+    over the ids in order; CRC-32 and length are those of the UTF-8 bytes of
+    the text that the ids are decoded to, by the same pass as ``decode``."""
+    share = shared(encoded.sparkSession, _byte_table(model_file))
+
+    def run(batches):
+        table = received(share)
+        for batch in batches:
+            sums = [(zlib.crc32(t), len(t)) for t in _decoded(table, batch.column("ids"))]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("doc_id", "n_pieces", "ids_hash")),
+                 *(pa.array([x[k] for x in sums], pa.int64()) for k in (0, 1))],
+                names=["doc_id", "n_pieces", "ids_hash", "text_crc32", "text_bytes"])
+    hashed = encoded.select("doc_id", F.size("ids").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), "ids")
+    return hashed.mapInArrow(run, "doc_id long, n_pieces int, ids_hash long, text_crc32 long, text_bytes long")

@@ -1,11 +1,14 @@
 """NULLs, empty and long texts, ties, repeated rows, empty tables and extra
 columns for every operator and pipeline stage."""
 
+import zlib
+
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from spindle.llm import ann, jaccard, katz, langid, mixing, pii, sentencepiece, sharding, topk, toxicity
+from spindle.llm.queries import QUERIES
 
 LONG = "word " * 30_000 + "x" * 70_000
 ROWS = [(1, "The quick brown fox jumps over it", "en", "a", 1, 9.0), (2, None, "en", "a", 2, 9.0), (3, "", None, None, 3, 9.0),
@@ -59,6 +62,17 @@ def test_defined_results(docs, labels):
     assert all(0 <= r.score <= 1 for r in toxicity.score_toxicity(docs, labels).collect())
 
 
+def test_the_pieces_query_decodes_every_row(spark, docs, tmp_path):
+    more = spark.createDataFrame([(100 + i, t) for i, t in enumerate(
+        ["  two  spaces ", " ", "😀😀 \u200d end", "tab\tline\n\n", "ñ" * 5000, LONG, "x" * 70_000, "ends with space "])],
+        "doc_id long, text string")
+    table = docs.select("doc_id", "text").unionByName(more)
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted((r.doc_id or 0, r.text_crc32, r.text_bytes) for r in QUERIES["op7_sentencepiece"][0](spark, str(tmp_path)).collect())
+    want = [(r.doc_id or 0, (r.text or "").encode()) for r in table.collect()]
+    assert got == sorted((i, zlib.crc32(t), len(t)) for i, t in want)
+
+
 def test_stages_keep_columns_and_take_odd_rows(spark, docs, none, labels, tmp_path):
     labels.write.parquet(f"{tmp_path}/labels.parquet")
     for name, stage in corpus_pipeline.STAGES:
