@@ -1,16 +1,18 @@
 """Toxicity by the nearest labelled examples.
 
 Terms are runs of letters (A-Z and Latin-1 capitals read as small) and their
-beginnings of 4, 5 and 6 bytes.  The vocabulary holds the terms that the labelled
-examples tie to the label (chi-square over a bounded sample of labelled
-rows, growing classes of word forms included through the beginnings).
+beginnings of 4, 5 and 6 bytes.  The vocabulary holds every term of the
+labelled examples; a term that no example holds adds to no product of a text
+with an example and is left out of its length, which changes neither the
+order of a text's neighbours nor its vote.
 Weights are (1 + ln tf) * ln((1 + N) / (1 + df)), with df over all documents;
 vectors have unit length, so scores are exact cosines over the vocabulary.
 
-The examples form an inverted index: postings by term, cut at the same
-example numbers into blocks, each with its largest weight.  A text visits
-blocks in the order of their bounds (sum of block maxima times its weights)
-and stops when the next bound cannot beat the k-th cosine.  Votes of the k
+The examples form an inverted index.  Terms that at most one in ``COMMON``
+examples holds have postings, which a text adds up; the others are columns.
+What the columns can add is bounded by the lengths of both vectors over them
+(Cauchy-Schwarz), and examples whose bound can't reach the k-th cosine are
+left out, which is exact.  Votes of the k
 nearest are weighted by cosine; the vote is calibrated by the label rate of
 the examples (each against the others) with a vote in the same tenth.
 Evidence is the list of nearest examples with label and cosine.
@@ -18,18 +20,22 @@ Evidence is the list of nearest examples with label and cosine.
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spindle.llm.base import bounded_batches, hash_mod, mix64, received, shared, text_slices, written
 
-#: Labelled rows that examples and vocabulary are taken from, largest vocabulary, examples that vote, examples of a block.
-FIT_ROWS, TERMS, NEAREST, BLOCK = 20_000, 2048, 15, 64
-#: Least chi-square (1 degree of freedom) of a vocabulary term, label share of its rows, and labelled rows that
-#: hold it (a number, and a share of all that bear the label: copies of one text must not make its words terms).
-MIN_CHI2, MIN_SHARE, MIN_ROWS, MIN_SUPPORT = 30.0, 0.6, 6, 0.01
+#: Labelled rows that examples and vocabulary are taken from, examples that vote, examples that are compared first.
+FIT_ROWS, NEAREST, FIRST = 20_000, 15, 64
+#: A term of more than one in so many examples is a column of the index.
+COMMON = 16
+#: Answers that a task keeps for texts with the same terms.
+KEPT = 10_000
 STEMS = (4, 5, 6)
 #: Bytes of text whose terms are hashed at once.
 TERM_BYTES = 512 << 10
@@ -65,59 +71,131 @@ def _terms(column: pa.Array):
         yield row, len(n), np.concatenate(rows), np.concatenate(hashes)
 
 
-def _label_counts(batches):
-    """(text, toxic) -> rows of each label that hold a term."""
+def _distinct(batches):
+    """Texts -> their terms, each once for a slice."""
     for batch in batches:
-        toxic = np.asarray(batch.column("toxic")) == 1
-        for first, _, of, h in _terms(batch.column("text")):
-            order = np.lexsort((of, h))
-            h, of = h[order], of[order]
-            new = np.ones(len(h), bool)
-            new[1:] = (h[1:] != h[:-1]) | (of[1:] != of[:-1])
-            term, number = np.unique(h[new], return_inverse=True)
-            pos = np.bincount(number, weights=toxic[first + of[new]], minlength=len(term)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(term.view(np.int64)), pa.array(pos),
-                                              pa.array(np.bincount(number, minlength=len(term)))],
-                                             names=["term", "pos", "n"])
+        for _, _, _, h in _terms(batch.column("text")):
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(h).view(np.int64))], names=["term"])
+
+
+def _lists(flat: list[np.ndarray], size: np.ndarray) -> pa.Array:
+    values = np.concatenate([np.zeros(0, np.int32), *flat]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(values))
 
 
 def _vectors(vocabulary, keep: list[str]):
     """Texts -> vocabulary terms and their numbers, beside the kept columns."""
     def run(batches):
         terms = received(vocabulary)                    # sorted hashes
-        screen = np.zeros(1 << 20, bool)
-        screen[(terms & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
         for batch in batches:
-            out_t, out_n = [[] for _ in range(batch.num_rows)], [[] for _ in range(batch.num_rows)]
-            for first, _, of, h in _terms(batch.column("text")) if len(terms) else ():
-                some = np.flatnonzero(screen[(h & np.uint64((1 << 20) - 1)).astype(np.int64)])
-                at = np.minimum(np.searchsorted(terms, h[some]), len(terms) - 1)
-                hit = terms[at] == h[some]
-                key, times = np.unique(of[some[hit]] * len(terms) + at[hit], return_counts=True)
-                for k, t in zip(key.tolist(), times.tolist()):
-                    out_t[first + k // len(terms)].append(k % len(terms))
-                    out_n[first + k // len(terms)].append(t)
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in keep), pa.array(out_t, pa.list_(pa.int32())),
-                 pa.array(out_n, pa.list_(pa.int32()))], names=[*keep, "_terms", "_times"])
+            out_t, out_n, size = [], [], np.zeros(batch.num_rows, np.int64)
+            for first, rows, of, h in _terms(batch.column("text")) if len(terms) else ():
+                at = np.minimum(np.searchsorted(terms, h), len(terms) - 1)
+                hit = terms[at] == h
+                key, times = np.unique(of[hit] * len(terms) + at[hit], return_counts=True)
+                out_t.append(key % len(terms))
+                out_n.append(times)
+                size[first:first + rows] = np.bincount(key // len(terms), minlength=rows)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), _lists(out_t, size), _lists(out_n, size)],
+                                             names=[*keep, "_terms", "_times"])
         pa.default_memory_pool().release_unused()
     return run
 
 
+def _holders(vocabulary, size: int):
+    """Texts -> documents of a task that hold a term."""
+    def run(batches):
+        df = np.zeros(size, np.int64)
+        for batch in _vectors(vocabulary, [])(batches):
+            df += np.bincount(np.asarray(batch.column("_terms").flatten()), minlength=size)
+        held = np.flatnonzero(df)
+        for at in range(0, len(held), 100_000):
+            some = held[at:at + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(df[some])], names=["t", "n"])
+    return run
+
+
+def _rows_of(terms, times):
+    """``(terms, times)`` of each row of two list columns, as arrays."""
+    size = np.asarray(terms.value_lengths().fill_null(0)).astype(np.int64)
+    end, t, n = np.cumsum(size), np.asarray(terms.flatten()), np.asarray(times.flatten())
+    for e, k in zip(end.tolist(), size.tolist()):
+        yield t[e - k:e], n[e - k:e]
+
+
+def _packed(batches):
+    """Examples -> a row for each batch: terms as differences, compressed."""
+    for batch in batches:
+        size = np.asarray(batch.column("_terms").value_lengths()).astype(np.int32)
+        press = zstandard.ZstdCompressor(level=1).compress
+        step = np.diff(np.asarray(batch.column("_terms").flatten()), prepend=0).astype(np.int32)
+        yield pa.RecordBatch.from_pylist([{
+            "ids": batch.column("doc_id").cast(pa.int64()).to_pylist(), "toxic": batch.column("toxic").to_pylist(),
+            "size": size.tobytes(), "terms": press(step.tobytes()),
+            "times": press(np.asarray(batch.column("_times").flatten()).astype(np.int32).tobytes())}], schema=pa.schema(
+                [("ids", pa.list_(pa.int64())), ("toxic", pa.list_(pa.int32()))] + [(c, pa.binary()) for c in ("size", "terms", "times")]))
+
+
+def _flat(lists, dtype) -> np.ndarray:
+    return np.concatenate([np.zeros(0, dtype), *(np.asarray(x, dtype) for x in lists)])
+
+
+def _unpacked(rows):
+    """What ``Index`` takes, from the rows of ``_packed``."""
+    plain = zstandard.ZstdDecompressor().decompress
+    size = _flat([np.frombuffer(r["size"], np.int32) for r in rows], np.int32)
+    terms = _flat([np.cumsum(np.frombuffer(plain(r["terms"]), np.int32), dtype=np.int32) for r in rows], np.int32)
+    times = [np.frombuffer(plain(r["times"]), np.int32) for r in rows]
+    times = _flat(times, np.min_scalar_type(max((int(t.max(initial=1)) for t in times), default=1)))
+    return [i for r in rows for i in r["ids"]], [x for r in rows for x in r["toxic"]], terms, times, size
+
+
 class Index:
-    """Unit vectors of the examples as postings in blocks with maxima."""
-
-    def __init__(self, ids, labels, terms, times, idf: np.ndarray):
-        self.ids, self.labels, self.idf = np.asarray(ids, np.int64), np.asarray(labels, float), idf
-        self.blocks = -(-len(self.ids) // BLOCK)
-        self.most = np.zeros((len(idf), self.blocks))
-        post: list[list[tuple[int, float]]] = [[] for _ in idf]
-        for i, (t, n) in enumerate(zip(terms, times)):
-            t, w = self.weights(t, n)
-            for a, b in zip(t, w):
-                post[a].append((i, b))
-                self.most[a, i // BLOCK] = max(self.most[a, i // BLOCK], b)
-        self.post = [(np.array([i for i, _ in x], np.int64), np.array([w for _, w in x])) for x in post]
+    """The examples' terms: postings of the rare ones, columns of the common
+    ones.  Examples are numbered by doc_id.  Terms and times are a list for
+    each example, or (with ``size``) all of them one after another."""
+
+    def __init__(self, ids, labels, terms, times, idf: np.ndarray, size=None):
+        if size is None:
+            size = np.fromiter(map(len, terms), np.int64, len(terms))
+            terms, times = _flat(terms, np.int32), _flat(times, np.int32)
+        ids, count, most = np.asarray(ids, np.int64), len(ids), int(times.max(initial=1))
+        order = np.argsort(ids, kind="stable")
+        self.ids, self.labels, self.idf = ids[order], np.asarray(labels, float)[order], idf
+        number = np.empty(count, np.min_scalar_type(max(count, 1)))
+        number[order] = np.arange(count)
+        ex, tf = np.repeat(number, size), times.astype(np.min_scalar_type(most), copy=False)
+        self.tf_weight = np.concatenate([[0.0], 1 + np.log(np.arange(1, most + 1))])
+        held = np.bincount(terms, minlength=len(idf))
+        common = held * COMMON > count
+        self.column = np.where(common, np.cumsum(common) - 1, -1)
+        self.columns = np.zeros((count, int(common.sum())), tf.dtype)
+        length, rest = np.zeros(count), np.zeros(count)
+        for at in range(0, len(terms), 1 << 20):         # bounded memory
+            e, t, n = (x[at:at + (1 << 20)] for x in (ex, terms, tf))
+            w2, heavy = (self.tf_weight[n] * idf[t]) ** 2, common[t]
+            length += np.bincount(e, weights=w2, minlength=count)
+            rest += np.bincount(e[heavy], weights=w2[heavy], minlength=count)
+            self.columns[e[heavy], self.column[t[heavy]]] = n[heavy]
+        length = np.maximum(np.sqrt(length), 1e-12)
+        self.scale, self.rest = 1 / length, np.sqrt(rest) / length
+        light = ~common[terms]
+        ex, tf, terms = ex[light], tf[light], terms[light]
+        order = np.lexsort((ex, terms))
+        self.ex, self.tf = ex[order], tf[order]
+        self.first = np.concatenate([[0], np.cumsum(np.where(common, 0, held))])
+
+    def __getstate__(self):
+        """Packed: each broadcast is a file in every executor's folder."""
+        pack = lambda x: (zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(x).tobytes()), x.dtype.str, x.shape)
+        return {k: pack(np.diff(v, prepend=v.dtype.type(0)) if k in ("ex", "first", "column") else v)
+                for k, v in self.__dict__.items()}
+
+    def __setstate__(self, state):
+        plain = zstandard.ZstdDecompressor().decompress
+        for k, (data, kind, shape) in state.items():
+            v = np.frombuffer(plain(data), kind).reshape(shape)
+            self.__dict__[k] = np.cumsum(v, dtype=v.dtype) if k in ("ex", "first", "column") else v
 
     def weights(self, terms, times):
         t = np.asarray(terms, np.int64)
@@ -127,22 +205,33 @@ class Index:
     def nearest(self, terms, times, k: int = NEAREST, but: int | None = None):
         """The k examples of largest positive cosine, ties to the smaller number."""
         t, q = self.weights(terms, times)
-        bound = q @ self.most[t]
-        score, who = np.zeros(0), np.zeros(0, np.int64)
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or (len(score) >= k and bound[b] < score[k - 1] - 1e-12):
-                break
-            cos = np.zeros(BLOCK)
-            for a, w in zip(t, q):
-                ex, wt = self.post[a]
-                lo, hi = np.searchsorted(ex, [b * BLOCK, (b + 1) * BLOCK])
-                cos[ex[lo:hi] - b * BLOCK] += w * wt[lo:hi]
-            hit = np.flatnonzero(cos > 0)
-            hit = hit[self.ids[hit + b * BLOCK] != but] if but is not None else hit
-            score, who = np.concatenate([score, cos[hit]]), np.concatenate([who, hit + b * BLOCK])
-            order = np.lexsort((who, -np.round(score, 12)))[:k]
-            score, who = score[order], who[order]
-        return who, score
+        column, part = self.column[t], q * self.idf[t]
+        light, heavy = column < 0, column >= 0
+        size = self.first[t[light] + 1] - self.first[t[light]]
+        spot = np.repeat(self.first[t[light]] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        score = np.bincount(self.ex[spot], weights=self.tf_weight[self.tf[spot]] * np.repeat(part[light], size),
+                            minlength=len(self.ids)) * self.scale
+        column, part = column[heavy], part[heavy]
+        bound = score + np.sqrt((q[heavy] ** 2).sum()) * self.rest + 1e-9
+        if but is not None:
+            bound[self.ids == but] = -1
+
+        def cosines(who):
+            out = np.empty(len(who))
+            for at in range(0, len(who), 2048):          # bounded memory
+                some = who[at:at + 2048]
+                out[at:at + 2048] = score[some] + (self.tf_weight[self.columns[some[:, None], column]] @ part) * self.scale[some]
+            return out
+
+        least = 0.0
+        if len(bound) > FIRST:
+            first = np.argpartition(-bound, FIRST)[:FIRST]
+            least = max(0.0, float(np.sort(cosines(first[bound[first] >= 0]))[-k:][0]) if (bound[first] >= 0).sum() >= k else 0.0)
+        who = np.flatnonzero(bound >= least)
+        cos = cosines(who)
+        who, cos = who[cos > 0], cos[cos > 0]
+        order = np.lexsort((who, -np.round(cos, 12)))[:k]
+        return who[order], cos[order]
 
     def vote(self, terms, times, but: int | None = None) -> tuple[float, np.ndarray, np.ndarray]:
         who, cos = self.nearest(terms, times, but=but)
@@ -154,9 +243,9 @@ def _votes(index):
     def run(batches):
         ix = received(index)
         for batch in batches:
-            tenth = [min(9, int(10 * v)) if v >= 0 else -1 for v in (
-                ix.vote(t, n, but=d)[0] if t else -1.0 for d, t, n in zip(*(batch.column(c).to_pylist() for c in (
-                    "doc_id", "_terms", "_times"))))]
+            votes = [ix.vote(t, n, but=d)[0] if len(t) else -1.0 for d, (t, n) in zip(
+                batch.column("doc_id").to_pylist(), _rows_of(batch.column("_terms"), batch.column("_times")))]
+            tenth = [min(9, int(10 * v)) if v >= 0 else -1 for v in votes]
             yield pa.RecordBatch.from_arrays([pa.array(tenth, pa.int32()), batch.column("toxic")], names=["tenth", "toxic"])
     return run
 
@@ -170,16 +259,16 @@ def _score(index, rates, keep: list[str], hidden: bool = False):
         seen: dict = {}
         for batch in batches:
             score, evidence = [], []
-            for t, n in zip(batch.column("_terms").to_pylist(), batch.column("_times").to_pylist()):
-                key = (tuple(t), tuple(n))
+            for t, n in _rows_of(batch.column("_terms"), batch.column("_times")):
+                key = blake2b(t.tobytes() + n.tobytes(), digest_size=16).digest()
                 if key not in seen:
-                    if len(seen) > 100_000:
+                    if len(seen) >= KEPT:
                         seen.clear()
-                    v, who, cos = ix.vote(t, n) if t else (-1.0, [], [])
-                    seen[key] = rate[min(9, int(10 * v)) if v >= 0 else -1], [
-                        {"doc_id": int(ix.ids[w]), "toxic": int(ix.labels[w]), "cosine": float(c)} for w, c in zip(who, cos)]
+                    v, who, cos = ix.vote(t, n) if len(t) else (-1.0, np.zeros(0, np.int64), np.zeros(0))
+                    seen[key] = rate[min(9, int(10 * v)) if v >= 0 else -1], who, cos
                 score.append(seen[key][0])
-                evidence.append(seen[key][1])
+                evidence.append([{"doc_id": int(ix.ids[w]), "toxic": int(ix.labels[w]), "cosine": float(c)}
+                                 for w, c in zip(*seen[key][1:])])
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in keep), pa.array(score, pa.float64()),
                  pa.array([int(s >= 0.7) for s in score], pa.int32()),
@@ -200,40 +289,37 @@ def _evidence(names: list[str]) -> str:
 
 
 def fit(rows: DataFrame, labels: DataFrame, folds: int, held: int, fit_rows: int):
-    """``(vocabulary, index, rates, vectors)``, all but the vectors broadcast;
-    ``rows (doc_id, text, held_out)``."""
+    """``(vocabulary, index, rates)``, broadcast; ``rows (doc_id, text)``."""
     spark = rows.sparkSession
     bounded_batches(spark)
     sample = written(labels.filter((hash_mod("doc_id", folds) != held) & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
                      .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
                      .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows), "toxicity-sample")
     labelled = rows.join(F.broadcast(sample), "doc_id")                 # fit_rows rows at most
-    counts = written(labelled.select("text", "toxic").mapInArrow(_label_counts, "term long, pos long, n long")
-                     .groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
-                     .filter((F.col("pos") >= MIN_ROWS) & (F.col("pos") >= MIN_SHARE * F.col("n"))), "toxicity-terms")
     size = labelled.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("pos")).first()
-    expect = F.col("n") * (size["pos"] / max(size["n"], 1))
-    chi2 = (F.col("pos") - expect) ** 2 / expect + (F.col("pos") - expect) ** 2 / (F.col("n") - expect + 1e-9)
-    top = counts.withColumn("chi2", chi2).filter(
-        (F.col("chi2") >= MIN_CHI2) & (F.col("pos") >= MIN_SUPPORT * size["pos"]))
-    top = top.orderBy(F.desc("chi2"), "term").limit(TERMS)
-    terms = np.sort(np.array([r["term"] for r in top.select("term").collect()], np.int64).view(np.uint64))
-    vocabulary, keep = shared(spark, terms), ["doc_id", "held_out"]
-    vectors = written(rows.mapInArrow(_vectors(vocabulary, keep), _schema(rows, keep, _VECTOR)), "toxicity-vectors")
-    df, total = np.zeros(len(terms)), vectors.count()
-    for r in vectors.select(F.explode("_terms").alias("t")).groupBy("t").count().collect():    # one row for each term
-        df[r["t"]] = r["count"]
+    found = labelled.select("text").mapInArrow(_distinct, "term long").distinct().toPandas()    # terms of fit_rows texts at most
+    terms = np.sort(found["term"].to_numpy(np.int64).view(np.uint64))
+    vocabulary = shared(spark, terms)
+    df, total = np.zeros(len(terms)), rows.count()
+    held = (rows.select("text").mapInArrow(_holders(vocabulary, len(terms)), "t long, n long").groupBy("t")
+            .agg(F.sum("n").alias("n")).toPandas())                                            # one row for each term
+    df[held["t"].to_numpy(np.int64)] = held["n"]
     idf = np.log((1 + total) / (1 + df))
-    examples = vectors.join(F.broadcast(sample), "doc_id")
-    own = examples.filter(F.size("_terms") > 0).orderBy("doc_id").collect()                    # fit_rows rows at most
-    index = shared(spark, Index([r["doc_id"] for r in own], [r["toxic"] for r in own], [r["_terms"] for r in own],
-                                [r["_times"] for r in own], idf))
+    keep = ["doc_id", "toxic"]
+    examples = labelled.select(*keep, "text").mapInArrow(_vectors(vocabulary, keep), _schema(labelled, keep, _VECTOR))
+    examples = written(examples, "toxicity-examples")
+    own = (examples.filter(F.size("_terms") > 0).select("doc_id", "toxic", "_terms", "_times").mapInArrow(
+        _packed, "ids array<long>, toxic array<int>, size binary, terms binary, times binary").collect())  # fit_rows rows, as a rule
+    ids, toxic, flat, times, size_of = _unpacked(own)
+    del own
+    index = shared(spark, Index(ids, toxic, flat, times, idf, size_of))
+    del ids, toxic, flat, times
     votes = (examples.repartition("doc_id").mapInArrow(_votes(index), "tenth int, toxic int").groupBy("tenth")
              .agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("pos")).collect())
     prior = size["pos"] / size["n"] if size["n"] else 0.0
     rate = {k: prior if k < 0 else (k + 0.5) / 10 for k in range(-1, 10)}
     rate |= {r["tenth"]: (r["pos"] + rate[r["tenth"]]) / (r["n"] + 1) for r in votes}
-    return vocabulary, index, shared(spark, rate), vectors
+    return vocabulary, index, shared(spark, rate)
 
 
 def _rows(docs: DataFrame, folds: int, held: int) -> DataFrame:
@@ -253,14 +339,16 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int
     Repeated rows are scored one by one, other columns are ignored, an empty
     table gives no rows.
     """
-    _, index, rates, vectors = fit(_rows(docs, folds, held), labels, folds, held, fit_rows)
-    keep = ["doc_id", "held_out"]
-    return vectors.mapInArrow(_score(index, rates, keep), _schema(vectors, keep, _evidence(["score", "predicted", "evidence"])))
+    rows, keep = _rows(docs, folds, held), ["doc_id", "held_out"]
+    vocabulary, index, rates = fit(rows, labels, folds, held, fit_rows)
+    vectors, scored = _vectors(vocabulary, keep), _score(index, rates, keep)
+    return rows.mapInArrow(lambda batches: scored(vectors(batches)),
+                           _schema(rows, keep, _evidence(["score", "predicted", "evidence"])))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1, fit_rows: int = FIT_ROWS) -> DataFrame:
     """The rows of ``docs``, all columns, that ``score_toxicity`` doesn't predict as toxic."""
-    vocabulary, index, rates, _ = fit(_rows(docs, folds, held), labels, folds, held, fit_rows)
+    vocabulary, index, rates = fit(_rows(docs, folds, held), labels, folds, held, fit_rows)
     keep = docs.columns
     vectors, scored = _vectors(vocabulary, keep), _score(index, rates, keep, hidden=True)
     found = docs.mapInArrow(lambda batches: scored(vectors(batches)), _schema(docs, keep, _evidence(_HIDDEN)))

@@ -199,6 +199,35 @@ def test_toxicity_and_language_on_held_out_rows(spark):
     assert langs.filter("lang = lang_pred").count() >= 0.97 * langs.count()
 
 
+def test_toxic_rows_without_a_frequent_toxic_word_have_neighbours(spark):
+    rows, labels = [], []
+    for i in range(60):
+        rows.append((i, f"plain common words here number {'abcdefghij'[i % 10] * 7} again"))
+        labels.append((i, 0))
+    for i in range(60, 72):                                # each rare word in two toxic rows only
+        rows.append((i, f"zor{'abcdef'[(i - 60) // 2] * 6} mux{'abcdef'[(i - 60) // 2] * 5}"))
+        labels.append((i, 1))
+    train = [i for i in range(72) if zlib.crc32(str(i).encode()) % 3 != 1]
+    probe = next(i for i in range(1000, 2000) if zlib.crc32(str(i).encode()) % 3 == 1)
+    pair = next(i for i in train if i >= 60)
+    rows.append((probe, dict(rows)[pair]))
+    got = {r.doc_id: r for r in toxicity.score_toxicity(spark.createDataFrame(rows, "doc_id long, text string"),
+                                                        spark.createDataFrame(labels, "doc_id long, toxic int")).collect()}[probe]
+    assert got.evidence and got.evidence[0].toxic == 1 and abs(got.evidence[0].cosine - 1) < 1e-9
+
+
+def test_toxic_rows_are_found_in_each_language(spark):
+    folder = SMALL.replace("sf0.001", "sf0.1")
+    table, labels = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels"))
+    got = toxicity.score_toxicity(table.join(labels.select("doc_id"), "doc_id", "left_semi"), labels).filter("held_out")
+    got = got.join(labels, "doc_id").filter("toxic = 1").join(table.select("doc_id", "lang"), "doc_id")
+    by = {r.lang: r for r in got.groupBy("lang").agg(F.avg("predicted").alias("recall"),
+                                                     F.sum((F.size("evidence") == 0).cast("int")).alias("alone")).collect()}
+    print({k: round(r.recall, 3) for k, r in by.items()})
+    assert len(by) == 4 and all(r.alone == 0 for r in by.values())       # 12 rows had no neighbour, 3 of them Spanish
+    assert all(r.recall > 0.2 for r in by.values()) and by["es"].recall > 0.5
+
+
 def test_block_bounds_find_the_exact_neighbours():
     rng = np.random.default_rng(5)
     terms = [sorted(rng.choice(30, rng.integers(1, 6), replace=False).tolist()) for _ in range(400)]
