@@ -24,3 +24,43 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(range(
   AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20"""
+
+MERKLE = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, lang, CASE WHEN lang IS NULL THEN '' ELSE '=' || lang END AS tree,
+    list_reduce(range(0, 8 * strlen(CAST(doc_id AS VARCHAR))), lambda c, i: CASE WHEN (CASE WHEN i % 8 = 0
+      THEN xor(c, ord(substr(CAST(doc_id AS VARCHAR), CAST(i // 8 + 1 AS INTEGER), 1))) ELSE c END) % 2 = 1
+      THEN xor((CASE WHEN i % 8 = 0 THEN xor(c, ord(substr(CAST(doc_id AS VARCHAR), CAST(i // 8 + 1 AS INTEGER), 1))) ELSE c END) >> 1, 3988292384)
+      ELSE (CASE WHEN i % 8 = 0 THEN xor(c, ord(substr(CAST(doc_id AS VARCHAR), CAST(i // 8 + 1 AS INTEGER), 1))) ELSE c END) >> 1 END,
+      CAST(4294967295 AS BIGINT)) AS c,
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+    n_chars, coalesce(strlen(text) || ':' || text, '-') AS tail FROM documents),
+l AS (SELECT doc_id, tree, sha256(head || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || tail) AS leaf,
+    sha256(head || coalesce(strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1), '-') || tail) AS other,
+    coalesce(xor(c, 4294967295) % 7 = 0, false) AS tampered FROM d),
+p AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM l),
+t(tree, lvl, idx, digest) AS (SELECT tree, 0, pos, leaf FROM p UNION ALL
+  SELECT tree, lvl + 1, idx // 2, sha256(string_agg(digest, '' ORDER BY idx)) FROM
+    (SELECT *, count(*) OVER (PARTITION BY tree) AS m FROM t) WHERE m > 1 GROUP BY tree, lvl, idx // 2),
+top AS (SELECT tree, max(lvl) AS h, arg_max(digest, lvl) AS subroot FROM t GROUP BY tree),
+u(lvl, idx, digest) AS (SELECT 0, row_number() OVER (ORDER BY tree) - 1, subroot FROM top UNION ALL
+  SELECT lvl + 1, idx // 2, sha256(string_agg(digest, '' ORDER BY idx)) FROM
+    (SELECT *, count(*) OVER () AS m FROM u) WHERE m > 1 GROUP BY lvl, idx // 2),
+r AS (SELECT max(lvl) AS h, arg_max(digest, lvl) AS root FROM u),
+ranked AS (SELECT tree, h, subroot, row_number() OVER (ORDER BY tree) - 1 AS pos FROM top),
+path AS (
+  SELECT tree, pos, lvl, CAST(pos >> lvl AS BIGINT) AS idx FROM (SELECT p.tree, p.pos, unnest(range(0, h)) AS lvl FROM p JOIN top USING (tree))),
+steps AS (SELECT a.tree, a.pos, list(CASE WHEN s.digest IS NULL THEN '' WHEN a.idx % 2 = 1 THEN 'L' || s.digest ELSE 'R' || s.digest END
+    ORDER BY a.lvl) AS steps FROM path a LEFT JOIN t s ON s.tree = a.tree AND s.lvl = a.lvl AND s.idx = xor(a.idx, CAST(1 AS BIGINT)) GROUP BY a.tree, a.pos),
+upath AS (SELECT tree, lvl, CAST(pos >> lvl AS BIGINT) AS idx FROM (SELECT ranked.tree, ranked.pos, unnest(range(0, r.h)) AS lvl FROM ranked, r)),
+usteps AS (SELECT a.tree, list(CASE WHEN s.digest IS NULL THEN '' WHEN a.idx % 2 = 1 THEN 'L' || s.digest ELSE 'R' || s.digest END
+    ORDER BY a.lvl) AS steps FROM upath a LEFT JOIN u s ON s.lvl = a.lvl AND s.idx = xor(a.idx, CAST(1 AS BIGINT)) GROUP BY a.tree),
+f AS (SELECT p.doc_id, p.leaf, ranked.subroot, r.root,
+    list_concat(coalesce(steps.steps, CAST([] AS VARCHAR[])), coalesce(usteps.steps, CAST([] AS VARCHAR[]))) AS steps,
+    CASE WHEN tampered THEN other ELSE leaf END AS given
+  FROM p JOIN ranked USING (tree) CROSS JOIN r LEFT JOIN steps ON steps.tree = p.tree AND steps.pos = p.pos
+  LEFT JOIN usteps ON usteps.tree = p.tree),
+g AS (SELECT *, list_reduce(steps, lambda d, s: sha256(CASE WHEN s[1] = 'L' THEN s[2:] || d ELSE d || s[2:] END), given) AS folded_root FROM f)
+SELECT doc_id, leaf, subroot, root, sha256(list_aggregate(list_transform(list_concat([''], steps), lambda s: s[2:]), 'string_agg', '')) AS proof_sha256,
+  folded_root, folded_root = root AS verified FROM g"""

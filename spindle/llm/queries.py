@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from spindle.llm import ann, jaccard, katz, langid, mixing, oracles, pii, sentencepiece, sharding, topk, toxicity
+from spindle.llm import (ann, jaccard, katz, langid, merkle, mixing, oracles, pii, sentencepiece, sharding, topk,
+                         toxicity)
 from spindle.llm.base import documents
 
 
@@ -48,6 +49,10 @@ def op7_sentencepiece(spark, sf_dir):
     return sentencepiece.digest(sentencepiece.encode(documents(spark, sf_dir, "doc_id", "text")))
 
 
+def op11_merkle(spark, sf_dir):
+    return merkle.verified_documents(documents(spark, sf_dir, *merkle.FIELDS))
+
+
 QUERIES = {
     "op1_katz": (op1_katz, None),
     "op2_pii_surrogates": (op2_pii_surrogates, None),
@@ -59,4 +64,5 @@ QUERIES = {
     "op7_sentencepiece": (op7_sentencepiece, None),
     "op8_langid": (op8_langid, None),
     "op10_ngram_jaccard": (op10_ngram_jaccard, oracles.JACCARD),
+    "op11_merkle": (op11_merkle, oracles.MERKLE),
 }
