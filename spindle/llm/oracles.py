@@ -64,3 +64,17 @@ f AS (SELECT p.doc_id, p.leaf, ranked.subroot, r.root,
 g AS (SELECT *, list_reduce(steps, lambda d, s: sha256(CASE WHEN s[1] = 'L' THEN s[2:] || d ELSE d || s[2:] END), given) AS folded_root FROM f)
 SELECT doc_id, leaf, subroot, root, sha256(list_aggregate(list_transform(list_concat([''], steps), lambda s: s[2:]), 'string_agg', '')) AS proof_sha256,
   folded_root, folded_root = root AS verified FROM g"""
+
+FIM = r"""
+WITH h AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+    sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x FROM documents),
+k AS (SELECT *, len(u) AS n, CAST('0x' || x[1:8] AS BIGINT) AS h1, CAST('0x' || x[9:16] AS BIGINT) AS h2,
+    CAST('0x' || x[17:24] AS BIGINT) AS h3, CAST('0x' || x[25:32] AS BIGINT) AS h4 FROM h),
+c AS (SELECT doc_id, text, n, u, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+    WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM k),
+p AS (SELECT *, array_to_string(u[1:a], '') AS pre, array_to_string(u[a + 1:b], '') AS mid, array_to_string(u[b + 1:], '') AS suf FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+  sha256(CASE form WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+    WHEN 'spm' THEN '<S>' || suf || '<P>' || pre || '<M>' || mid ELSE text END) AS output_sha256, sha256(text) AS restored_sha256 FROM p"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from spindle.llm import (ann, jaccard, katz, langid, merkle, mixing, oracles, pii, sentencepiece, sharding, topk,
+from spindle.llm import (ann, fim, jaccard, katz, langid, merkle, mixing, oracles, pii, sentencepiece, sharding, topk,
                          toxicity)
 from spindle.llm.base import documents
 
@@ -53,6 +53,10 @@ def op11_merkle(spark, sf_dir):
     return merkle.verified_documents(documents(spark, sf_dir, *merkle.FIELDS))
 
 
+def op12_fill_in_middle(spark, sf_dir):
+    return fim.digest(fim.fill_in_middle(documents(spark, sf_dir, "doc_id", "text")))
+
+
 QUERIES = {
     "op1_katz": (op1_katz, None),
     "op2_pii_surrogates": (op2_pii_surrogates, None),
@@ -65,4 +69,5 @@ QUERIES = {
     "op8_langid": (op8_langid, None),
     "op10_ngram_jaccard": (op10_ngram_jaccard, oracles.JACCARD),
     "op11_merkle": (op11_merkle, oracles.MERKLE),
+    "op12_fill_in_middle": (op12_fill_in_middle, oracles.FIM),
 }
