@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from spindle.llm import (ann, fim, jaccard, katz, langid, merkle, mixing, oracles, pii, sentencepiece, sharding, topk,
-                         toxicity)
+from spindle.llm import (ann, fim, jaccard, katz, langid, merkle, mixing, oracles, pii, secret_scan, sentencepiece,
+                         sharding, topk, toxicity)
 from spindle.llm.base import documents
 
 
@@ -57,6 +57,10 @@ def op12_fill_in_middle(spark, sf_dir):
     return fim.digest(fim.fill_in_middle(documents(spark, sf_dir, "doc_id", "text")))
 
 
+def op13_secret_scan(spark, sf_dir):
+    return secret_scan.digest(secret_scan.find_secrets(documents(spark, sf_dir, "doc_id", "text"), ["doc_id"]))
+
+
 QUERIES = {
     "op1_katz": (op1_katz, None),
     "op2_pii_surrogates": (op2_pii_surrogates, None),
@@ -70,4 +74,5 @@ QUERIES = {
     "op10_ngram_jaccard": (op10_ngram_jaccard, oracles.JACCARD),
     "op11_merkle": (op11_merkle, oracles.MERKLE),
     "op12_fill_in_middle": (op12_fill_in_middle, oracles.FIM),
+    "op13_secret_scan": (op13_secret_scan, None),
 }
