@@ -90,12 +90,23 @@ def impute_marker(df: DataFrame, fills: dict[str, str], marker: str,
 
 
 def frequent_items(df: DataFrame, columns: list[str], support: float) -> DataFrame:
-    """Spark's approximate frequent items (A5 parity) as rows
-    ``(column_name, item)``.  May include false positives by design."""
-    fi = df.freqItems(columns, support)
-    return fi.select(F.explode(F.flatten(F.array(*[F.transform(
-        F.col(f"{c}_freqItems"), lambda x, c=c: F.struct(F.lit(c).alias("column_name"), x.cast("string").alias("item")))
-        for c in columns]))).alias("p")).select("p.*")
+    """Values that more than ``support`` of all rows hold (A5):
+    ``(column_name, item, n_rows)``, exactly.  A first pass keeps a mergeable
+    frequent-items summary per task (at most ``1 / support`` values a column,
+    no true one missing); a second counts those candidates and drops false
+    positives.  NULL is not a value."""
+    found = df.freqItems(columns, support).first()
+    pairs, total = [], F.count(F.lit(1)).alias("_total")
+    for c in columns:
+        items = [x for x in (found[f"{c}_freqItems"] or []) if x is not None]
+        if items:
+            pairs.append(F.when(F.col(c).isin(items), F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("item"))))
+    counted = df.select(F.explode(F.array(F.struct(F.lit(None).cast("string").alias("column_name"),
+                                                   F.lit(None).cast("string").alias("item")), *pairs)).alias("p"))
+    counts = counted.filter("p is not null").groupBy("p.column_name", "p.item").agg(F.count(F.lit(1)).alias("n_rows"))
+    total = counts.filter("column_name is null").select(F.col("n_rows").alias("_total"))       # one row
+    return (counts.filter("column_name is not null").crossJoin(F.broadcast(total))
+            .filter(F.col("n_rows") > F.lit(support) * F.col("_total")).drop("_total"))
 
 
 def collapse_category(c: Column | str, keep: str, other: str) -> Column:

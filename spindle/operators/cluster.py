@@ -1,27 +1,26 @@
-"""k-means: per-group Lloyd iterations in one plan (K3, K4) and MLlib's
-global k-means (K1, K2).
+"""k-means: per-group k-means‖ and Lloyd iterations in one plan (K3, K4)
+and MLlib's global k-means (K1, K2).
 
 Per-group k-means fits one independent model per group value, all groups at
-once.  Each iteration is one job:
-
-* the centre table (groups × k rows, model-sized) is laid out as one row per
-  group with k×d centre columns and joined to the points — broadcast when
-  its row count is proven small, otherwise a shuffle join that AQE's skew
-  handling splits for a hot group;
-* each point takes the nearest centre (ties → lowest cluster id) through
-  plain arithmetic over k×d centre columns and ``least`` — inside
-  whole-stage codegen, no Python;
-* new centres are means per (group, cluster): a partial aggregate on the map
-  side, so even a group holding a third of all rows shuffles only one partial
-  row per task;
-* the new centres are written as a Parquet table into the shared checkpoint folder, so lineage never
-  grows with the iteration count.
-
-Start centres are deterministic: per group, the k distinct points with the
-smallest md5 of their (micro-rounded) coordinates.  Duplicates collapse in a
-partial aggregate first; ``row_number() <= k`` is then planned with a
-map-side WindowGroupLimit, so a hot group sends only k rows per task to the
-final ranking.  Empty clusters keep their previous centre.
+once, with the same jobs for one group or a million:
+
+* **Start (k-means‖).**  A first centre per group, then rounds of
+  oversampling: a point is drawn with probability ``oversampling · k · d² /
+  φ``, where ``d²`` is its squared distance to the group's candidates and
+  ``φ`` the group's sum of them.  Candidates are weighted with the points
+  they are nearest to and reduced, inside one row per group, to ``k`` by the
+  greedy rule "largest weight times squared distance".  A round is two
+  partial aggregates over the points; only drawn points are shuffled.
+* **Draws without a seed.**  A point's draw is an md5 of its coordinates'
+  full text and the round, so the fit is the same under any partitioning and
+  in any engine.  Equal points draw alike.
+* **Lloyd steps.**  Points join the one-row-per-group table of centres
+  (``k × d`` plain columns), the nearest is found by arithmetic and ``least``
+  inside whole-stage codegen, and one aggregate by group gives the new row.  An
+  empty cluster keeps its centre.
+* Every table of centres is written to the shared checkpoint folder: lineage
+  doesn't grow, and the planner knows the table's size in bytes and decides
+  on a broadcast (or a skew-splitting shuffle join) by it.
 """
 
 from __future__ import annotations
@@ -29,115 +28,135 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spindle.operators.common import (BROADCAST_ROW_LIMIT, ensure_parallelism, materialized,
-                                      row_count_at_most, skew_split_join)
-
-
-# Centre tables up to this many rows (groups × k) stay local between steps.
-LOCAL_CENTER_LIMIT = 100_000
-
-
-def point_hash(features: list[str]) -> Column:
-    """md5 over coordinates rounded to 1e-6, printed as integers so the hash
-    is the same in any engine."""
-    parts = [F.round(F.col(c) * F.lit(1e6)).cast("decimal(38,0)").cast("string") for c in features]
-    return F.md5(F.concat_ws("|", *parts))
-
-
-def _wide_centers(centers: DataFrame, group_col: str, features: list[str], k: int) -> DataFrame:
-    """One row per group with the k centres as k×d plain columns
-    ``_c{j}_{i}`` (NULL where a group has fewer than k centres)."""
-    return centers.groupBy(group_col).agg(*[
-        F.max(F.when(F.col("cluster") == j, F.col(c))).alias(f"_c{j}_{i}")
-        for j in range(k) for i, c in enumerate(features)])
+from spindle.operators.common import materialized
+
+#: Rounds of oversampling and, times k, the points expected from each (MLlib's values).
+ROUNDS, OVERSAMPLING = 2, 2
+
+
+def point_text(features: list[str]) -> Column:
+    """The coordinates in full precision as text; 0.0 and -0.0 are equal."""
+    return F.concat_ws("|", *[(F.col(c) + F.lit(0.0)).cast("string") for c in features])
+
+
+def _draw(text: Column, turn: int) -> Column:
+    """A number in [0, 1) from the first 52 bits of an md5."""
+    digits = F.substring(F.md5(F.concat(F.lit(f"{turn}:"), text)), 1, 13)
+    return F.conv(digits, 16, 10).cast("double") / F.lit(float(1 << 52))
+
+
+def _squared(a: list[Column], b: list[Column]) -> Column:
+    total = (a[0] - b[0]) * (a[0] - b[0])
+    for x, y in zip(a[1:], b[1:]):
+        total = total + (x - y) * (x - y)
+    return total
+
+
+def _by_group(candidates: DataFrame, group_col: str) -> DataFrame:
+    """One row per group with its candidates ``(_h, <features>)``, sorted."""
+    rest = [c for c in candidates.columns if c != group_col]
+    return candidates.groupBy(group_col).agg(F.array_sort(F.collect_list(F.struct(*rest))).alias("_candidates"))
+
+
+def _distance(features: list[str]) -> Column:
+    """Squared distance of a row to the nearest of its group's candidates."""
+    point = [F.col(c) for c in features]
+    return F.array_min(F.transform("_candidates", lambda c: _squared(point, [c[f] for f in features])))
+
+
+def start_candidates(points: DataFrame, group_col: str, features: list[str], k: int,
+                     rounds: int = ROUNDS, oversampling: int = OVERSAMPLING) -> DataFrame:
+    """``(group, _h, <features>)``: the first centre of every group (smallest
+    md5) and the points drawn in each round.  Rounds go on beyond ``rounds``
+    only while a group with more distinct points has less than k candidates."""
+    point = F.struct(F.md5(point_text(features)).alias("_h"), *features)
+    found = materialized(points.groupBy(group_col).agg(F.min(point).alias("_p")).select(group_col, "_p.*"), "kmeans-first")
+    turn = 0
+    while True:
+        turn += 1
+        near = points.join(_by_group(found, group_col), group_col).withColumn("_d", _distance(features))
+        spread = materialized(near.groupBy(group_col).agg(F.sum("_d").alias("_phi")), "kmeans-spread")
+        if turn > rounds:
+            few = found.groupBy(group_col).count().join(spread, group_col).filter((F.col("count") < k) & (F.col("_phi") > 0))
+            if few.isEmpty():
+                return found
+        chance = F.lit(float(oversampling * k)) * F.col("_d") / F.col("_phi")
+        drawn = (near.join(spread, group_col).filter((F.col("_d") > 0) & (_draw(point_text(features), turn) < chance))
+                 .groupBy(group_col, F.md5(point_text(features)).alias("_h")).agg(F.min(F.struct(*features)).alias("_p")))
+        found = materialized(found.unionByName(drawn.select(group_col, "_h", "_p.*")), "kmeans-candidates")
+
+
+def initial_centers(points: DataFrame, group_col: str, features: list[str], k: int,
+                    rounds: int = ROUNDS, oversampling: int = OVERSAMPLING) -> DataFrame:
+    """Start centres of every group as one row ``(group, _centers)``: the
+    candidates weighted by the points nearest to them (ties to the smaller
+    md5), then k of them greedily: the heaviest, then whichever has the
+    largest weight times squared distance to those chosen."""
+    found = start_candidates(points, group_col, features, k, rounds, oversampling)
+    point = [F.col(c) for c in features]
+    nearest = F.array_min(F.transform("_candidates", lambda c: F.struct(
+        _squared(point, [c[f] for f in features]).alias("d"), c["_h"].alias("_h"))))["_h"]
+    weights = (points.join(_by_group(found, group_col), group_col).groupBy(group_col, nearest.alias("_h"))
+               .agg(F.count(F.lit(1)).alias("_w")))
+    weighted = found.join(weights, [group_col, "_h"]).select(group_col, "_h", "_w", *features)
+    grouped = _by_group(weighted, group_col)
+
+    def heaviest(score) -> Column:
+        """The candidate of the largest score, ties to the first."""
+        return F.array_max(F.transform("_candidates", lambda c, i: F.struct(
+            score(c).alias("score"), (-i).alias("at"), F.struct(*[c[f].alias(f) for f in features]).alias("p"))))
+
+    def add(chosen: Column, _: Column) -> Column:
+        best = heaviest(lambda c: c["_w"].cast("double") * F.array_min(F.transform(
+            chosen, lambda s: _squared([c[f] for f in features], [s[f] for f in features]))))
+        return F.when(best["score"] > 0, F.concat(chosen, F.array(best["p"]))).otherwise(chosen)
+    first = F.array(heaviest(lambda c: c["_w"].cast("double"))["p"])
+    chosen = F.aggregate(F.sequence(F.lit(1), F.lit(k - 1)), first, add) if k > 1 else first
+    return grouped.select(group_col, chosen.alias("_centers"))
+
+
+def _center_columns(features: list[str], k: int) -> list[str]:
+    return [f"_c{j}_{i}" for j in range(k) for i in range(len(features))]
 
 
 def _nearest(features: list[str], k: int) -> Column:
     """Index of the nearest centre; ties go to the lowest index.  Plain
     arithmetic and ``least`` over (distance, index) structs, so the whole
     assignment stays inside whole-stage codegen."""
-    inf = F.lit(float("inf"))
-    cands = []
-    for j in range(k):
-        terms = [(F.col(c) - F.col(f"_c{j}_{i}")) * (F.col(c) - F.col(f"_c{j}_{i}"))
-                 for i, c in enumerate(features)]
-        d = terms[0]
-        for t in terms[1:]:
-            d = d + t
-        cands.append(F.struct(F.coalesce(d, inf).alias("d"), F.lit(j).alias("cluster")))
+    inf, point = F.lit(float("inf")), [F.col(c) for c in features]
+    cands = [F.struct(F.coalesce(_squared(point, [F.col(f"_c{j}_{i}") for i in range(len(features))]), inf).alias("d"),
+                      F.lit(j).alias("cluster")) for j in range(k)]
     return (F.least(*cands) if len(cands) > 1 else cands[0])["cluster"]
 
 
 @dataclass
 class GroupedKMeansModel:
-    centers: DataFrame          # group, cluster, <features>  (materialised)
+    wide: DataFrame             # group, _c{cluster}_{feature} (written); NULL beyond a group's centres
     group_col: str
     features: list[str]
     k: int
     iterations: int
-    broadcast_centers: bool
+
+    @property
+    def centers(self) -> DataFrame:
+        """``(group, cluster, <features>)``."""
+        each = F.explode(F.array(*[F.struct(F.lit(j).alias("cluster"), *[F.col(f"_c{j}_{i}").alias(c)
+                                   for i, c in enumerate(self.features)]) for j in range(self.k)]))
+        rows = self.wide.select(self.group_col, each.alias("_c")).select(self.group_col, "_c.*")
+        return rows.filter(F.col(self.features[0]).isNotNull())
 
     def assign(self, points: DataFrame, out_col: str = "cluster") -> DataFrame:
-        return assign_clusters(points, self.centers, self.group_col, self.features, self.k,
-                               out_col, self.broadcast_centers)
-
-
-def _wide_from_rows(spark, rows, group_field, features: list[str], k: int) -> DataFrame:
-    """The wide centre table built from collected (proven-small) centre rows,
-    as a local relation — no shuffle stage before the broadcast."""
-    from pyspark.sql.types import DoubleType, StructField, StructType
-    by: dict = {}
-    for r in rows:
-        by.setdefault(r[group_field.name], {})[r["cluster"]] = [r[c] for c in features]
-    schema = StructType([group_field] + [StructField(f"_c{j}_{i}", DoubleType())
-                                         for j in range(k) for i in range(len(features))])
-    empty = [None] * len(features)
-    data = [(g, *[cs.get(j, empty)[i] for j in range(k) for i in range(len(features))])
-            for g, cs in by.items()]
-    return spark.createDataFrame(data, schema)
-
-
-def assign_clusters(points: DataFrame, centers: DataFrame | None, group_col: str,
-                    features: list[str], k: int, out_col: str = "cluster",
-                    broadcast: bool | None = None, wide: DataFrame | None = None) -> DataFrame:
-    """Attach the nearest centre id to every point of its own group."""
-    if wide is None:
-        wide = _wide_centers(centers, group_col, features, k)
-    if broadcast is None:
-        broadcast = row_count_at_most(wide, BROADCAST_ROW_LIMIT)
-    if broadcast:
-        joined = points.join(F.broadcast(wide), group_col, "inner")
-    else:
-        # very many groups: hot groups still avoid a single-task join
-        joined = skew_split_join(points, wide, [group_col], "inner")
-    center_cols = [f"_c{j}_{i}" for j in range(k) for i in range(len(features))]
-    return joined.withColumn(out_col, _nearest(features, k)).drop(*center_cols)
-
-
-def initial_centers(points: DataFrame, group_col: str, features: list[str], k: int) -> DataFrame:
-    """k distinct points per group with the smallest coordinate hash.
-
-    Duplicates are collapsed first by a partial aggregate on (group, hash) —
-    a point repeated in a third of all rows becomes one partial row per
-    task — so the ``row_number() <= k`` that follows has no ties and is
-    planned with a map-side WindowGroupLimit: at most k rows per group per
-    task reach the final ranking.
-    """
-    distinct = (points.withColumn("_h", point_hash(features))
-                .groupBy(group_col, "_h").agg(F.min(F.struct(*features)).alias("_p"))
-                .select(group_col, "_h", "_p.*"))
-    w = Window.partitionBy(group_col).orderBy("_h")
-    ranked = distinct.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
-    return ranked.select(group_col, (F.col("_r") - 1).cast("int").alias("cluster"), *features)
+        """Attach the nearest centre's id to every point of a fitted group."""
+        joined = points.join(self.wide, self.group_col)
+        return joined.withColumn(out_col, _nearest(self.features, self.k)).drop(*_center_columns(self.features, self.k))
 
 
 def fit_grouped_kmeans(df: DataFrame, group_col: str, features: list[str], k: int = 4,
                        max_iter: int = 20, tol: float = 0.0, digits: int | None = None,
-                       persist: bool = True,
-                       broadcast_limit: int = BROADCAST_ROW_LIMIT) -> GroupedKMeansModel:
+                       persist: bool = True, rounds: int = ROUNDS, oversampling: int = OVERSAMPLING) -> GroupedKMeansModel:
     """Fit k-means per value of ``group_col`` on ``features``.
 
     Rows with a NULL group or feature are dropped (the reference's
@@ -145,60 +164,31 @@ def fit_grouped_kmeans(df: DataFrame, group_col: str, features: list[str], k: in
     different engines or partitionings agree; ``None`` keeps full precision.
     Stops early when no centre moves by more than ``tol`` (with ``tol=0``
     this only stops once the fit has reached its fixed point, so the result
-    equals running all ``max_iter`` steps).
+    equals running all ``max_iter`` steps).  A group with fewer distinct
+    points than k gets a centre for each.
     """
-    points = ensure_parallelism(
-        df.select(group_col, *[F.col(c).cast("double").alias(c) for c in features]).na.drop())
+    points = df.select(group_col, *[F.col(c).cast("double").alias(c) for c in features]).na.drop()
     if persist:
         points = points.persist(StorageLevel.MEMORY_AND_DISK)
-    init = initial_centers(points, group_col, features, k).persist()
-    # Proven-small centre tables are held as a local relation between steps
-    # (as MLlib's k-means keeps its centres on the driver): lineage is cut
-    # without a write per step.  Larger ones go through the shared folder.
-    local = row_count_at_most(init, LOCAL_CENTER_LIMIT)
-    use_broadcast = local or row_count_at_most(init, broadcast_limit)
-    spark = df.sparkSession
-    group_field = init.schema[group_col]
-    rows = None
-    if local:
-        rows = init.collect()
-        centers = spark.createDataFrame(rows, init.schema)
-    else:
-        centers = materialized(init, "kmeans-init")
-    init.unpersist()
-    it = 0
+    start = initial_centers(points, group_col, features, k, rounds, oversampling)
+    wide = materialized(start.select(group_col, *[F.get("_centers", F.lit(j))[c].alias(f"_c{j}_{i}")
+                                                  for j in range(k) for i, c in enumerate(features)]), "kmeans-start")
+    names, it = _center_columns(features, k), 0
     for it in range(1, max_iter + 1):
-        wide = _wide_from_rows(spark, rows, group_field, features, k) if local else None
-        assigned = assign_clusters(points, centers, group_col, features, k, "cluster",
-                                   use_broadcast or local, wide=wide)
-        means = (assigned.groupBy(group_col, "cluster")
-                 .agg(*[F.avg(c).alias(c) for c in features]))
-        if digits is not None:
-            means = means.select(group_col, "cluster",
-                                 *[F.round(c, digits).alias(c) for c in features])
-        old = centers.select(group_col, "cluster",
-                             *[F.col(c).alias(f"_old_{c}") for c in features])
-        old_side = F.broadcast(old) if use_broadcast else old
-        merged = (old_side.join(means, [group_col, "cluster"], "left")
-                  .select(group_col, "cluster",
-                          *[F.coalesce(F.col(c), F.col(f"_old_{c}")).alias(c) for c in features],
-                          F.greatest(*[F.abs(F.coalesce(F.col(c), F.col(f"_old_{c}"))
-                                             - F.col(f"_old_{c}")) for c in features]
-                                     + [F.lit(0.0)]).alias("_shift")))
-        if local:
-            merged_rows = merged.collect()
-            shift = max((r["_shift"] for r in merged_rows), default=None)
-            rows = merged_rows
-            centers = spark.createDataFrame([r[:-1] for r in merged_rows], centers.schema)
-        else:
-            merged = materialized(merged, f"kmeans-iter{it}")
-            shift = merged.agg(F.max("_shift")).first()[0]
-            centers = merged.drop("_shift")
-        if shift is None or shift <= tol:
+        assigned = points.join(wide, group_col).withColumn("_k", _nearest(features, k))
+        means = assigned.groupBy(group_col).agg(*[
+            (F.avg(x) if digits is None else F.round(F.avg(x), digits)).alias(f"_new{n}")
+            for n, x in zip(names, (F.when(F.col("_k") == j, F.col(c)) for j in range(k) for c in features))])
+        moved = [F.coalesce(f"_new{n}", n) for n in names]
+        shift = F.greatest(F.lit(0.0), *[F.abs(m - F.col(n)) for m, n in zip(moved, names)])
+        step = materialized(wide.join(means, group_col).select(group_col, *[m.alias(n) for m, n in zip(moved, names)],
+                                                               shift.alias("_shift")), "kmeans-step")
+        wide = step.drop("_shift")
+        if (step.agg(F.max("_shift")).first()[0] or 0.0) <= tol:
             break
     if persist:
         points.unpersist()
-    return GroupedKMeansModel(centers, group_col, features, k, it, use_broadcast)
+    return GroupedKMeansModel(wide, group_col, features, k, it)
 
 
 def cluster_sizes(model: GroupedKMeansModel, df: DataFrame) -> DataFrame:

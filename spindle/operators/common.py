@@ -61,7 +61,7 @@ def materialized(df: DataFrame, name: str = "table") -> DataFrame:
     from spindle.session import shared_path
     path = shared_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)     # no job to read the schema
 
 
 def ensure_parallelism(df: DataFrame, min_partitions: int | None = None,
@@ -97,39 +97,28 @@ def prefix_sums(df: DataFrame, order_col: str, value_cols: list[str],
     group of ``by``, computed without a single-partition window.
 
     ``order_col`` must be unique within each group (aggregate ties first).
-    Rows are range-cut into ``buckets`` (as many as shuffle partitions unless
-    given) by approximate quantiles — a fixed-size sketch, at most ``buckets
-    - 1`` numbers reach the driver; each (group, bucket) computes local
-    running sums in parallel; per-bucket offsets — one row per (group,
-    bucket), checked before broadcast — are joined back.
+    Rows are range-partitioned by group and order (into as many ranges as
+    shuffle partitions unless given) and written with the number of their range; each
+    (group, range) sums in parallel, and the totals of the ranges before — one
+    row per (group, range) — are joined on.  Where a row belongs is decided by
+    the exchange alone.
     """
     by = list(by or [])
-    key = F.col(order_col)
-    order = key.desc() if descending else key.asc()
+    order = F.col(order_col).desc() if descending else F.col(order_col).asc()
     buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = sorted({x for x in df.approxQuantile(order_col, probs, 0.001) if x is not None})
-    if bounds:
-        bound_arr = F.array(*[F.lit(float(b)) for b in bounds])
-        bucket = F.size(F.filter(bound_arr, lambda b: b < key.cast("double")))
-    else:
-        bucket = F.lit(0)
-    if descending:
-        bucket = F.lit(len(bounds)) - bucket
-    with_bucket = df.withColumn("_bucket", bucket)
+    ranged = materialized(df.repartitionByRange(buckets, *[F.col(c) for c in by], order)
+                          .withColumn("_bucket", F.spark_partition_id()), "prefix-ranges")
     local_w = (Window.partitionBy(*by, "_bucket").orderBy(order)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = with_bucket.select(
-        "*", *[F.sum(c).over(local_w).alias(f"_local_{c}") for c in value_cols])
-    totals = with_bucket.groupBy(*by, "_bucket").agg(
-        *[F.sum(c).alias(f"_tot_{c}") for c in value_cols])
+    local = ranged.select("*", *[F.sum(c).over(local_w).alias(f"_local_{c}") for c in value_cols])
+    totals = ranged.groupBy(*by, "_bucket").agg(*[F.sum(c).alias(f"_tot_{c}") for c in value_cols])
     off_w = (Window.partitionBy(*by).orderBy("_bucket")
              .rowsBetween(Window.unboundedPreceding, -1))
     offsets = totals.select(
         *by, "_bucket",
         *[F.coalesce(F.sum(f"_tot_{c}").over(off_w), F.lit(0)).alias(f"_off_{c}")
           for c in value_cols])
-    out = local.join(broadcast_if_small(offsets), [*by, "_bucket"])
+    out = local.join(offsets, [*by, "_bucket"])
     return out.select(
         *[F.col(c) for c in df.columns],
         *[(F.col(f"_local_{c}") + F.col(f"_off_{c}")).alias(f"cum_{c}") for c in value_cols])

@@ -58,13 +58,16 @@ def fit_string_indexes(df: DataFrame, columns: list[str]) -> DataFrame:
 @dataclass
 class IndexModel:
     table: DataFrame                        # column_name, value, label_index, n_rows (written)
+    sizes: dict[str, int]                   # labels of each column
 
     @classmethod
     def fit(cls, df: DataFrame, columns: list[str]) -> "IndexModel":
-        return cls(materialized(fit_string_indexes(df, columns), "index"))
+        table = materialized(fit_string_indexes(df, columns), "index")
+        sizes = {r.column_name: r["count"] for r in table.groupBy("column_name").count().collect()}     # a row a column
+        return cls(table, {c: sizes.get(c, 0) for c in columns})
 
     def size(self, column: str) -> int:
-        return self.table.filter(F.col("column_name") == column).count()
+        return self.sizes[column]
 
     def transform(self, df: DataFrame, columns: list[str], suffix: str = "_index",
                   handle_invalid: str = "keep") -> DataFrame:
@@ -76,7 +79,7 @@ class IndexModel:
         for c in columns:
             side = (self.table.filter(F.col("column_name") == c)
                     .select(F.col("value").alias(f"_v_{c}"), F.col("label_index").alias(f"{c}{suffix}")))
-            out = (out.join(broadcast_if_small(side), F.col(c).cast("string") == F.col(f"_v_{c}"), "left")
+            out = (out.join(side, F.col(c).cast("string") == F.col(f"_v_{c}"), "left")
                    .drop(f"_v_{c}"))
             k = self.size(c)
             if handle_invalid == "keep":
@@ -139,6 +142,16 @@ def chi2_statistics(df: DataFrame, label: str, features: list[str]) -> DataFrame
         ((F.countDistinct("value") - 1) * (F.first("n_labels") - 1)).alias("dof"))
 
 
+def chi2_selected(df: DataFrame, label: str, features: list[str], fpr: float = 0.05) -> DataFrame:
+    """χ² selection (E11) for features of any number of values:
+    ``(feature, statistic, dof, p_value, selected)``; selected if the
+    statistic's upper tail is below ``fpr``."""
+    from spindle.functions.special import chi2_upper_tail
+    stats = chi2_statistics(df, label, features)
+    p = F.when(F.col("dof") > 0, chi2_upper_tail(F.col("statistic"), F.col("dof"))).otherwise(1.0)
+    return stats.withColumn("p_value", p).withColumn("selected", F.col("p_value") < fpr)
+
+
 def encoding_pipeline(categorical: list[str], numeric: list[str], features_col: str = "features",
                       label: str | None = None, label_out: str = "label",
                       handle_invalid: str = "keep", drop_last: bool = True):

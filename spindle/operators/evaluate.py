@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spindle.operators.common import broadcast_if_small, prefix_sums
+from spindle.operators.common import materialized, prefix_sums
 
 
 def _c(c: Column | str) -> Column:
@@ -77,13 +77,11 @@ def _curve(df: DataFrame, label: str, score: str, by: list[str]) -> tuple[DataFr
     keys = by or ["_all"]
     if not by:
         df = df.withColumn("_all", F.lit(1))
-    # distinct scores are read several times below (size check, running
-    # sums, totals): cache them once (lineage is short; a lost block is
-    # recomputed) instead of re-running the aggregate
-    counts = _score_counts(df, label, score, keys).persist()
+    # distinct scores are read twice below (running sums, totals)
+    counts = materialized(_score_counts(df, label, score, keys), "score-counts")
     cum = prefix_sums(counts, "_s", ["pos", "neg"], by=keys, descending=True)
     totals = counts.groupBy(*keys).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return cum.join(broadcast_if_small(totals), keys, "inner"), keys
+    return cum.join(totals, keys, "inner"), keys
 
 
 def area_under_roc(df: DataFrame, label: str, score: str, by: list[str] | None = None,

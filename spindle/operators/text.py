@@ -32,6 +32,17 @@ def tokens(c: Column | str, drop_empty: bool = True) -> Column:
     return F.filter(parts, lambda t: t != "") if drop_empty else parts
 
 
+def estimator_tokens(c: Column | str) -> Column:
+    """Tokens by MLlib's Tokenizer (E1): lower-cased, split at every
+    white-space character; empty strings stay except at the end, and a text
+    without any other token gives one empty string if it is empty, none if it
+    is blank."""
+    col = F.col(c) if isinstance(c, str) else c
+    # the last non-blank character ends the last token that is kept
+    kept = F.regexp_replace(F.lower(col), "\\s+$", "")
+    return F.when(F.length(col) == 0, F.array(F.lit(""))).when(kept == "", F.array().cast("array<string>")).otherwise(F.split(kept, "\\s"))
+
+
 def without_stop_words(c: Column | str, words: list[str] | None = None) -> Column:
     """Drop stop words from a token array (E2), case-insensitively, as a JVM
     expression.  The literal list is planned as a hash set (``InSet``), so a
@@ -57,12 +68,28 @@ def explode_terms(df: DataFrame, tokens: Column | str, keep: list[str] | None =
             .filter(F.col("term").isNotNull()))
 
 
+def run_lengths(words: Column) -> Column:
+    """``(term, tf)`` of every distinct token of an array, in linear steps from
+    the sorted array: a run's length is the next run's start less its own.  Each
+    step binds its array, so that nothing is sorted twice."""
+    def starts(s: Column) -> Column:
+        at = F.sequence(F.lit(0), F.size(s) - 1)
+        return F.struct(s.alias("s"), F.filter(at, lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1))).alias("at"))
+
+    def lengths(r: Column) -> Column:
+        s, at = r["s"], r["at"]
+        return F.transform(at, lambda i, k: F.struct(
+            F.get(s, i).alias("term"), (F.coalesce(F.get(at, k + 1), F.size(s)) - i).cast("long").alias("tf")))
+    bound = F.transform(F.transform(F.array(F.array_sort(words)), starts), lengths)
+    return F.when(F.size(words) > 0, F.get(bound, F.lit(0)))
+
+
 def term_frequency(df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
-    """Exact term counts ``(id, term, tf)`` (E3, exact form).  If the input is
-    hash-partitioned by ``id_col`` the aggregation needs no further shuffle:
-    all of a document's tokens come from one row."""
-    return (explode_terms(df, tokens_col, [id_col])
-            .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
+    """Exact term counts ``(id, term, tf)`` (E3, exact form) of rows with
+    their own id.  Tokens are counted inside the row: no exchange, however
+    the input is partitioned."""
+    rows = df.select(id_col, F.explode_outer(run_lengths(F.col(tokens_col))).alias("_r"))
+    return rows.select(id_col, "_r.term", "_r.tf").filter(F.col("term").isNotNull())
 
 
 def hashing_tf(input_col: str, output_col: str, num_features: int = NUM_HASH_FEATURES):

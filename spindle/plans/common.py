@@ -6,15 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spindle.operators import evaluate
+from spindle.operators.common import materialized
 
 
 def metrics_by_split(scored: DataFrame, label: str, score: str = "p1",
                      prediction: str = "prediction") -> DataFrame:
     """One row per split: confusion counts, derived rates, accuracy %, and
     areas under ROC and PR.  ``scored`` carries a ``split`` column.  Only the
-    three columns the metrics read are kept and cached (they are read by
-    four aggregations); a lost cache block is recomputed from lineage."""
-    scored = scored.select(F.col(label).cast("double").alias(label), score, prediction, "split").persist()
+    columns the metrics read are written (two aggregations read them)."""
+    scored = materialized(scored.select(F.col(label).cast("double").alias(label), score, prediction, "split"), "scored")
     y, p = F.col(label), F.col(prediction).cast("double")
     counts = scored.groupBy("split").agg(
         F.count_if((y == 1) & (p == 1)).alias("tp"), F.count_if((y == 0) & (p == 0)).alias("tn"),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from spindle.operators import clean, encode, split
 from spindle.operators.classify import (coefficient_table, feature_names, fit_logistic,
                                         positive_probability)
-from spindle.operators.common import broadcast_if_small
+from spindle.operators.common import broadcast_if_small, materialized
 from spindle.plans.common import metrics_by_split
 from spindle.sources import load_table
 
@@ -40,7 +40,7 @@ def income_frame(spark, sf_dir) -> DataFrame:
 
 
 def prepare(df: DataFrame):
-    df = df.persist()              # both splits read the joined rows: build them once
+    df = materialized(df, "income")          # both splits read the joined rows: build them once
     train, test = split.split_frames(df, ["c_custkey"], 80)
     # test rows carry the other spelling of the label ('<=5K.')
     test = test.withColumn("income", F.concat("income", F.lit(".")))
@@ -51,7 +51,7 @@ def prepare(df: DataFrame):
         frame = frame.withColumn("country", clean.collapse_category("n_name", "NATION_0", "Not-0"))
         return frame.withColumn("label", clean.binary_label("income", "<=5K").cast("double"))
 
-    train, test = shape(train).persist(), shape(test)   # read by every estimator fit
+    train, test = shape(train), shape(test)
     pipe = encode.encoding_pipeline(CATEGORICAL, NUMERIC, handle_invalid="keep").fit(train)
     keep = ["c_custkey", "label", "features"]
     return pipe.transform(train).select(*keep), pipe.transform(test).select(*keep)
@@ -59,7 +59,7 @@ def prepare(df: DataFrame):
 
 def run_income(spark, sf_dir, with_coefficients: bool = False):
     train, test = prepare(income_frame(spark, sf_dir))
-    train = train.persist()
+    train = materialized(train, "income-train")
     model = fit_logistic(train, "features", "label", max_iter=10)
     scored = (model.transform(train).withColumn("split", F.lit("train"))
               .unionByName(model.transform(test).withColumn("split", F.lit("test"))))

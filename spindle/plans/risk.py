@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from spindle.operators import clean, encode, profile, split
 from spindle.operators.classify import (fit_decision_tree, fit_logistic, fit_random_forest,
                                         positive_probability)
-from spindle.operators.common import skew_split_join
+from spindle.operators.common import materialized, skew_split_join
 from spindle.plans.common import metrics_by_split
 from spindle.sources import load_table
 
@@ -45,7 +45,7 @@ def prepare(df: DataFrame):
     df = clean.drop_marked(df, ["o_totalprice", "c_acctbal"], "NA")
     # both splits read the joined, cleaned rows: build them once
     df = clean.cast_columns(df, ["o_totalprice", "c_acctbal"], "double")
-    df = clean.drop_incomplete(df, NUMERIC).persist()           # a number that does not parse is NULL
+    df = materialized(clean.drop_incomplete(df, NUMERIC), "risk")        # a number that does not parse is NULL
     train, test = split.split_frames(df, ["o_orderkey"], 80)
     ratio = profile.class_balance(train, LABEL).first()["balancing_ratio"]
     train = profile.with_class_weights(train, LABEL, ratio, "class_weight")
@@ -62,7 +62,7 @@ def prepare(df: DataFrame):
 
 def run_risk(spark, sf_dir, learner: str = "lr") -> DataFrame:
     train, test = prepare(risk_frame(spark, sf_dir))
-    train = train.persist()
+    train = materialized(train, "risk-train")
     if learner == "lr":
         model = fit_logistic(train, "features", LABEL, max_iter=10, weight_col="class_weight")
     elif learner == "tree":

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from spindle.operators import clean
+from spindle.operators import clean, split
 from spindle.operators.common import broadcast_if_small
+from spindle.queries.splitting import md5_bucket_sql
 from spindle.sources import load_table
 
 
@@ -63,13 +64,14 @@ def _customer_with_unknown(spark, sf_dir):
 
 def q_mode_impute(spark, sf_dir):
     cust = _customer_with_unknown(spark, sf_dir)
-    modes = clean.modes_dict(clean.column_modes(cust, ["c_mktsegment", "c_nationkey"], exclude="?"))
+    train, _ = split.split_frames(cust, ["c_custkey"], 80)
+    modes = clean.modes_dict(clean.column_modes(train, ["c_mktsegment", "c_nationkey"], exclude="?"))
     return clean.impute_marker(cust, modes, "?")
 
 
 def q_freq_items(spark, sf_dir):
     orders = load_table(spark, sf_dir, "orders", ["o_orderstatus", "o_orderpriority"])
-    return clean.frequent_items(orders, ["o_orderstatus", "o_orderpriority"], support=0.3)
+    return clean.frequent_items(orders, ["o_orderstatus", "o_orderpriority"], support=0.2)
 
 
 def q_category_collapse(spark, sf_dir):
@@ -84,15 +86,16 @@ def q_category_collapse(spark, sf_dir):
                          clean.binary_label(raw, "BUILDING").alias("label"))
 
 
-_MODE_SQL = """
+_MODE_SQL = f"""
 WITH c AS (
   SELECT c_custkey,
          CASE WHEN c_custkey % 20 = 0 THEN '?' ELSE c_mktsegment END AS c_mktsegment,
          CASE WHEN c_custkey % 17 = 0 THEN '?' ELSE CAST(c_nationkey AS VARCHAR) END AS c_nationkey
   FROM customer),
-seg AS (SELECT c_mktsegment AS v FROM c WHERE c_mktsegment <> '?'
+train AS (SELECT * FROM c WHERE {md5_bucket_sql('c_custkey')} < 80),
+seg AS (SELECT c_mktsegment AS v FROM train WHERE c_mktsegment <> '?'
         GROUP BY 1 ORDER BY count(*) DESC, v DESC LIMIT 1),
-nat AS (SELECT c_nationkey AS v FROM c WHERE c_nationkey <> '?'
+nat AS (SELECT c_nationkey AS v FROM train WHERE c_nationkey <> '?'
         GROUP BY 1 ORDER BY count(*) DESC, v DESC LIMIT 1)
 SELECT c_custkey,
        CASE WHEN c_mktsegment = '?' THEN (SELECT v FROM seg) ELSE c_mktsegment END AS c_mktsegment,
@@ -129,7 +132,11 @@ SELECT o_orderkey, o_orderstatus,
        CASE WHEN o_orderkey % 11 <> 0 AND o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END AS is_urgent
 FROM orders"""),
     "mode_impute": (q_mode_impute, _MODE_SQL),
-    "freq_items": (q_freq_items, None),
+    "freq_items": (q_freq_items, """
+SELECT column_name, item, count(*) AS n_rows FROM (
+  SELECT 'o_orderstatus' AS column_name, o_orderstatus AS item FROM orders UNION ALL
+  SELECT 'o_orderpriority', o_orderpriority FROM orders)
+GROUP BY ALL HAVING count(*) > 0.2 * (SELECT count(*) FROM orders)"""),
     "category_collapse": (q_category_collapse, """
 SELECT c.c_custkey,
        CASE WHEN n.n_name <> 'NATION_0' THEN 'Other' ELSE n.n_name END AS country,

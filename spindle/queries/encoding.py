@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from spindle.operators import encode, split
+from spindle.operators.assemble import SlotTable
 from spindle.sources import load_table
 from spindle.queries.splitting import md5_bucket_sql
 
@@ -52,16 +53,36 @@ def q_chi2_select(spark, sf_dir):
     return stats.select("feature", F.round("statistic", 6).alias("statistic"), "dof")
 
 
+WIDE_FEATURES = [*CHI2_FEATURES, "l_orderkey"]         # the last one has far more than 10 000 values
+
+
 def q_chi2_selected(spark, sf_dir):
-    """Selection itself (p-values come from the χ² distribution): MLlib's
-    selector with an explicit fpr mode; rows = selected feature positions."""
-    from pyspark.ml.feature import VectorAssembler
-    df = _chi2_frame(spark, sf_dir)
-    vec = VectorAssembler(inputCols=CHI2_FEATURES, outputCol="features").transform(df)
-    sel = encode.chi2_selector("features", "label", "selected", fpr=0.05).fit(vec)
-    picked = [CHI2_FEATURES[i] for i in sel.selectedFeatures]
-    stats = encode.chi2_statistics(df, "label", CHI2_FEATURES)
-    return stats.select("feature", F.col("feature").isin(picked).alias("selected"))
+    """Selection at a false-positive rate of 0.05."""
+    li = load_table(spark, sf_dir, "lineitem", ["l_linestatus", "l_linenumber", "l_discount", "l_tax", "l_returnflag", "l_orderkey"])
+    df = li.select((F.col("l_returnflag") == "R").cast("int").alias("label"),
+                   (F.col("l_linestatus") == "F").cast("int").alias("l_linestatus_code"),
+                   "l_linenumber", "l_discount", "l_tax", "l_orderkey")
+    out = encode.chi2_selected(df, "label", WIDE_FEATURES, fpr=0.05)
+    return out.select("feature", "dof", F.abs(F.round("p_value", 4)).alias("p_value"), "selected")
+
+
+ENCODED = (["o_orderpriority", "o_orderstatus"], ["o_totalprice", "year"])
+
+
+def q_encoded_rows(spark, sf_dir):
+    """Index, one-hot and assembly fitted on 80 % of the orders and applied to
+    all: a status of test rows only gets no slot, a NULL number drops its row."""
+    orders = load_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"])
+    train = split.hash_bucket(["o_orderkey"]) < 80
+    rows = orders.select(
+        "o_orderkey", "o_orderpriority", train.alias("train"),
+        F.when(~train & (F.col("o_orderkey") % 3 == 0), "X").otherwise(F.col("o_orderstatus")).alias("o_orderstatus"),
+        F.when(F.col("o_orderkey") % 40 != 0, F.col("o_totalprice")).alias("o_totalprice"),
+        F.year("o_orderdate").cast("double").alias("year"))
+    model = SlotTable.fit(rows.filter("train"), *ENCODED)
+    out = model.transform(rows, "o_orderkey", null_number="skip")
+    return out.select("o_orderkey", "size", F.array_join("indices", ",").alias("indices"),
+                      F.round(F.aggregate("values", F.lit(0.0), lambda a, x: a + x), 4).alias("values_sum"))
 
 
 _CHI2_SQL = """
@@ -108,5 +129,22 @@ FROM j"""),
 SELECT c_custkey, round(c_acctbal / (SELECT stddev_samp(c_acctbal) FROM customer), 6) AS acctbal_scaled
 FROM customer"""),
     "chi2_select": (q_chi2_select, _CHI2_SQL),
-    "chi2_selected": (q_chi2_selected, None),
+    "chi2_selected": (q_chi2_selected, _CHI2_SQL.replace("l_tax FROM lineitem)", "l_tax, l_orderkey FROM lineitem)")
+                      .replace("SELECT 'l_tax', l_tax, label FROM li)",
+                               "SELECT 'l_tax', l_tax, label FROM li UNION ALL\n  SELECT 'l_orderkey', CAST(l_orderkey AS DOUBLE), label FROM li)")
+                      .replace("SELECT feature, round(", "SELECT feature, dof, round(p, 4) AS p_value, p < 0.05 AS selected FROM ("
+                               "SELECT feature, dof, greatest(1 - list_sum(list_transform(range(0, CAST(ceil(greatest((x - dof) / 2, 0) "
+                               "+ 20 * sqrt(x / 2) + 200) AS BIGINT)), lambda i: exp(-x / 2 + (dof / 2 + i) * ln(x / 2) "
+                               "- lgamma(dof / 2 + i + 1)))), 0) AS p FROM (SELECT feature, greatest(")
+                      .replace("- max(n), 6) AS statistic,", "- max(n), 1e-12) AS x,") + "))"),
+    "encoded_rows": (q_encoded_rows, f"""
+WITH o AS (SELECT o_orderkey, o_orderpriority, {md5_bucket_sql('o_orderkey')} < 80 AS train, o_totalprice, year(o_orderdate) AS year, o_orderstatus FROM orders),
+r AS (SELECT o_orderkey, o_orderpriority, train, CASE WHEN NOT train AND o_orderkey % 3 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
+  CASE WHEN o_orderkey % 40 <> 0 THEN o_totalprice END AS o_totalprice, CAST(year AS DOUBLE) AS year FROM o),
+p AS (SELECT o_orderpriority AS v, row_number() OVER (ORDER BY count(*) DESC, o_orderpriority) - 1 AS i FROM r WHERE train GROUP BY 1),
+s AS (SELECT o_orderstatus AS v, (SELECT count(*) FROM p) + row_number() OVER (ORDER BY count(*) DESC, o_orderstatus) - 1 AS i FROM r WHERE train GROUP BY 1),
+n AS (SELECT (SELECT count(*) FROM p) + (SELECT count(*) FROM s) AS n)
+SELECT o_orderkey, CAST(n + 2 AS INTEGER) AS size, concat_ws(',', p.i, s.i, CASE WHEN o_totalprice <> 0 THEN n END, n + 1) AS indices,
+  round((CASE WHEN p.i IS NULL THEN 0 ELSE 1 END) + (CASE WHEN s.i IS NULL THEN 0 ELSE 1 END) + o_totalprice + year, 4) AS values_sum
+FROM r CROSS JOIN n LEFT JOIN p ON p.v = o_orderpriority LEFT JOIN s ON s.v = o_orderstatus WHERE o_totalprice IS NOT NULL"""),
 }

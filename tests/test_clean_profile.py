@@ -69,3 +69,12 @@ def test_schema_and_shape_report(spark):
 def test_row_count_predicate_text(spark):
     df = spark.createDataFrame([(1,), (0,), (1,)], "t int")
     assert profile.row_count(df, "t == 1").first().n_rows == 2
+
+
+def test_frequent_items_are_exact(spark):
+    from collections import Counter
+    values = ["a"] * 30 + ["b"] * 21 + ["c"] * 20 + [f"r{i}" for i in range(29)]
+    df = spark.createDataFrame([(v, None) for v in values], "v string, n string").repartition(7)
+    got = {(r.column_name, r.item): r.n_rows for r in clean.frequent_items(df, ["v", "n"], 0.2).collect()}
+    assert got == {("v", k): n for k, n in Counter(values).items() if n > 20}
+    assert clean.frequent_items(df.filter("false"), ["v"], 0.2).count() == 0

@@ -71,10 +71,15 @@ def test_coefficient_table_names(spark):
     assert pipe.transform(unseen).first().features.toArray().tolist() == [0.0, 0.0, 0.0, 1.0]
 
 
-def test_grouped_kmeans_split_join_path_equals_broadcast(spark):
+def test_grouped_kmeans_same_with_and_without_broadcast(spark):
     df = _points(spark)
-    a = sorted(tuple(r) for r in cluster.fit_grouped_kmeans(df, "g", ["x", "y"]).centers.collect())
-    b = sorted(tuple(r) for r in cluster.fit_grouped_kmeans(df, "g", ["x", "y"], broadcast_limit=2).centers.collect())
+    a = sorted(tuple(r) for r in cluster.fit_grouped_kmeans(df, "g", ["x", "y"], digits=9).centers.collect())
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        b = sorted(tuple(r) for r in cluster.fit_grouped_kmeans(df, "g", ["x", "y"], digits=9).centers.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert a == b
 
 
@@ -83,9 +88,28 @@ def test_initial_centers_distinct_under_hot_duplicate(spark):
     rows = [("g", 1.0, 1.0)] * 500 + [("g", float(i), 2.0 * i) for i in range(2, 30)]
     df = spark.createDataFrame(rows, "g string, x double, y double").repartition(6)
     init = cluster.initial_centers(df, "g", ["x", "y"], 4).collect()
-    pts = {(r.x, r.y) for r in init}
-    assert len(init) == 4 and len(pts) == 4
-    assert sorted(r.cluster for r in init) == [0, 1, 2, 3]
+    assert len(init) == 1 and len({tuple(p) for p in init[0]["_centers"]}) == 4
+
+
+def test_kmeans_parallel_start_costs_no_more_than_mllib(spark):
+    """Cost within 5 % of one MLlib fit per group, over blobs of unlike sizes."""
+    import numpy as np
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.feature import VectorAssembler
+    draw, rows = np.random.default_rng(11), []
+    for g in range(3):
+        for c in range(5):
+            at = draw.normal(0, 20, 2)
+            rows += [(f"g{g}", float(x), float(y)) for x, y in draw.normal(at, 1 + c / 3, (40 + 60 * c, 2))]
+    df = spark.createDataFrame(rows, "g string, x double, y double").cache()
+    model = cluster.fit_grouped_kmeans(df, "g", ["x", "y"], k=5, max_iter=20)
+    ours = {r.g: r.cost for r in model.assign(df).join(model.centers.withColumnsRenamed({"x": "cx", "y": "cy"}), ["g", "cluster"])
+            .groupBy("g").agg(F.sum((F.col("x") - F.col("cx")) ** 2 + (F.col("y") - F.col("cy")) ** 2).alias("cost")).collect()}
+    x = VectorAssembler(inputCols=["x", "y"], outputCol="features").transform(df)
+    for g, cost in ours.items():
+        fit = KMeans(k=5, maxIter=20, seed=1).fit(x.filter(F.col("g") == g))
+        assert cost <= 1.05 * fit.summary.trainingCost
+    df.unpersist()
 
 
 def test_multilabel_chain_equals_per_label_join(spark):
@@ -109,7 +133,68 @@ def test_multilabel_chain_equals_per_label_join(spark):
 
 def test_grouped_kmeans_tiny_and_huge_coordinates(spark):
     from spindle.operators.cluster import fit_grouped_kmeans
-    near = spark.createDataFrame([("g", 1e-3 * i) for i in range(100)], "g string, x double")
+    near = spark.createDataFrame([("g", 1e-8 * i) for i in range(100)], "g string, x double")
     assert fit_grouped_kmeans(near, "g", ["x"], k=4).centers.select("x").distinct().count() == 4
     far = spark.createDataFrame([("g", 1e13 + i) for i in range(20)], "g string, x double")
     assert fit_grouped_kmeans(far, "g", ["x"], k=2).centers.count() == 2
+
+
+def test_labels_fitted_together_equal_mllib_fits(spark):
+    """Coefficients and probabilities of the shared passes equal one MLlib fit
+    per label; NULL labels count for the other label only."""
+    import numpy as np
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.linalg import Vectors, VectorUDT
+    from pyspark.sql import types as T
+    from spindle.operators import multilabel
+    draw = np.random.default_rng(5)
+    rows = []
+    for i in range(400):
+        at = sorted(draw.choice(30, 6, replace=False).tolist())
+        x = [float(v) for v in draw.integers(1, 4, 6)]
+        z = sum(v if p < 10 else -v for p, v in zip(at, x)) / 4
+        v = Vectors.sparse(30, at, x) if i % 3 else Vectors.dense(Vectors.sparse(30, at, x).toArray())
+        rows.append((i, v, int(draw.random() < 1 / (1 + np.exp(-z))), None if i % 9 == 0 else int(draw.random() < 0.3), 1))
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("features", VectorUDT()),
+                           *[T.StructField(c, T.IntegerType()) for c in ("a", "b", "one")]])
+    df = spark.createDataFrame(rows, schema).repartition(3).cache()
+    model = multilabel.fit_labels(df, "features", ["a", "b", "one"], 30, reg_param=0.1, tol=1e-9)
+    got = {r.id: (r.p_a, r.p_b, r.p_one) for r in model.transform(df, "features", ["id"]).collect()}
+    for j, c in enumerate(("a", "b")):
+        fit = LogisticRegression(labelCol=c, regParam=0.1, tol=1e-12, maxIter=500).fit(df.filter(F.col(c).isNotNull()))
+        assert np.abs(fit.coefficients.toArray() - model.coefficients[j]).max() < 1e-6
+        for r in fit.transform(df).select("id", "probability").collect():
+            assert abs(got[r.id][j] - r.probability[1]) < 1e-6
+    assert all(p[2] == 1.0 for p in got.values())
+    worst = multilabel.vector_certificate(df, "features", multilabel.fit_labels(df, "features", ["a", "b"], 30, tol=1e-9), 0.1)
+    assert {r.label: r.n_rows for r in worst.collect()} == {"a": 400, "b": 355}
+    assert all(r.largest_gradient < 1e-6 for r in worst.collect())
+    df.unpersist()
+
+
+def test_tree_tables_score_like_the_models(spark):
+    from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
+    from pyspark.ml.feature import VectorAssembler, VectorIndexer
+    from pyspark.ml.functions import vector_to_array
+    from spindle.operators import trees
+    df = spark.range(300).selectExpr("cast(id % 7 as double) a", "cast(id % 31 as double) b",
+                                     "cast((id % 7 in (1, 2, 5)) = (id % 31 > 12) as double) label")
+    x = VectorAssembler(inputCols=["a", "b"], outputCol="raw").transform(df)
+    x = VectorIndexer(inputCol="raw", outputCol="features", maxCategories=8).fit(x).transform(x)     # a: categorical splits
+    for learner in (DecisionTreeClassifier(maxDepth=4), RandomForestClassifier(numTrees=5, maxDepth=3, seed=2)):
+        model = learner.fit(x)
+        table = trees.tree_table(spark, model)
+        assert table.filter("categories is not null").count() > 0
+        own = vector_to_array("features")
+        out = model.transform(x).select(vector_to_array("probability")[1].alias("p"),
+                                        trees.tree_probability(table, [own[i] for i in range(2)]).alias("q")).collect()
+        assert all(abs(r.p - r.q) < 1e-12 for r in out)
+
+
+def test_workloads_leave_nothing_cached(spark):
+    from spindle.queries import registry
+    from tests.conftest import SMALL
+    spark.catalog.clearCache()
+    for name in ("income_model", "risk_model", "auc_roc", "kmeans_assign", "lr_l2_certificate"):
+        registry()[name][0](spark, SMALL).count()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0

@@ -140,3 +140,66 @@ def test_encoding_pipeline_raises_on_null_numbers_and_zeroes_unseen_categories(s
     assert seen == {"a": [1.0, 0.0, 5.0], "b": [0.0, 1.0, 5.0], "new": [0.0, 0.0, 5.0]}
     with pytest.raises(Exception, match="(?i)null"):
         model.transform(spark.createDataFrame([("a", None)], "c string, x double")).collect()
+
+
+def test_slot_table_equals_the_mllib_pipeline(spark):
+    from spindle.operators.assemble import SlotTable
+    rows = [(i, f"c{i % 5}", "xyz"[i % 3], float(i % 11), float(i)) for i in range(60)]
+    train = spark.createDataFrame(rows, "id long, c string, d string, n double, m double")
+    test = spark.createDataFrame([(100, "new", "x", 0.0, 1.0), (101, "c1", None, 2.0, 0.0), (102, "c1", "z", 5.0, 2.5)],
+                                 "id long, c string, d string, n double, m double")
+    table = SlotTable.fit(train, ["c", "d"], ["n", "m"])
+    pipe = encode.encoding_pipeline(["c", "d"], ["n", "m"]).fit(train)
+    for frame in (train, test):
+        want = {r.id: r.features.toArray().tolist() for r in pipe.transform(frame).select("id", "features").collect()}
+        got = table.transform(frame, "id").collect()
+        assert len(got) == len(want)
+        for r in got:
+            dense = [0.0] * r["size"]
+            for i, v in zip(r["indices"], r["values"]):
+                dense[i] = v
+            assert dense == want[r.id] and r["indices"] == sorted(r["indices"])
+    missing = spark.createDataFrame([(1, "c1", "x", None, 1.0), (2, "c1", "x", 1.0, 1.0)], train.schema)
+    with pytest.raises(Exception, match="NULL in a number column"):
+        table.transform(missing, "id").collect()
+    assert [r.id for r in table.transform(missing, "id", "skip").collect()] == [2]
+    kept = {r.id: r["values"] for r in table.transform(missing, "id", "keep").collect()}
+    assert kept[1][2] != kept[1][2]                                     # NaN
+    names = [r.name for r in table.table.orderBy("slot").collect()]
+    assert names[-2:] == ["n", "m"] and len(names) == 10
+
+
+def test_chi2_tail_and_selection_beyond_mllib_limit(spark):
+    from pyspark.ml.feature import ChiSqSelector, VectorAssembler
+    from pyspark.ml.stat import ChiSquareTest
+    from spindle.functions.special import chi2_upper_tail, log_gamma
+    import math
+    got = spark.createDataFrame([(0.3,), (1.0,), (7.5,), (900.0,)], "z double").select("z", log_gamma(F.col("z")).alias("g")).collect()
+    assert all(abs(r.g - math.lgamma(r.z)) < 1e-9 * max(1, abs(r.g)) for r in got)
+    tail = spark.createDataFrame([(3.841459, 1), (18.307038, 10), (0.0, 3), (16000.0, 15000), (14000.0, 15000)], "x double, d int")
+    p = [r.p for r in tail.select(chi2_upper_tail(F.col("x"), F.col("d")).alias("p")).collect()]
+    assert p[0] == pytest.approx(0.05, abs=1e-6) and p[1] == pytest.approx(0.05, abs=1e-6) and p[2] == 1.0
+    assert p[3] < 1e-7 and p[4] > 1 - 1e-7
+    df = spark.range(600).selectExpr("cast(id % 2 as int) label", "cast(id % 4 as double) a", "cast(id % 7 as double) b",
+                                     "cast(id as double) wide", "1.0 constant")
+    out = {r.feature: r for r in encode.chi2_selected(df, "label", ["a", "b", "wide", "constant"]).collect()}
+    x = VectorAssembler(inputCols=["a", "b", "wide"], outputCol="features").transform(df)
+    want = ChiSquareTest.test(x, "features", "label").first().pValues.toArray().tolist()
+    assert [out[f].p_value for f in ("a", "b", "wide")] == pytest.approx(want, abs=1e-9)
+    assert out["a"].selected and not out["b"].selected and not out["constant"].selected
+
+
+def test_estimator_tokens_follow_the_tokenizer(spark):
+    from pyspark.ml.feature import Tokenizer
+    df = spark.createDataFrame([(" a  b ",), ("",), ("  ",), ("A\tb\n\nC",), ("x",), ("\n x \t\t",), ("tail  ",)], "t string")
+    want = Tokenizer(inputCol="t", outputCol="w").transform(df).collect()
+    got = df.select("t", text.estimator_tokens("t").alias("w")).collect()
+    assert [r.w for r in got] == [r.w for r in want]
+
+
+def test_term_frequency_counts_inside_the_row(spark):
+    df = spark.createDataFrame([(1, ["b", "a", "b"]), (2, []), (3, None), (4, ["é", "é", "é", "z"])], "id int, w array<string>")
+    out = text.term_frequency(df.repartition(3), "id", "w")
+    assert sorted((r.id, r.term, r.tf) for r in out.collect()) == [(1, "a", 1), (1, "b", 2), (4, "z", 1), (4, "é", 3)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan
