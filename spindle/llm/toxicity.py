@@ -5,17 +5,21 @@ beginnings of 4, 5 and 6 bytes.  The vocabulary holds every term of the
 labelled examples; a term that no example holds adds to no product of a text
 with an example and is left out of its length, which changes neither the
 order of a text's neighbours nor its vote.
-Weights are (1 + ln tf) * ln((1 + N) / (1 + df)), with df over all documents;
-vectors have unit length, so scores are exact cosines over the vocabulary.
-
-The examples form an inverted index.  Terms that at most one in ``COMMON``
-examples holds have postings, which a text adds up; the others are columns.
-What the columns can add is bounded by the lengths of both vectors over them
-(Cauchy-Schwarz), and examples whose bound can't reach the k-th cosine are
-left out, which is exact.  Votes of the k
-nearest are weighted by cosine; the vote is calibrated by the label rate of
-the examples (each against the others) with a vote in the same tenth.
-Evidence is the list of nearest examples with label and cosine.
+Weights are (1 + ln tf) * ln((1 + N) / (1 + df)), with df over all documents,
+times the term's relevance: how far the toxic examples that hold it exceed
+their expected number, in standard deviations, on top of a floor that
+every term has.  Vectors have unit length, so scores are exact cosines.
+
+The examples (a bounded, documented sample of the labelled rows, by class)
+form a block-max inverted index.  Examples are ordered so that similar ones
+share a block of ``BLOCK``; for every term and block the index holds the
+postings and the largest weight.  A text adds up the block maxima of its
+terms: an upper bound of the cosine with any example of a block.  The most
+promising blocks are scored first, and only blocks whose bound reaches the k-th cosine
+so far follow; the others are skipped, which is exact.  Votes of the k nearest are weighted by
+cosine; a vote is calibrated by the rate of label 1 among examples (each
+against the others, weighted back to their class's share) with a vote in the same
+tenth, made monotone.  Evidence is the list of nearest examples with label and cosine.
 """
 
 from __future__ import annotations
@@ -28,12 +32,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spindle.llm.base import bounded_batches, hash_mod, mix64, received, shared, text_slices, written
+from spindle.llm.base import bounded_batches, hash_mod, mix64, received, runs, shared, span_hasher, text_slices, written
 
-#: Labelled rows that examples and vocabulary are taken from, examples that vote, examples that are compared first.
-FIT_ROWS, NEAREST, FIRST = 20_000, 15, 64
-#: A term of more than one in so many examples is a column of the index.
-COMMON = 16
+#: Examples of label 1 and of label 0 at most (smallest hashes of the doc_id), and examples that vote.
+TOXIC_ROWS, CLEAN_ROWS, NEAREST = 1000, 1500, 15
+#: Examples of a block of the index, and blocks that are scored first.
+BLOCK, FIRST = 32, 4
+#: Relevance that every term has, in standard deviations.
+FLOOR = 3.0
 #: Answers that a task keeps for texts with the same terms.
 KEPT = 10_000
 STEMS = (4, 5, 6)
@@ -47,7 +53,6 @@ _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
 
 def _terms(column: pa.Array):
     """``(first row, row of each term, term hash)`` by slices."""
-    from spindle.llm.base import span_hasher
     for row, data, starts, ends in text_slices(column, TERM_BYTES):
         low = _FOLD[data]
         latin = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)) + 1
@@ -150,52 +155,85 @@ def _unpacked(rows):
     return [i for r in rows for i in r["ids"]], [x for r in rows for x in r["toxic"]], terms, times, size
 
 
+def _spans(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places ``first[i] .. first[i] + size[i] - 1``, one run after another."""
+    return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
+def relevance(ex: np.ndarray, terms: np.ndarray, labels: np.ndarray, size: int) -> np.ndarray:
+    """Excess of the toxic examples among a term's holders, in standard
+    deviations, on top of ``FLOOR``."""
+    share = labels.mean() if len(labels) else 0.0
+    held = np.bincount(terms, minlength=size)
+    excess = np.bincount(terms, weights=labels[ex], minlength=size) - held * share
+    return np.maximum(excess / np.sqrt(held * share * (1 - share) + 1), 0) + FLOOR
+
+
+def _similar_order(ex: np.ndarray, terms: np.ndarray, w: np.ndarray, count: int, size: int) -> np.ndarray:
+    """Examples in an order where neighbours are alike: halves along the main
+    direction of the vectors, halved again down to ``BLOCK``."""
+    order, parts = [], [np.arange(count)]
+    while parts:
+        part = parts.pop()
+        if len(part) <= BLOCK:
+            order.append(part)
+            continue
+        at = np.full(count, -1)
+        at[part] = np.arange(len(part))
+        mine = at[ex] >= 0
+        e, t, v = at[ex[mine]], terms[mine], w[mine]
+        x = np.sin(1.0 + np.arange(len(part)))
+        for _ in range(6):
+            x = x - x.mean()
+            x = np.bincount(e, weights=v * np.bincount(t, weights=v * x[e], minlength=size)[t], minlength=len(part))
+            x /= max(np.abs(x).max(), 1e-300)
+        half = -(-len(part) // (2 * BLOCK)) * BLOCK
+        ranked = part[np.argsort(x, kind="stable")]
+        parts += [ranked[half:], ranked[:half]]
+    return np.concatenate([np.zeros(0, np.int64), *order])
+
+
 class Index:
-    """The examples' terms: postings of the rare ones, columns of the common
-    ones.  Examples are numbered by doc_id.  Terms and times are a list for
-    each example, or (with ``size``) all of them one after another."""
+    """Block-max postings of the examples.  Examples are numbered by doc_id.
+    Terms and times are a list for each example, or (with ``size``) all of
+    them one after another; ``idf`` is the weight of every term."""
 
     def __init__(self, ids, labels, terms, times, idf: np.ndarray, size=None):
         if size is None:
             size = np.fromiter(map(len, terms), np.int64, len(terms))
             terms, times = _flat(terms, np.int32), _flat(times, np.int32)
-        ids, count, most = np.asarray(ids, np.int64), len(ids), int(times.max(initial=1))
+        ids, count = np.asarray(ids, np.int64), len(ids)
         order = np.argsort(ids, kind="stable")
-        self.ids, self.labels, self.idf = ids[order], np.asarray(labels, float)[order], idf
-        number = np.empty(count, np.min_scalar_type(max(count, 1)))
+        number = np.empty(count, np.int64)
         number[order] = np.arange(count)
-        ex, tf = np.repeat(number, size), times.astype(np.min_scalar_type(most), copy=False)
-        self.tf_weight = np.concatenate([[0.0], 1 + np.log(np.arange(1, most + 1))])
-        held = np.bincount(terms, minlength=len(idf))
-        common = held * COMMON > count
-        self.column = np.where(common, np.cumsum(common) - 1, -1)
-        self.columns = np.zeros((count, int(common.sum())), tf.dtype)
-        length, rest = np.zeros(count), np.zeros(count)
-        for at in range(0, len(terms), 1 << 20):         # bounded memory
-            e, t, n = (x[at:at + (1 << 20)] for x in (ex, terms, tf))
-            w2, heavy = (self.tf_weight[n] * idf[t]) ** 2, common[t]
-            length += np.bincount(e, weights=w2, minlength=count)
-            rest += np.bincount(e[heavy], weights=w2[heavy], minlength=count)
-            self.columns[e[heavy], self.column[t[heavy]]] = n[heavy]
-        length = np.maximum(np.sqrt(length), 1e-12)
-        self.scale, self.rest = 1 / length, np.sqrt(rest) / length
-        light = ~common[terms]
-        ex, tf, terms = ex[light], tf[light], terms[light]
-        order = np.lexsort((ex, terms))
-        self.ex, self.tf = ex[order], tf[order]
-        self.first = np.concatenate([[0], np.cumsum(np.where(common, 0, held))])
+        self.ids, self.labels, self.idf = ids[order], np.asarray(labels, float)[order], idf
+        ex, w = np.repeat(number, size), (1 + np.log(times.astype(float))) * idf[terms]
+        length = np.maximum(np.sqrt(np.bincount(ex, weights=w * w, minlength=count)), 1e-12)
+        w /= length[ex]
+        place = np.empty(count, np.int64)
+        place[_similar_order(ex, terms, w, count, len(idf))] = np.arange(count)
+        block = place[ex] // BLOCK
+        self.blocks = -(-count // BLOCK)
+        order = np.lexsort((ex, block, terms))                           # term, then block
+        self.ex, self.weight = ex[order].astype(np.int32), w[order]
+        pair = terms[order].astype(np.int64) * self.blocks + block[order]
+        self.pair_first, self.pair_size = runs(pair)
+        held = pair[self.pair_first]
+        self.pair_block = (held % max(self.blocks, 1)).astype(np.int32)
+        self.pair_most = np.maximum.reduceat(self.weight, self.pair_first) if len(held) else np.zeros(0)
+        self.first = np.searchsorted(held, np.arange(len(idf) + 1) * self.blocks)    # a term's pairs
+        self.scored = self.passed = 0
 
     def __getstate__(self):
         """Packed: each broadcast is a file in every executor's folder."""
-        pack = lambda x: (zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(x).tobytes()), x.dtype.str, x.shape)
-        return {k: pack(np.diff(v, prepend=v.dtype.type(0)) if k in ("ex", "first", "column") else v)
+        press = zstandard.ZstdCompressor(level=3).compress
+        return {k: (press(np.ascontiguousarray(v).tobytes()), v.dtype.str, v.shape) if isinstance(v, np.ndarray) else v
                 for k, v in self.__dict__.items()}
 
     def __setstate__(self, state):
         plain = zstandard.ZstdDecompressor().decompress
-        for k, (data, kind, shape) in state.items():
-            v = np.frombuffer(plain(data), kind).reshape(shape)
-            self.__dict__[k] = np.cumsum(v, dtype=v.dtype) if k in ("ex", "first", "column") else v
+        for k, v in state.items():
+            self.__dict__[k] = np.frombuffer(plain(v[0]), v[1]).reshape(v[2]) if isinstance(v, tuple) else v
 
     def weights(self, terms, times):
         t = np.asarray(terms, np.int64)
@@ -205,33 +243,30 @@ class Index:
     def nearest(self, terms, times, k: int = NEAREST, but: int | None = None):
         """The k examples of largest positive cosine, ties to the smaller number."""
         t, q = self.weights(terms, times)
-        column, part = self.column[t], q * self.idf[t]
-        light, heavy = column < 0, column >= 0
-        size = self.first[t[light] + 1] - self.first[t[light]]
-        spot = np.repeat(self.first[t[light]] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        score = np.bincount(self.ex[spot], weights=self.tf_weight[self.tf[spot]] * np.repeat(part[light], size),
-                            minlength=len(self.ids)) * self.scale
-        column, part = column[heavy], part[heavy]
-        bound = score + np.sqrt((q[heavy] ** 2).sum()) * self.rest + 1e-9
-        if but is not None:
-            bound[self.ids == but] = -1
-
-        def cosines(who):
-            out = np.empty(len(who))
-            for at in range(0, len(who), 2048):          # bounded memory
-                some = who[at:at + 2048]
-                out[at:at + 2048] = score[some] + (self.tf_weight[self.columns[some[:, None], column]] @ part) * self.scale[some]
-            return out
-
-        least = 0.0
-        if len(bound) > FIRST:
-            first = np.argpartition(-bound, FIRST)[:FIRST]
-            least = max(0.0, float(np.sort(cosines(first[bound[first] >= 0]))[-k:][0]) if (bound[first] >= 0).sum() >= k else 0.0)
-        who = np.flatnonzero(bound >= least)
-        cos = cosines(who)
-        who, cos = who[cos > 0], cos[cos > 0]
-        order = np.lexsort((who, -np.round(cos, 12)))[:k]
-        return who[order], cos[order]
+        size = self.first[t + 1] - self.first[t]
+        pairs, q = _spans(self.first[t], size), np.repeat(q, size)
+        block = self.pair_block[pairs]
+        bound = np.bincount(block, weights=q * self.pair_most[pairs], minlength=self.blocks) + 1e-9
+        other = self.ids != but if but is not None else None
+
+        def cosines(chosen: np.ndarray) -> np.ndarray:
+            some = chosen[block]
+            size = self.pair_size[pairs[some]]
+            spot = _spans(self.pair_first[pairs[some]], size)
+            score = np.bincount(self.ex[spot], weights=self.weight[spot] * np.repeat(q[some], size), minlength=len(self.ids))
+            self.scored += int(chosen.sum())
+            return score if other is None else score * other
+        chosen = np.zeros(self.blocks, bool)
+        chosen[np.argsort(-bound, kind="stable")[:FIRST]] = True
+        cos = cosines(chosen)
+        least = np.partition(cos, -k)[-k] if len(cos) > k else 0.0
+        rest = ~chosen & (bound >= least) & (bound > 2e-9)
+        if rest.any():
+            cos = cos + cosines(rest)
+        self.passed += self.blocks - int(chosen.sum()) - int(rest.sum())
+        who = np.flatnonzero(cos >= max(least - 1e-9, 1e-12))
+        order = np.lexsort((who, -np.round(cos[who], 12)))[:k]
+        return who[order], cos[who[order]]
 
     def vote(self, terms, times, but: int | None = None) -> tuple[float, np.ndarray, np.ndarray]:
         who, cos = self.nearest(terms, times, but=but)
@@ -251,9 +286,10 @@ def _votes(index):
 
 
 _HIDDEN = ["_score", "_predicted", "_evidence"]
+_OUTPUTS = ["score", "predicted", "evidence"]
 
 
-def _score(index, rates, keep: list[str], hidden: bool = False):
+def _score(index, rates, keep: list[str], names: list[str]):
     def run(batches):
         ix, rate = received(index), received(rates)
         seen: dict = {}
@@ -273,7 +309,7 @@ def _score(index, rates, keep: list[str], hidden: bool = False):
                 [*(batch.column(c) for c in keep), pa.array(score, pa.float64()),
                  pa.array([int(s >= 0.7) for s in score], pa.int32()),
                  pa.array(evidence, pa.list_(pa.struct([("doc_id", pa.int64()), ("toxic", pa.int32()), ("cosine", pa.float64())])))],
-                names=[*keep, *(["score", "predicted", "evidence"] if not hidden else _HIDDEN)])
+                names=[*keep, *names])
     return run
 
 
@@ -288,37 +324,53 @@ def _evidence(names: list[str]) -> str:
     return (f"{names[0]} double, {names[1]} int, {names[2]} array<struct<doc_id:bigint,toxic:int,cosine:double>>")
 
 
-def fit(rows: DataFrame, labels: DataFrame, folds: int, held: int, fit_rows: int):
+def _monotone(rates: list[float], weights: list[float]) -> list[float]:
+    """The nearest non-decreasing rates (neighbours out of order are pooled)."""
+    pools: list[list[float]] = []
+    for r, w in zip(rates, weights):
+        pools.append([r, w, 1])
+        while len(pools) > 1 and pools[-2][0] > pools[-1][0]:
+            r2, w2, n2 = pools.pop()
+            r1, w1, n1 = pools.pop()
+            pools.append([(r1 * w1 + r2 * w2) / (w1 + w2), w1 + w2, n1 + n2])
+    return [r for r, _, n in pools for _ in range(int(n))]
+
+
+def fit(rows: DataFrame, labels: DataFrame, folds: int, held: int, toxic_rows: int, clean_rows: int):
     """``(vocabulary, index, rates)``, broadcast; ``rows (doc_id, text)``."""
     spark = rows.sparkSession
-    bounded_batches(spark)
-    sample = written(labels.filter((hash_mod("doc_id", folds) != held) & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
-                     .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-                     .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows), "toxicity-sample")
-    labelled = rows.join(F.broadcast(sample), "doc_id")                 # fit_rows rows at most
-    size = labelled.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("pos")).first()
-    found = labelled.select("text").mapInArrow(_distinct, "term long").distinct().toPandas()    # terms of fit_rows texts at most
+    known = (labels.filter((hash_mod("doc_id", folds) != held) & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
+             .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")))
+    totals = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    drawn = [known.filter(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
+             for y, n in ((1, toxic_rows), (0, clean_rows))]
+    sample = written(drawn[0].unionByName(drawn[1]), "toxicity-sample")
+    labelled = written(rows.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic")      # a sample's rows at most
+                       .agg(F.min("text").alias("text")), "toxicity-labelled")
+    found = labelled.select("text").mapInArrow(_distinct, "term long").distinct().toPandas()    # terms of the sample's texts
     terms = np.sort(found["term"].to_numpy(np.int64).view(np.uint64))
     vocabulary = shared(spark, terms)
     df, total = np.zeros(len(terms)), rows.count()
-    held = (rows.select("text").mapInArrow(_holders(vocabulary, len(terms)), "t long, n long").groupBy("t")
-            .agg(F.sum("n").alias("n")).toPandas())                                            # one row for each term
-    df[held["t"].to_numpy(np.int64)] = held["n"]
-    idf = np.log((1 + total) / (1 + df))
+    holders = (rows.select("text").mapInArrow(_holders(vocabulary, len(terms)), "t long, n long").groupBy("t")
+               .agg(F.sum("n").alias("n")).toPandas())                                         # one row for each term
+    df[holders["t"].to_numpy(np.int64)] = holders["n"]
     keep = ["doc_id", "toxic"]
-    examples = labelled.select(*keep, "text").mapInArrow(_vectors(vocabulary, keep), _schema(labelled, keep, _VECTOR))
+    examples = labelled.repartition("doc_id").mapInArrow(_vectors(vocabulary, keep), _schema(labelled, keep, _VECTOR))
     examples = written(examples, "toxicity-examples")
     own = (examples.filter(F.size("_terms") > 0).select("doc_id", "toxic", "_terms", "_times").mapInArrow(
-        _packed, "ids array<long>, toxic array<int>, size binary, terms binary, times binary").collect())  # fit_rows rows, as a rule
-    ids, toxic, flat, times, size_of = _unpacked(own)
-    del own
-    index = shared(spark, Index(ids, toxic, flat, times, idf, size_of))
-    del ids, toxic, flat, times
-    votes = (examples.repartition("doc_id").mapInArrow(_votes(index), "tenth int, toxic int").groupBy("tenth")
-             .agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("pos")).collect())
-    prior = size["pos"] / size["n"] if size["n"] else 0.0
-    rate = {k: prior if k < 0 else (k + 0.5) / 10 for k in range(-1, 10)}
-    rate |= {r["tenth"]: (r["pos"] + rate[r["tenth"]]) / (r["n"] + 1) for r in votes}
+        _packed, "ids array<long>, toxic array<int>, size binary, terms binary, times binary").collect())
+    ids, toxic, flat, times, size = _unpacked(own)
+    y = np.asarray(toxic, float)
+    weight = np.log((1 + total) / (1 + df)) * relevance(np.repeat(np.arange(len(ids)), size), flat, y, len(terms))
+    index = shared(spark, Index(ids, toxic, flat, times, weight, size))
+    votes = examples.mapInArrow(_votes(index), "tenth int, toxic int").groupBy("tenth", "toxic").count().collect()
+    drawn = {c: sum(r["count"] for r in votes if r["toxic"] == c) for c in (0, 1)}
+    share = {c: totals.get(c, 0) / drawn[c] if drawn[c] else 0.0 for c in (0, 1)}      # labelled rows for each drawn one
+    mass = {(r["tenth"], r["toxic"]): r["count"] * share[r["toxic"]] for r in votes}
+    seen = [mass.get((i, 0), 0.0) + mass.get((i, 1), 0.0) for i in range(-1, 10)]
+    prior = totals.get(1, 0) / max(sum(totals.values()), 1)
+    rate = [(mass.get((i, 1), 0.0) + (prior if i < 0 else (i + 0.5) / 10)) / (n + 1) for i, n in zip(range(-1, 10), seen)]
+    rate = dict(zip(range(-1, 10), [rate[0] if totals else 0.0, *(_monotone(rate[1:], [n + 1 for n in seen[1:]]) if totals else [0.0] * 10)]))
     return vocabulary, index, shared(spark, rate)
 
 
@@ -327,7 +379,7 @@ def _rows(docs: DataFrame, folds: int, held: int) -> DataFrame:
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1,
-                   fit_rows: int = FIT_ROWS) -> DataFrame:
+                   toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS) -> DataFrame:
     """``(doc_id, held_out, score, predicted, evidence)`` for every row of
     ``docs (doc_id, text)``; ``labels (doc_id, toxic)`` count only for rows
     with ``crc32(doc_id) % folds <> held``.
@@ -340,16 +392,22 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int
     table gives no rows.
     """
     rows, keep = _rows(docs, folds, held), ["doc_id", "held_out"]
-    vocabulary, index, rates = fit(rows, labels, folds, held, fit_rows)
-    vectors, scored = _vectors(vocabulary, keep), _score(index, rates, keep)
+    bounded_batches(docs.sparkSession)
+    vocabulary, index, rates = fit(rows, labels, folds, held, toxic_rows, clean_rows)
+    vectors, scored = _vectors(vocabulary, keep), _score(index, rates, keep, _OUTPUTS)
     return rows.mapInArrow(lambda batches: scored(vectors(batches)),
-                           _schema(rows, keep, _evidence(["score", "predicted", "evidence"])))
+                           _schema(rows, keep, _evidence(_OUTPUTS)))
 
 
-def without_toxic(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1, fit_rows: int = FIT_ROWS) -> DataFrame:
+def without_toxic(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1,
+                  toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS) -> DataFrame:
     """The rows of ``docs``, all columns, that ``score_toxicity`` doesn't predict as toxic."""
-    vocabulary, index, rates = fit(_rows(docs, folds, held), labels, folds, held, fit_rows)
+    bounded_batches(docs.sparkSession)
+    vocabulary, index, rates = fit(_rows(docs, folds, held), labels, folds, held, toxic_rows, clean_rows)
     keep = docs.columns
-    vectors, scored = _vectors(vocabulary, keep), _score(index, rates, keep, hidden=True)
-    found = docs.mapInArrow(lambda batches: scored(vectors(batches)), _schema(docs, keep, _evidence(_HIDDEN)))
-    return found.filter("_predicted = 0").select(*keep)
+    names = [f"{c}_of_{len(keep)}" for c in _HIDDEN]
+    while set(n.lower() for n in names) & set(c.lower() for c in keep):
+        names = [f"{n}_" for n in names]
+    vectors, scored = _vectors(vocabulary, keep), _score(index, rates, keep, names)
+    found = docs.mapInArrow(lambda batches: scored(vectors(batches)), _schema(docs, keep, _evidence(names)))
+    return found.filter(F.col(names[1]) == 0).select(*keep)

@@ -192,7 +192,9 @@ def test_toxicity_and_language_on_held_out_rows(spark):
     folder = SMALL.replace("sf0.001", "sf0.01")
     table = spark.read.parquet(f"{folder}/documents.parquet")
     labels = spark.read.parquet(f"{folder}/labels.parquet")
-    got = toxicity.score_toxicity(table, labels).filter("held_out").join(labels, "doc_id")
+    got = toxicity.score_toxicity(table, labels).filter("held_out").join(labels, "doc_id").cache()
+    toxic = got.filter("toxic = 1")
+    assert toxic.filter("predicted = 1").count() >= 0.7 * toxic.count()
     clean = got.filter("toxic = 0")
     assert clean.filter("predicted = 1").count() <= 0.05 * clean.count()
     langs = langid.predict_languages(table, fit_rows=150).join(table.select("doc_id", "lang"), "doc_id").filter("held_out and lang_pred <> 'und'")
@@ -228,18 +230,33 @@ def test_toxic_rows_are_found_in_each_language(spark):
     assert all(r.recall > 0.2 for r in by.values()) and by["es"].recall > 0.5
 
 
-def test_block_bounds_find_the_exact_neighbours():
+def _sparse_examples(rng, count, size, kinds):
+    """Examples of several kinds, each with terms of its own and a few shared ones."""
+    terms = []
+    for i in range(count):
+        own = rng.choice(size, rng.integers(2, 9), replace=False) + size * (i % kinds)
+        terms.append(sorted({*own.tolist(), *(size * kinds + rng.choice(5, 2)).tolist()}))
+    return terms, [rng.integers(1, 4, len(t)).tolist() for t in terms]
+
+
+@pytest.mark.parametrize("kinds", [1, 6])
+def test_block_bounds_find_the_exact_neighbours_and_skip_blocks(kinds):
     rng = np.random.default_rng(5)
-    terms = [sorted(rng.choice(30, rng.integers(1, 6), replace=False).tolist()) for _ in range(400)]
-    times = [rng.integers(1, 4, len(t)).tolist() for t in terms]
-    ix = toxicity.Index(range(400), rng.integers(0, 2, 400), terms, times, np.log(1 + rng.random(30) * 5))
-    dense = np.zeros((400, 30))
+    terms, times = _sparse_examples(rng, 600, 30, kinds)
+    ix = toxicity.Index(range(600), rng.integers(0, 2, 600), terms, times, np.log(1 + rng.random(30 * kinds + 5) * 5))
+    dense = np.zeros((600, 30 * kinds + 5))
     for i, (t, n) in enumerate(zip(terms, times)):
         a, w = ix.weights(t, n)
         dense[i, a] = w
-    for i in range(0, 400, 7):
+    for i in range(0, 600, 7):
         who, cos = ix.nearest(terms[i], times[i], but=i)
         s = np.round(dense @ dense[i], 12)
         s[i] = 0
-        want = [j for j in np.lexsort((np.arange(400), -s)) if s[j] > 0][:toxicity.NEAREST]
+        want = [j for j in np.lexsort((np.arange(600), -s)) if s[j] > 0][:toxicity.NEAREST]
         assert who.tolist() == want and np.allclose(cos, s[want])
+    if kinds > 1:
+        assert ix.passed > ix.scored                                     # most blocks are never looked at
+
+
+def test_monotone_rates_pool_neighbours():
+    assert toxicity._monotone([0.1, 0.3, 0.2, 0.9], [1, 1, 3, 1]) == pytest.approx([0.1, 0.225, 0.225, 0.9])
