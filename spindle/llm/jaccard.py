@@ -367,12 +367,13 @@ def jaccard_components(docs: DataFrame, words: int = 4, threshold: float = 0.85,
                     .filter("shared >= need and n_shingles > 0").select("doc_id"), "jaccard-again")
     run, schema = _sets(words)
     sets = written(kept_rows(docs, again).mapInArrow(run, schema), "jaccard-sets")
-    same = written(sets.groupBy("n", "fp1", "fp2").agg(F.min("doc_id").alias("rep")), "jaccard-same")
-    copies = (sets.select("doc_id", "n", "fp1", "fp2").join(same, ["n", "fp1", "fp2"]).filter("doc_id <> rep")
-              .select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
-    points = written(sets.join(same.withColumnRenamed("rep", "doc_id"), ["n", "fp1", "fp2", "doc_id"])
-                     .dropDuplicates(["n", "fp1", "fp2", "doc_id"])
-                     .select(F.col("doc_id").alias("rep"), "grams"), "jaccard-points")
+    # every distinct set is a point of its own; a doc_id with several texts holds several
+    key = ["n", "fp1", "fp2"]
+    same = written(sets.groupBy(*key).agg(F.min("doc_id").alias("first")).withColumn("rep", F.monotonically_increasing_id()),
+                   "jaccard-same")
+    own = written(sets.select("doc_id", *key).join(same, key).select("doc_id", "rep").distinct(), "jaccard-own")
+    points = written(sets.join(same.withColumnRenamed("first", "doc_id"), [*key, "doc_id"]).dropDuplicates(["rep"])
+                     .select("rep", "grams"), "jaccard-points")
     often = shared(points.sparkSession, frequent_grams(points, FREQUENT_LEAST, FREQUENT_MOST))
     run, schema = _prefix(threshold, often)
     cells = written(points.mapInArrow(run, schema).distinct(), "jaccard-cells")
@@ -384,9 +385,15 @@ def jaccard_components(docs: DataFrame, words: int = 4, threshold: float = 0.85,
     regions = written(pairs.join(tops, "head", "left").select(F.coalesce("label", "head").alias("head"), "rep")
                       .distinct(), "jaccard-regions")
     links = _region_links(regions, points, threshold, region_limit)
-    labels = components(copies.unionByName(links), "jaccard")
-    return (counts.join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left")
-            .select("doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id")))
+    several = own.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("last")).filter("a <> last")
+    held = several.join(own, "doc_id").filter("rep <> a").select("a", F.col("rep").alias("b"))
+    labels = components(held.unionByName(links), "jaccard").withColumnRenamed("id", "rep")
+    found = written(own.join(labels, "rep", "left").select("doc_id", F.coalesce("label", "rep").alias("label")).distinct(),
+                    "jaccard-found")
+    least = found.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    found = found.join(least, "label").select("doc_id", "component_id")          # one row a document: its points are linked
+    return (counts.join(found, "doc_id", "left")
+            .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
 
 
 def _region_links(regions: DataFrame, points: DataFrame, threshold: float, limit: int) -> DataFrame:
