@@ -37,7 +37,7 @@ from spindle.session import shared_path
 #: Longest unit that is encoded by the fold.
 LONG = 64
 #: Units of a partition whose edges are grouped in memory (above, Spark sorts them).
-GROUPED_UNITS = 200_000
+GROUPED_UNITS = 10_000
 #: What an unknown character costs below the lowest score.
 UNKNOWN_PENALTY = 10.0
 #: Bits of a unit's number within a part (a part has no more units than bytes, one long text aside).
@@ -296,7 +296,7 @@ def encode(docs: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
     asked = streams.select("chunk", F.posexplode("units").alias("pos", "unit")).filter("unit is not null")
     # one exchange by unit: the lattice and the list of who asked both start from it
     place = F.shiftleft("chunk", PLACE_BITS) + F.col("pos")
-    asked = asked.select("unit", place.alias("place")).repartition(4 * buckets(spark), "unit")
+    asked = asked.select("unit", place.alias("place")).repartition(8 * buckets(spark), "unit")
     asked = asked.groupBy("unit").agg(F.collect_list("place").alias("at"))
     # (conditions on "at", so that they stay above the exchange, which is then reused)
     size = F.when(F.size("at") > 0, F.length("unit"))
