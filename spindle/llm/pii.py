@@ -88,6 +88,18 @@ def _iban_ok(text: str) -> bool:
     return int("".join(str(int(c, 36)) for c in text[4:] + text[:4])) % 97 == 1
 
 
+_ALPHANUMERIC = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: Texts with fewer letters and digits are replaced as a whole.
+SHORT = 4
+#: Draws of one format before the next one is a character (or syllable) longer.
+GROWS = 4
+
+# First letter and number of letters of the ranges that a
+# surrogate letter is drawn from (the range of the letter it replaces).
+_LETTERS = [(0x41, 26), (0x61, 26), (0x391, 17), (0x3B1, 25), (0x410, 32), (0x430, 32), (0x5D0, 27), (0x627, 20),
+            (0x3041, 86), (0x30A1, 90), (0x4E00, 20902), (0xAC00, 11172)]
+
+
 class _Draws:
     """Bytes of HMAC(key, type, canonical form, draw)."""
 
@@ -103,16 +115,23 @@ class _Draws:
         return x % n
 
     def like(self, text: str) -> str:
+        """Another text of the same format: digits for digits, letters of the
+        same script and case for letters, the rest as it is."""
         out = []
         for c in text:
-            if "0" <= c <= "9":
+            if c.isdecimal():
                 out.append(str(self.below(10)))
-            elif c.isalpha() and c.isascii():
-                out.append(chr((65 if c.isupper() else 97) + self.below(26)))
+            elif c.isalpha():
+                low, n = next((x for x in _LETTERS if x[0] <= ord(c) < x[0] + x[1]), (65 if c.isupper() else 97, 26))
+                out.append(chr(low + self.below(n)))
             else:
                 out.append(c)
         return "".join(out)
 
+    def text(self, n: int) -> str:
+        """``n`` letters and digits."""
+        return "".join(_ALPHANUMERIC[self.below(len(_ALPHANUMERIC))] for _ in range(n))
+
 
 def find_entities(text: str) -> list[tuple[int, int, str]]:
     """``(start, end, type)`` of the entities of a text, in order and apart."""
@@ -150,50 +169,54 @@ def canonical(kind: str, text: str) -> str:
     return text.lower() if kind == "email" or kind.startswith("name") else text
 
 
-def _name(draws: _Draws, kind: str, form: str) -> str:
+def _name(draws: _Draws, kind: str, form: str, more: int = 0) -> str:
     script = "cyrillic" if re.search("[а-яё]", form) else "latin"
     role = kind.split("_")[1]
-    parts = [draws.below(len(_SYLLABLES[script])) for _ in range(3)]
+    parts = [draws.below(len(_SYLLABLES[script])) for _ in range(3 + more)]
     ends = _ENDS[script, role]
     return "".join(_SYLLABLES[script][p] for p in parts) + ends[draws.below(len(ends))]
 
 
 def surrogate(kind: str, form: str, key: bytes, draw: int = 0) -> str:
-    """Surrogate of a canonical form, itself in canonical form."""
-    draws = _Draws(key, kind, form, draw)
+    """Surrogate of a canonical form, itself in canonical form.  After every
+    ``GROWS`` draws the format has one more character, so that a free surrogate
+    exists however many entities there are."""
+    draws, more = _Draws(key, kind, form, draw), draw // GROWS
     if kind.startswith("name"):
-        return _name(draws, kind, form)
+        return _name(draws, kind, form, more)
     if kind == "email":
         local, _, domain = form.rpartition("@")
         host, _, top = domain.rpartition(".")
-        return f"{draws.like(local)}@{_Draws(key, 'domain', domain, 0).like(host)}.{top}"
+        return f"{draws.like(local)}{draws.like('0' * more)}@{_Draws(key, 'domain', domain, 0).like(host)}.{top}"
     if kind == "ip":
-        low, span = {1: 1, 2: 10, 3: 100}, {1: 9, 2: 90, 3: 155}
+        low, span = ({1: 1, 2: 10, 3: 100}, {1: 9, 2: 90, 3: 155}) if not more else ({1: 1, 2: 1, 3: 1}, {1: 254, 2: 254, 3: 254})
         return ".".join(str(low[len(x)] + draws.below(span[len(x)])) for x in form.split("."))
     if kind == "phone":
         keep = min(len(form) - 7, 2 if form.startswith("+") else 0)
-        return form[:keep] + draws.like(form[keep:])
+        return form[:keep] + draws.like(form[keep:] + "0" * more)
     if kind == "card":
-        body = draws.like(form)
+        body = draws.like(form + "0" * more)
         if body and _luhn(form) == 0:
             body = body[:-1] + next(c for c in "0123456789" if _luhn(body[:-1] + c) == 0)
         return body
     if kind == "iban":
-        rest = draws.like(form[4:])
+        rest = draws.like(form[4:] + "0" * more)
         check = 98 - int("".join(str(int(c, 36)) for c in rest + form[:2] + "00")) % 97
         return f"{form[:2]}{check:02d}{rest}"
     if kind == "aws_key":
-        return "AKIA" + draws.like(form[4:])
+        return "AKIA" + draws.like(form[4:] + "0" * more)
     if kind == "hex" or re.fullmatch(r"[0-9a-f]+", form):
-        return "".join("0123456789abcdef"[draws.below(16)] for _ in form)
-    return draws.like(form)
+        return "".join("0123456789abcdef"[draws.below(16)] for _ in range(len(form) + more))
+    if sum(c.isalnum() for c in form) < SHORT:             # symbols: nothing of them may stay
+        return draws.text(len(form) + more)
+    return draws.like(form + "0" * more)
 
 
 def dressed(kind: str, new: str, text: str) -> str:
     """The canonical surrogate in the written form of ``text``."""
     if kind in ("phone", "card", "ssn"):
         rest = iter(new.lstrip("+"))
-        return "".join(next(rest) if c.isdigit() else c for c in text)
+        return "".join(next(rest) if c.isdecimal() else c for c in text) + "".join(rest)
     if kind == "email":
         return new.upper() if text.isupper() else new
     if kind.startswith("name"):

@@ -230,6 +230,45 @@ def test_toxic_rows_are_found_in_each_language(spark):
     assert all(r.recall > 0.2 for r in by.values()) and by["es"].recall > 0.5
 
 
+def test_documents_with_several_texts_keep_all_links(spark):
+    words = [f"w{i}" for i in range(60)]
+    b, c = " ".join(words), " ".join(f"v{i}" for i in range(60))
+    rows = [(5, b), (5, c), (9, c), (11, c + " more"), (13, b + " more"), (20, "something else entirely over here now")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(table).collect()}
+    assert got == {5: 5, 9: 5, 11: 5, 13: 5, 20: 20}
+    table = spark.createDataFrame([(5, b), (5, c), (9, c + " more"), (3, b + " more"), (3, "x y z u v w")], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in jaccard.jaccard_components(table).collect()} == {5: 3, 9: 3, 3: 3}
+
+
+SECRETS = ["********", "--------", "пароль", "密码密码密码", "пароль123", "!!!!!!!!!!", "κωδικός99", "########"]
+
+
+def test_surrogates_of_any_secret_end_and_differ():
+    key = b"k"
+    for form in SECRETS:
+        drawn = {pii.surrogate("secret", form, key, d) for d in range(40)}
+        assert len(drawn) >= 39 and form not in drawn                     # every draw is another text
+    for kind, form in (("phone", "5551234567"), ("card", "4111111111111111"), ("ip", "1.1.1.1"), ("email", "a@b.com"),
+                       ("name_last", "smith"), ("iban", "DE89370400440532013000"), ("hex", "ab")):
+        assert len({pii.surrogate(kind, form, key, d) for d in range(40)}) >= 30
+
+
+def test_many_secrets_of_symbols_get_distinct_surrogates(spark, monkeypatch):
+    monkeypatch.setitem(pii._SYLLABLES, "latin", ["ba", "be"])            # a narrow space of names: 2 ** 3 * 5 last names
+    rows = [(i, f"password: {s}") for i, s in enumerate(SECRETS * 2)]
+    rows += [(100 + i, f"Mr. {n} said so") for i, n in enumerate(f"Q{chr(97 + i % 26)}{chr(97 + i // 26)}lor" for i in range(120))]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r for r in pii.pseudonymise(table).collect()}
+    found = pii.surrogate_table(table).collect()
+    assert len(found) == len({(r.kind, r.new) for r in found})
+    assert len({out[100 + i].text for i in range(120)}) == 120            # distinct names stay distinct
+    for i, s in enumerate(SECRETS):
+        assert out[i].text == out[i + len(SECRETS)].text                  # coreference
+        if out[i].n_entities:
+            assert s not in out[i].text
+
+
 def _sparse_examples(rng, count, size, kinds):
     """Examples of several kinds, each with terms of its own and a few shared ones."""
     terms = []
