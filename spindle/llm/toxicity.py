@@ -37,7 +37,7 @@ from spindle.llm.base import bounded_batches, hash_mod, mix64, received, runs, s
 #: Examples of label 1 and of label 0 at most (smallest hashes of the doc_id), and examples that vote.
 TOXIC_ROWS, CLEAN_ROWS, NEAREST = 1000, 1500, 15
 #: Examples of a block of the index, and blocks that are scored first.
-BLOCK, FIRST = 32, 4
+BLOCK, FIRST = 128, 4
 #: Relevance that every term has, in standard deviations.
 FLOOR = 3.0
 #: Answers that a task keeps for texts with the same terms.
