@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from spindle.llm.base import bounded_batches, hash_mod, mix64, received, runs, shared, span_hasher, text_slices, written
 
 #: Examples of label 1 and of label 0 at most (smallest hashes of the doc_id), and examples that vote.
-TOXIC_ROWS, CLEAN_ROWS, NEAREST = 1000, 1500, 15
+TOXIC_ROWS, CLEAN_ROWS, NEAREST = 800, 1000, 15
 #: Examples of a block of the index, and blocks that are scored first.
 BLOCK, FIRST = 128, 4
 #: Relevance that every term has, in standard deviations.

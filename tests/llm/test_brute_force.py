@@ -279,7 +279,8 @@ def _sparse_examples(rng, count, size, kinds):
 
 
 @pytest.mark.parametrize("kinds", [1, 6])
-def test_block_bounds_find_the_exact_neighbours_and_skip_blocks(kinds):
+def test_block_bounds_find_the_exact_neighbours_and_skip_blocks(kinds, monkeypatch):
+    monkeypatch.setattr(toxicity, "BLOCK", 32)                           # 600 examples make 19 blocks
     rng = np.random.default_rng(5)
     terms, times = _sparse_examples(rng, 600, 30, kinds)
     ix = toxicity.Index(range(600), rng.integers(0, 2, 600), terms, times, np.log(1 + rng.random(30 * kinds + 5) * 5))
