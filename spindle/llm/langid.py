@@ -10,12 +10,15 @@ counts, and only one number for each language and piece returns.
 
 Every text is scored whole: the distinct words of a part of the input are
 walked through the lattice at once for all languages, and the words' log
-probabilities are summed by text.
+probabilities are summed by text.  A word of more than RUN characters is
+walked alone, over its whole length: its forward values are rescaled every
+STEP characters, so that no sum leaves the doubles and none is cut.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +30,11 @@ from spindle.llm.pieces import MODEL_FILE, SPACE_MARK, Trie, code_matrix, edges,
 
 #: Rows of each language that the distributions are fitted on, and EM steps.
 FIT_ROWS, EM_STEPS = 800, 4
-#: Longest run of characters in one lattice; longer words are several runs.
-RUN = 48
+#: Longest word (with its mark) that is walked together with others, and
+#: characters between two rescalings of a longer one.  Neither changes a result.
+RUN, STEP = 48, 16
+#: Hash classes that each language's rows are ranked in before they are ranked together.
+RANKS = 64
 #: Weight of an unknown character and of pieces never seen in a language.
 UNKNOWN, SMOOTH = 1e-9, 1e-8
 _LETTER = re.compile(r"[^\W\d_]")
@@ -46,37 +52,94 @@ def distinct_words(column: pa.Array):
         yield row, counts, number, words
 
 
-def _lattices(trie: Trie, words: list[str]):
-    """Words cut into runs; batches of ``(word of each run, codes, lengths)``."""
-    owner, parts = [], []
-    for i, w in enumerate(words):
-        w = SPACE_MARK + w
-        for k in range(0, len(w), RUN):
-            owner.append(i)
-            parts.append(w[k:k + RUN])
-    owner = np.asarray(owner, np.int64)
-    size = np.fromiter((len(p) for p in parts), np.int64, len(parts))
+class Pieces(Trie):
+    """The trie, and the piece numbers by text for words that are walked alone."""
+
+    def __init__(self, pieces: list[tuple[int, str]]):
+        Trie.__init__(self, pieces)
+        self.number = {p: i for i, p in pieces}
+
+    def walk(self, word: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(starts, ends, pieces)`` of the edges of one word, starts ascending."""
+        starts, ends, found, get, n = array("q"), array("q"), array("q"), self.number.get, len(word)
+        for s in range(n):
+            for e in range(s + 1, min(s + self.longest, n) + 1):
+                piece = get(word[s:e], -1)
+                if piece >= 0 or e == s + 1:
+                    starts.append(s)
+                    ends.append(e)
+                    found.append(piece)
+        return tuple(np.frombuffer(x, np.int64) for x in (starts, ends, found))
+
+
+def _marked(words: list[str]) -> tuple[list[str], np.ndarray]:
+    words = [SPACE_MARK + w for w in words]
+    return words, np.fromiter((len(w) for w in words), np.int64, len(words))
+
+
+def _lattices(words: list[str]):
+    """Batches of ``(numbers, codes, lengths)`` of the words up to ``RUN``."""
+    words, size = _marked(words)
     for low, high in ((0, 12), (12, 18), (18, RUN)):
         pick = np.flatnonzero((size > low) & (size <= high))
         for k in range(0, len(pick), 20_000):
             some = pick[k:k + 20_000]
-            yield (owner[some], *code_matrix([parts[i] for i in some]))
+            yield (some, *code_matrix([words[i] for i in some]))
 
 
-def word_logs(trie: Trie, p: np.ndarray, words: list[str]) -> np.ndarray:
+def _long(words: list[str]):
+    """``(number, word)`` of the words beyond ``RUN``."""
+    words, size = _marked(words)
+    return [(i, words[i]) for i in np.flatnonzero(size > RUN).tolist()]
+
+
+def _forward(trie: Pieces, p: np.ndarray, word: str):
+    """Edges of one word and its rescaled forward values ``[position,
+    language]``; the logarithms taken out up to each position."""
+    starts, ends, piece = trie.walk(word)
+    n, at = len(word), 0
+    total, out = np.zeros((n + 1, p.shape[1])), np.zeros((n + 1, p.shape[1]))
+    total[0] = 1.0
+    for s in range(n):
+        if s and s % STEP == 0:
+            top = total[s:s + trie.longest].max(axis=0)
+            total[s:s + trie.longest] /= top
+            out[s] = np.log(top)
+        while at < len(starts) and starts[at] == s:
+            total[ends[at]] += total[s] * p[piece[at]]
+            at += 1
+    return starts, ends, piece, total, np.cumsum(out, axis=0)
+
+
+def word_logs(trie: Pieces, p: np.ndarray, words: list[str]) -> np.ndarray:
     """Log probability of each word in each language; ``p[piece, language]``
     has the unknown piece last (so that index -1 is it)."""
     out = np.zeros((len(words), p.shape[1]))
-    for owner, codes, n in _lattices(trie, words):
+    for owner, codes, n in _lattices(words):
         total = np.zeros((codes.shape[1] + 1, len(owner), p.shape[1]))
         total[0] = 1.0
         for start, end, at, piece in edges(trie, codes, n):
             total[end, at] += total[start, at] * p[piece] * SCALE ** (end - start)
         last = total[n, np.arange(len(owner))]
-        np.add.at(out, owner, np.log(last) - n[:, None] * np.log(SCALE))
+        out[owner] = np.log(last) - n[:, None] * np.log(SCALE)
+    for i, word in _long(words):
+        *_, total, taken = _forward(trie, p, word)
+        out[i] = np.log(total[-1]) + taken[-1]
     return out
 
 
+def long_uses(trie: Pieces, p: np.ndarray, word: str):
+    """``(pieces, expected uses)`` of one word in the one language of ``p``,
+    by edge: forward values times backward ones, both rescaled alike."""
+    starts, ends, piece, total, taken = _forward(trie, p[:, None], word)
+    q = p[piece] * np.exp(taken[starts, 0] - taken[ends, 0])
+    back = np.zeros(len(word) + 1)
+    back[-1] = 1.0
+    for k in range(len(starts) - 1, -1, -1):
+        back[starts[k]] += back[ends[k]] * q[k]
+    return piece, total[starts, 0] * q * back[ends] / back[0]
+
+
 def _word_counts(batches):
     for batch in batches:
         langs = batch.column("lang").to_pylist()
@@ -102,7 +165,11 @@ def _expected(model):
         for batch in batches:
             lang = np.array([spot[a] for a in batch.column("lang").to_pylist()], np.int64)
             times = np.asarray(batch.column("n"), np.float64)
-            for owner, codes, n in _lattices(trie, batch.column("word").to_pylist()):
+            words = batch.column("word").to_pylist()
+            for i, word in _long(words):
+                used, share = long_uses(trie, p[:, lang[i]], word)
+                np.add.at(uses, (used, lang[i]), times[i] * share)
+            for owner, codes, n in _lattices(words):
                 which, weight = lang[owner], times[owner]
                 steps = [(s, e, at, piece, p[piece, which[at]] * SCALE ** (e - s))
                          for s, e, at, piece in edges(trie, codes, n)]
@@ -130,13 +197,16 @@ def fit(rows: DataFrame, fit_rows: int = FIT_ROWS, steps: int = EM_STEPS, model_
     """
     spark = rows.sparkSession
     pieces, _ = read_pieces(model_file)
-    trie = Trie([(k, piece) for k, (_, piece, _) in enumerate(pieces)])
+    trie = Pieces([(k, piece) for k, (_, piece, _) in enumerate(pieces)])
     share = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     langs = sorted(share)
     if not langs:
         return trie, np.zeros((len(pieces) + 1, 0)), [], np.zeros(0)
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    ids = rows.select("doc_id", "lang").withColumn("r", rank).filter(F.col("r") <= fit_rows).select("doc_id").distinct()
+    ids = rows.select("doc_id", "lang", F.pmod(F.xxhash64("doc_id"), F.lit(RANKS)).alias("part"))
+    for group in (["lang", "part"], ["lang"]):              # no language's rows are ranked in one task
+        rank = F.row_number().over(Window.partitionBy(*group).orderBy(F.xxhash64("doc_id"), "doc_id"))
+        ids = ids.withColumn("r", rank).filter(F.col("r") <= fit_rows).drop("r")
+    ids = ids.select("doc_id").distinct()
     some = rows.join(F.broadcast(ids), "doc_id", "left_semi")          # fit_rows ids of each language
     counts = written(some.select("text", "lang").mapInArrow(_word_counts, "lang string, word string, n long")
                      .groupBy("lang", "word").agg(F.sum("n").alias("n")), "langid-words")

@@ -300,3 +300,31 @@ def test_block_bounds_find_the_exact_neighbours_and_skip_blocks(kinds, monkeypat
 
 def test_monotone_rates_pool_neighbours():
     assert toxicity._monotone([0.1, 0.3, 0.2, 0.9], [1, 1, 3, 1]) == pytest.approx([0.1, 0.225, 0.225, 0.9])
+
+
+def test_long_words_sum_over_all_segmentations():
+    trie = langid.Pieces([(i, x) for i, x in enumerate(["▁", "a", "b", "ab", "ba", "aab", "abab", "▁a", "▁ab"])])
+    rng = np.random.default_rng(5)
+    p = rng.random((10, 2))
+    p[-1] = langid.UNKNOWN
+    p /= p.sum(axis=0)
+    words = ["", "ab", "aabab", "ab" * 23, "ab" * 24, "abc" * 60, "é" * 400, "".join(rng.choice(list("abab?"), 3000))]
+
+    def plain(word, lang):
+        word, logs = "▁" + word, [0.0]
+        for e in range(1, len(word) + 1):
+            ways = [logs[s] + np.log(p[trie.number.get(word[s:e], -1), lang]) for s in range(max(0, e - 4), e)
+                    if word[s:e] in trie.number or e == s + 1]
+            logs.append(np.logaddexp.reduce(ways))
+        return logs[-1]
+    got = langid.word_logs(trie, p, words)
+    assert np.allclose(got, [[plain(w, k) for k in (0, 1)] for w in words], rtol=1e-12)
+    # expected uses are the derivatives of the log sum by the logarithms of the pieces
+    for word in words[4:]:
+        piece, share = langid.long_uses(trie, p[:, 1], "▁" + word)
+        uses = np.bincount(np.where(piece < 0, 9, piece), weights=share, minlength=10)
+        for i in (1, 3, 9):
+            up, down = p.copy(), p.copy()
+            up[i], down[i] = p[i] * np.exp(1e-5), p[i] * np.exp(-1e-5)
+            slope = (langid.word_logs(trie, up, [word]) - langid.word_logs(trie, down, [word]))[0, 1] / 2e-5
+            assert abs(slope - uses[i]) < 1e-4 * max(1.0, uses[i])
