@@ -3,7 +3,8 @@
 * Vectors get one more component, so that all have the length of the longest:
   the largest inner product is then the smallest distance.
 * Centroids come from a balanced k-means (full clusters repel) over a bounded
-  sample; there are as many as the table needs, up to ``MAX_LISTS``.
+  sample; there are as many as the table needs, up to ``MAX_LISTS`` and an
+  eighth of the sample (2500 of a full one): beyond that, lists grow longer.
 * Every vector is posted to its nearest centroid, and to each further one
   (``COPIES`` at most) whose distance is within ``BOUNDARY`` of that: boundary
   vectors are found from either side.
@@ -11,8 +12,8 @@
   nearest others), best first, and keep the lists whose distance is within
   ``PRUNE`` times that of the nearest.
 * Posting lists are cut into parts of bounded size and the parts dealt to
-  shards; a query visits the shards of its lists, and its best of all shards
-  are ranked.  Scores are inner products of the original vectors.
+  shards; a list may lie in every shard, so each query goes to all of them and
+  reads its lists there; its best of all shards are ranked.  Scores are inner products of the original vectors.
 """
 
 from __future__ import annotations

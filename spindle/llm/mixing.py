@@ -148,7 +148,14 @@ def _fit(docs: DataFrame, labels: DataFrame, domains: list[str], targets: dict[s
 
 def document_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None,
                    fit_rows: int = FIT_ROWS) -> DataFrame:
-    """``(doc_id, tokens, p_<domain>, rate, copies)`` of every row of ``docs``."""
+    """``(doc_id, tokens, p_<domain>, rate, copies)`` of every row of ``docs
+    (doc_id, text, lang)``.
+
+    NULL and empty texts have no tokens and a rate like any other row; rows
+    with a NULL doc_id draw alike, as do repeated rows, each of which is
+    returned.  Labels count as for ``mix``.  Other columns are ignored; an
+    empty table gives no rows.
+    """
     targets = targets or TARGETS
     scored, _, steps = _fit(docs, labels, list(targets), targets, fit_rows)
     return _copies(scored, steps, list(targets))

@@ -343,7 +343,11 @@ def _decoded(table, lists: pa.Array):
 
 
 def decode(encoded: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
-    """``(doc_id, text)`` of ``encoded (doc_id, ids)``; no ids give an empty text."""
+    """``(doc_id, text)`` of ``encoded (doc_id, ids)``; NULL and no ids give
+    an empty text, so that a NULL text comes back empty.  The vocabulary's
+    space mark U+2581 stands for a space: where a text holds it itself, a
+    space comes back.  Every other text comes back as it was.  Repeated rows
+    are decoded one by one, other columns ignored; an empty table gives no rows."""
     share = shared(encoded.sparkSession, _byte_table(model_file))
 
     def run(batches):
