@@ -71,22 +71,6 @@ def test_katz_counts_and_base_scores(spark):
     assert first.n_tokens == 1
 
 
-def test_katz_weights_sum_to_one():
-    m = katz.Model(60, 5, [1, 1, 0, 1, 0, 0], 9, np.arange(5, dtype=np.uint64), np.array([20, 15, 15, 6, 4]))
-    h = np.array([0, 2, 3])
-    c = {0: {2: 4, 3: 2}, 2: {0: 1, 2: 1}, 3: {w: 2 for w in [0, 1, *range(2, 7)]}}
-    m.d2 = katz.discounts([2, 3, 0, 1, 0, 0])
-    total = np.array([sum(c[k].values()) for k in h.tolist()], float)
-    seen = np.array([katz.discounted(np.array(list(c[k].values())), m.d2).sum() for k in h.tolist()])
-    below = np.array([m.p[list(c[k])].sum() for k in h.tolist()])
-    m.pairs([2, 3, 0, 1, 0, 0], h, total, seen, below)
-    for k in h.tolist():
-        words = np.arange(7)
-        keys = (np.uint64(k) << np.uint64(16)) | words.astype(np.uint64)
-        p = 10 ** m.log_pairs(keys, np.array([c[k].get(w, 0) for w in words.tolist()]))
-        assert abs(p.sum() - 1) < 1e-9
-
-
 def test_good_turing_holds_on_counts_with_copies():
     # numbers of kinds with counts 1..6 of the given tables; n5 is close to n4 (copies), so that raw Turing factors pass 1
     for low in ([215810, 61309, 26017, 14862, 13741, 7222], [16971, 3831, 1233, 563, 507, 210], [206040, 32099, 5057, 1892, 2568, 660]):
