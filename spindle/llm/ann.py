@@ -11,9 +11,11 @@
 * Queries search the centroids on an in-memory graph (each linked to its
   nearest others), best first, and keep the lists whose distance is within
   ``PRUNE`` times that of the nearest.
-* Posting lists are cut into parts of bounded size and the parts dealt to
-  shards; a list may lie in every shard, so each query goes to all of them and
-  reads its lists there; its best of all shards are ranked.  Scores are inner products of the original vectors.
+* Lists are put in an order in which neighbours follow each other (centroids
+  halved along their widest direction) and packed into shards of at most
+  ``SHARD`` postings; a longer list has shards of its own.  A query goes to the
+  shards of its lists only, reads its lists there, and its best of all shards
+  are ranked.  Scores are inner products of the original vectors.
 """
 
 from __future__ import annotations
@@ -25,13 +27,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spindle.llm.base import received, shared, written
+from spindle.llm.base import buckets, mix64, received, shared, written
 from spindle.llm.vectors import matrix, ranked, valid_vectors
 
-#: Vectors the centroids are fitted on; vectors of a list; most lists; rows of a shard.
+#: Vectors the centroids are fitted on; vectors of a list; most lists; postings of a shard.
 SAMPLE, LIST, MAX_LISTS, SHARD = 20_000, 200, 4096, 8192
 #: Most lists of a vector and their distance ratio; distance ratio of a query's lists.
 COPIES, BOUNDARY, PRUNE = 3, 1.04, 1.16
+#: Queries that one task routes.
+ROUTED = 256
 #: Links of a centroid and centroids kept in the search.
 LINKS, BEAM = 16, 256
 
@@ -87,13 +91,41 @@ class Graph:
         return np.array([i for _, i in order]), np.sqrt(np.maximum([d for d, _ in order], 0))
 
 
+def list_order(c: np.ndarray) -> np.ndarray:
+    """Centroids in an order that halves them along their widest direction, again and again."""
+    def halve(at: np.ndarray) -> list[np.ndarray]:
+        if len(at) < 3:
+            return [at]
+        x = c[at] - c[at].mean(0)
+        along = x @ np.linalg.eigh(x.T @ x)[1][:, -1]
+        at = at[np.argsort(along, kind="stable")]
+        return halve(at[:len(at) // 2]) + halve(at[len(at) // 2:])
+    return np.concatenate(halve(np.arange(len(c))))
+
+
+def shard_plan(order: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First shard and number of shards of each list, for lists of ``sizes``
+    postings taken in ``order``: whole lists share a shard up to ``SHARD``
+    postings, a longer one is cut over shards of its own."""
+    first, parts = np.zeros(len(sizes), np.int64), np.maximum(-(-sizes // SHARD), 1)
+    shard, used = 0, 0
+    for a in order.tolist():
+        if used and used + sizes[a] > SHARD:
+            shard, used = shard + 1, 0
+        first[a], used = shard, used + sizes[a]
+        if parts[a] > 1:
+            shard, used = shard + int(parts[a]), 0
+    return first, parts
+
+
 def _lifted(x: np.ndarray, length: float) -> np.ndarray:
     """Vectors with the component that gives all of them one length."""
     rest = np.sqrt(np.maximum(length ** 2 - (x * x).sum(1), 0))
     return np.concatenate([x, rest[:, None]], axis=1)
 
 
-def _post(model, width: int, length: float):
+def _post(model, width: int, length: float, plan=None):
+    """Vectors -> their postings; with a plan of shards those of each, else the lists alone."""
     def run(batches):
         c, _ = received(model)
         for batch in batches:
@@ -104,23 +136,43 @@ def _post(model, width: int, length: float):
             near = np.argsort(d, axis=1, kind="stable")[:, :COPIES]
             dist = np.take_along_axis(d, near, 1)
             row, col = np.nonzero((dist <= BOUNDARY * dist[:, :1]) | (np.arange(near.shape[1]) == 0))
-            yield pa.RecordBatch.from_arrays([pa.array(near[row, col].astype(np.int32)), batch.column("vec_id").take(pa.array(row)),
-                                              batch.column("v").take(pa.array(row))], names=["list", "vec_id", "v"])
+            lists = near[row, col]
+            if plan is None:
+                found, times = np.unique(lists, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(times.astype(np.int64))],
+                                                 names=["list", "n"])
+                continue
+            first, parts = plan
+            part = mix64(np.asarray(batch.column("vec_id")).view(np.uint64))[row] % parts[lists].astype(np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array((first[lists] + part.astype(np.int64)).astype(np.int32)), pa.array(lists.astype(np.int32)),
+                 batch.column("vec_id").take(pa.array(row)), batch.column("v").take(pa.array(row))],
+                names=["shard", "list", "vec_id", "v"])
     return run
 
 
-def _route(model, width: int, length: float):
+def _route(model, width: int, length: float, plan):
+    """Queries -> one row for each shard that holds some of their lists."""
     def run(batches):
         c, graph = received(model)
+        first, parts = plan
         for batch in batches:
             x = matrix(batch.column("v"), width)
             x = np.concatenate([x / np.maximum(np.linalg.norm(x, axis=1), 1e-300)[:, None] * length, np.zeros((len(x), 1))], 1)
-            lists = []
-            for q in x:
+            row, shard, lists = [], [], []
+            for i, q in enumerate(x):
                 near, d = graph.search(q, min(BEAM, len(c)))
-                lists.append(near[(d <= PRUNE * d[0]) | (np.arange(len(d)) == 0)].astype(np.int32))
-            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("v"), pa.array(lists, pa.list_(pa.int32()))],
-                                             names=["query_id", "q", "lists"])
+                near = near[(d <= PRUNE * d[0]) | (np.arange(len(d)) == 0)]
+                of = np.repeat(near, parts[near])
+                at = np.concatenate([np.arange(f, f + n) for f, n in zip(first[near], parts[near])])
+                for s in np.unique(at):
+                    row.append(i)
+                    shard.append(s)
+                    lists.append(of[at == s].astype(np.int32))
+            row = pa.array(row, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(shard, pa.int32()), batch.column("vec_id").take(row), batch.column("v").take(row),
+                 pa.array(lists, pa.list_(pa.int32()))], names=["shard", "query_id", "q", "lists"])
     return run
 
 
@@ -177,19 +229,21 @@ def nearest_vectors(table: DataFrame, k: int = 20, every: int = 20, id_col: str
     rows = valid_vectors(table, id_col, vector_col).withColumn(
         "norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).filter("norm > 0")
     rows = written(rows, "ann-rows")
-    size = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("w"), F.max("norm").alias("length")).first()
+    size = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("w"), F.max("norm").alias("length"),
+                    F.count_if(F.col("vec_id") % every == 0).alias("q")).first()
     n, width, length = size["n"], size["w"] or 1, size["length"] or 1.0
     sample = rows.select("v").orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toArrow()     # SAMPLE rows at most
     x = _lifted(matrix(sample.column("v"), width), length)
     centroids = balanced_centroids(x, max(1, min(MAX_LISTS, n // LIST, len(x) // 8))) if n else np.zeros((1, width + 1))
     model = shared(spark, (centroids, Graph(centroids)))
-    shards = max(1, -(-n // SHARD))
-    posted = rows.mapInArrow(_post(model, width, length), "list int, vec_id long, v array<double>")
-    posted = posted.withColumn("shard", F.pmod(F.xxhash64("list", F.pmod(F.xxhash64("vec_id"), F.lit(shards))),
-                                               F.lit(shards)).cast("int"))
-    asked = rows.filter(F.col("vec_id") % every == 0).repartition("vec_id").mapInArrow(
-        _route(model, width, length), "query_id long, q array<double>, lists array<int>")
-    asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    sizes = np.zeros(len(centroids), np.int64)                       # a row for each list, MAX_LISTS at most
+    for r in rows.mapInArrow(_post(model, width, length), "list int, n long").groupBy("list").agg(F.sum("n")).collect():
+        sizes[r[0]] = r[1]
+    plan = shard_plan(list_order(centroids), sizes)
+    posted = rows.mapInArrow(_post(model, width, length, plan), "shard int, list int, vec_id long, v array<double>")
+    tasks = max(1, min(buckets(spark), -(-size["q"] // ROUTED)))
+    asked = rows.filter(F.col("vec_id") % every == 0).repartition(tasks, "vec_id").mapInArrow(
+        _route(model, width, length, plan), "shard int, query_id long, q array<double>, lists array<int>")
     found = posted.groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(
         _search(width, k), "query_id long, vec_id long, score double")
     best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
