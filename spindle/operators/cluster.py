@@ -31,7 +31,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spindle.operators.common import materialized
+from spindle.operators.common import ensure_parallelism, materialized
 
 #: Rounds of oversampling and, times k, the points expected from each (MLlib's values).
 ROUNDS, OVERSAMPLING = 2, 2
@@ -42,10 +42,22 @@ def point_text(features: list[str]) -> Column:
     return F.concat_ws("|", *[(F.col(c) + F.lit(0.0)).cast("string") for c in features])
 
 
+def _digits(text: Column, turn: int | Column) -> Column:
+    """The first 52 bits of an md5 as 13 hexadecimal digits."""
+    turn = turn.cast("string") if isinstance(turn, Column) else F.lit(str(turn))
+    return F.substring(F.md5(F.concat(turn, F.lit(":"), text)), 1, 13)
+
+
 def _draw(text: Column, turn: int) -> Column:
     """A number in [0, 1) from the first 52 bits of an md5."""
-    digits = F.substring(F.md5(F.concat(F.lit(f"{turn}:"), text)), 1, 13)
-    return F.conv(digits, 16, 10).cast("double") / F.lit(float(1 << 52))
+    return F.conv(_digits(text, turn), 16, 10).cast("double") / F.lit(float(1 << 52))
+
+
+def _digits_below(chance: Column) -> Column:
+    """The digits that those of every smaller draw sort before: ``_draw`` is
+    below ``chance`` where ``_digits`` are below these."""
+    whole = F.ceil(F.least(chance, F.lit(1.0)) * F.lit(float(1 << 52)))
+    return F.when(chance >= 1, F.lit("g")).otherwise(F.lower(F.lpad(F.hex(whole), 13, "0")))
 
 
 def _squared(a: list[Column], b: list[Column]) -> Column:
@@ -74,19 +86,71 @@ def start_candidates(points: DataFrame, group_col: str, features: list[str], k:
     only while a group with more distinct points has less than k candidates."""
     point = F.struct(F.md5(point_text(features)).alias("_h"), *features)
     found = materialized(points.groupBy(group_col).agg(F.min(point).alias("_p")).select(group_col, "_p.*"), "kmeans-first")
-    turn = 0
-    while True:
-        turn += 1
+    for turn in range(1, rounds + 1):
         near = points.join(_by_group(found, group_col), group_col).withColumn("_d", _distance(features))
         spread = materialized(near.groupBy(group_col).agg(F.sum("_d").alias("_phi")), "kmeans-spread")
-        if turn > rounds:
-            few = found.groupBy(group_col).count().join(spread, group_col).filter((F.col("count") < k) & (F.col("_phi") > 0))
-            if few.isEmpty():
-                return found
         chance = F.lit(float(oversampling * k)) * F.col("_d") / F.col("_phi")
         drawn = (near.join(spread, group_col).filter((F.col("_d") > 0) & (_draw(point_text(features), turn) < chance))
                  .groupBy(group_col, F.md5(point_text(features)).alias("_h")).agg(F.min(F.struct(*features)).alias("_p")))
         found = materialized(found.unionByName(drawn.select(group_col, "_h", "_p.*")), "kmeans-candidates")
+    few = _by_group(found, group_col).filter(F.size("_candidates") < k)
+    if few.isEmpty() or points.join(few, group_col).filter(_distance(features) > 0).isEmpty():
+        return found
+    return _later_candidates(points, found, group_col, features, k, rounds, oversampling)
+
+
+def _later_candidates(points: DataFrame, found: DataFrame, group_col: str, features: list[str], k: int,
+                      rounds: int, oversampling: int) -> DataFrame:
+    """``found`` with the candidates of the rounds beyond ``rounds``.
+
+    Equal points draw alike, so where a point has m copies on average a round
+    draws m times fewer points than it should, and m times more are needed.
+    Here they read distinct points with their counts, and one pass tries m / 4
+    rounds: up to a group's first round with a draw nothing changes in the
+    group.  A group goes on by itself until it has k candidates; the others
+    follow up to the same round, as rounds are shared.  After 4 m of a group's
+    rounds (4 draws for every row of it) its points are drawn by
+    their copies, which finds one in a round or two."""
+    each = ensure_parallelism(materialized(points.groupBy(group_col, *features).agg(F.count(F.lit(1)).alias("_n")),
+                                           "kmeans-distinct"))
+    copies, at = F.sum("_n") / F.count(F.lit(1)), F.col("_at")
+    state = materialized(
+        each.groupBy(group_col).agg(F.ceil(copies / 4).alias("_step"), F.ceil(copies * 4).alias("_most"))
+        .join(_by_group(found, group_col), group_col)
+        .select(group_col, "_step", (F.col("_most") + rounds).alias("_most"), F.lit(rounds).cast("long").alias("_at"),
+                F.lit(float("inf")).alias("_phi"), "_candidates"), "kmeans-rounds")
+
+    def after(state: DataFrame, which: Column, until: Column, by_copies: bool = False) -> DataFrame:
+        """The groups of ``which`` after their next round with a draw, or after a step without one."""
+        going = state.filter(which).select(group_col, "_candidates", (at + 1).alias("_from"),
+                                           F.least(at + F.col("_step"), until).alias("_to"))
+        near = each.join(going, group_col).withColumn("_d", _distance(features)).filter(F.col("_d") > 0)
+        spread = near.groupBy(group_col).agg(F.sum(F.col("_n") * F.col("_d")).alias("_spread"))
+        chance = F.lit(float(oversampling * k)) * F.col("_d") * (F.col("_n") if by_copies else 1) / F.col("_spread")
+        text, below = F.col("_text"), F.col("_below")
+        turn = F.get(F.filter(F.sequence("_from", "_to"), lambda t: _digits(text, t) < below), F.lit(0))
+        drawn = (near.join(spread, group_col).withColumn("_text", point_text(features)).withColumn("_below", _digits_below(chance))
+                 .select(group_col, turn.alias("_turn"), F.md5("_text").alias("_h"), *features).filter(F.col("_turn").isNotNull())
+                 .groupBy(group_col).agg(F.min("_turn").alias("_turn"), F.collect_list(F.struct("_turn", "_h", *features)).alias("_drawn")))
+        new = F.transform(F.filter("_drawn", lambda c: c["_turn"] == F.col("_turn")),
+                          lambda c: F.struct(*[c[x].alias(x) for x in ("_h", *features)]))
+        done = going.select(group_col, "_to").join(spread, group_col, "left").join(drawn, group_col, "left")
+        left = F.when(F.col("_to").isNull(), F.col("_phi")).otherwise(F.coalesce("_spread", F.lit(0.0)))
+        return materialized(state.join(done, group_col, "left").select(
+            group_col, "_step", "_most",
+            F.when(left > 0, F.coalesce("_turn", "_to", at)).otherwise(at).alias("_at"), left.alias("_phi"),
+            F.when(F.col("_turn").isNull(), F.col("_candidates")).otherwise(F.array_sort(F.concat("_candidates", new)))
+            .alias("_candidates")), "kmeans-rounds")
+
+    short = (F.size("_candidates") < k) & (F.col("_phi") > 0)
+    while not state.filter(short & (at < F.col("_most"))).isEmpty():
+        state = after(state, short & (at < F.col("_most")), F.col("_most"))
+    last = F.least(F.lit(state.agg(F.max("_at")).first()[0]), F.col("_most"))
+    while not state.filter((at < last) & (F.col("_phi") > 0)).isEmpty():
+        state = after(state, (at < last) & (F.col("_phi") > 0), last)
+    while not state.filter(short).isEmpty():
+        state = after(state, short, at + 1, by_copies=True)
+    return state.select(group_col, F.explode("_candidates").alias("_p")).select(group_col, "_p.*")
 
 
 def initial_centers(points: DataFrame, group_col: str, features: list[str], k: int,

@@ -198,3 +198,55 @@ def test_workloads_leave_nothing_cached(spark):
     for name in ("income_model", "risk_model", "auc_roc", "kmeans_assign", "lr_l2_certificate"):
         registry()[name][0](spark, SMALL).count()
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+
+
+def _plain_rounds(rows, k, rounds):
+    """Candidates of every group by one round after another over all rows, in plain Python."""
+    import hashlib
+    from collections import Counter
+    md5 = lambda s: hashlib.md5(s.encode()).hexdigest()
+    groups = {g: Counter(r[1:] for r in rows if r[0] == g) for g in {r[0] for r in rows}}
+    text = {p: "|".join(str(x) for x in p) for each in groups.values() for p in each}
+    near = lambda p, found: min(sum((a - b) ** 2 for a, b in zip(p, c)) for c in found)
+    found = {g: {min(each, key=lambda p: md5(text[p]))} for g, each in groups.items()}
+    turn = 0
+    while True:
+        turn += 1
+        d = {g: {p: near(p, found[g]) for p in each} for g, each in groups.items()}
+        phi = {g: sum(n * d[g][p] for p, n in each.items()) for g, each in groups.items()}
+        if turn > rounds and not any(len(found[g]) < k and phi[g] > 0 for g in groups):
+            return {(g, *p) for g in groups for p in found[g]}, turn - 1
+        for g, each in groups.items():
+            found[g] |= {p for p in each if d[g][p] > 0
+                         and int(md5(f"{turn}:{text[p]}")[:13], 16) / 2 ** 52 < 2 * k * d[g][p] / phi[g]}
+
+
+def test_later_rounds_of_copied_points_equal_plain_rounds_in_few_passes(spark, monkeypatch):
+    # every point comes 400 times: a round draws 0.02 points a group, so that 4 candidates take hundreds of rounds
+    rows = [(g, float(i % 7), float(i % 5) + off) for g, off in (("a", 0.0), ("b", 50.0)) for i in range(35)] * 400
+    rows += [("c", 1.0, 1.0)] * 3                    # fewer distinct points than k
+    want, turns = _plain_rounds(rows, 4, 2)
+    assert turns > 100
+    names = []
+    written = cluster.materialized
+    monkeypatch.setattr(cluster, "materialized", lambda df, name="table": names.append(name) or written(df, name))
+    points = spark.createDataFrame(rows, "g string, x double, y double").repartition(4)
+    found = cluster.start_candidates(points, "g", ["x", "y"], 4)
+    got = [tuple(r) for r in found.select("g", "x", "y").collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert len(names) < 60
+
+
+def test_later_rounds_end_where_copies_hide_the_rest(spark):
+    # copies of one far point hold nearly all of the spread: unlike points are drawn by their copies in the end
+    rows = [("g", 0.0, float(i)) for i in range(30)] + [("g", 1e6, 0.0)] * 3000
+    points = spark.createDataFrame(rows, "g string, x double, y double").repartition(4)
+    assert cluster.start_candidates(points, "g", ["x", "y"], 4).count() >= 4
+
+
+def test_digits_below_agree_with_the_draw(spark):
+    df = spark.range(3000).select(F.col("id").cast("string").alias("t"), (F.rand(3) * 1.1).alias("c"))
+    draw = cluster._draw(F.col("t"), 7)
+    df = df.unionByName(df.select("t", draw.alias("c"))).unionByName(df.select("t", (draw + F.lit(2.0 ** -53)).alias("c")))
+    at = F.lit(7)
+    assert df.filter((draw < F.col("c")) != (cluster._digits(F.col("t"), at) < cluster._digits_below(F.col("c")))).isEmpty()
