@@ -250,3 +250,16 @@ def test_digits_below_agree_with_the_draw(spark):
     df = df.unionByName(df.select("t", draw.alias("c"))).unionByName(df.select("t", (draw + F.lit(2.0 ** -53)).alias("c")))
     at = F.lit(7)
     assert df.filter((draw < F.col("c")) != (cluster._digits(F.col("t"), at) < cluster._digits_below(F.col("c")))).isEmpty()
+
+
+def test_kmeans_per_group_of_copied_lineitems_starts_in_few_passes(spark, tmp_path, monkeypatch):
+    from spindle.queries import clustering
+    rows = [(g, float(q), d / 100, 0.02 * (q % 3)) for g in "ANR" for q in range(1, 13) for d in range(3)]
+    df = spark.createDataFrame(rows, "l_returnflag string, l_quantity double, l_discount double, l_tax double")
+    df.crossJoin(spark.range(500)).drop("id").write.parquet(f"{tmp_path}/lineitem.parquet")
+    names = []
+    written = cluster.materialized
+    monkeypatch.setattr(cluster, "materialized", lambda df, name="table": names.append(name) or written(df, name))
+    got = clustering.q_kmeans_per_group(spark, str(tmp_path), max_iter=2).groupBy("l_returnflag").count().collect()
+    assert {r.l_returnflag: r["count"] for r in got} == {"A": 4, "N": 4, "R": 4}
+    assert len([n for n in names if n != "kmeans-step"]) < 60
