@@ -4,13 +4,17 @@ and MLlib's global k-means (K1, K2).
 Per-group k-means fits one independent model per group value, all groups at
 once, with the same jobs for one group or a million:
 
+* **Distinct points.**  The input is read once, into the distinct points of
+  every group with their counts (one aggregate, partial on the map side).
+  Rounds, weights and steps read only these, weighted; a point without
+  copies is shuffled once.
 * **Start (k-means‖).**  A first centre per group, then rounds of
   oversampling: a point is drawn with probability ``oversampling · k · d² /
   φ``, where ``d²`` is its squared distance to the group's candidates and
   ``φ`` the group's sum of them.  Candidates are weighted with the points
   they are nearest to and reduced, inside one row per group, to ``k`` by the
   greedy rule "largest weight times squared distance".  A round is two
-  partial aggregates over the points; only drawn points are shuffled.
+  partial aggregates over the distinct points; only drawn ones are shuffled.
 * **Draws without a seed.**  A point's draw is an md5 of its coordinates'
   full text and the round, so the fit is the same under any partitioning and
   in any engine.  Equal points draw alike.
@@ -79,78 +83,84 @@ def _distance(features: list[str]) -> Column:
     return F.array_min(F.transform("_candidates", lambda c: _squared(point, [c[f] for f in features])))
 
 
+def distinct_points(points: DataFrame, group_col: str, features: list[str]) -> DataFrame:
+    """The distinct points of every group with their number of rows ``_n``,
+    written once: whatever follows reads these, however many copies come in."""
+    return ensure_parallelism(materialized(points.groupBy(group_col, *features).agg(F.count(F.lit(1)).alias("_n")),
+                                           "kmeans-distinct"))
+
+
 def start_candidates(points: DataFrame, group_col: str, features: list[str], k: int,
                      rounds: int = ROUNDS, oversampling: int = OVERSAMPLING) -> DataFrame:
     """``(group, _h, <features>)``: the first centre of every group (smallest
     md5) and the points drawn in each round.  Rounds go on beyond ``rounds``
     only while a group with more distinct points has less than k candidates."""
-    point = F.struct(F.md5(point_text(features)).alias("_h"), *features)
-    found = materialized(points.groupBy(group_col).agg(F.min(point).alias("_p")).select(group_col, "_p.*"), "kmeans-first")
-    for turn in range(1, rounds + 1):
-        near = points.join(_by_group(found, group_col), group_col).withColumn("_d", _distance(features))
-        spread = materialized(near.groupBy(group_col).agg(F.sum("_d").alias("_phi")), "kmeans-spread")
-        chance = F.lit(float(oversampling * k)) * F.col("_d") / F.col("_phi")
-        drawn = (near.join(spread, group_col).filter((F.col("_d") > 0) & (_draw(point_text(features), turn) < chance))
-                 .groupBy(group_col, F.md5(point_text(features)).alias("_h")).agg(F.min(F.struct(*features)).alias("_p")))
-        found = materialized(found.unionByName(drawn.select(group_col, "_h", "_p.*")), "kmeans-candidates")
-    few = _by_group(found, group_col).filter(F.size("_candidates") < k)
-    if few.isEmpty() or points.join(few, group_col).filter(_distance(features) > 0).isEmpty():
-        return found
-    return _later_candidates(points, found, group_col, features, k, rounds, oversampling)
-
-
-def _later_candidates(points: DataFrame, found: DataFrame, group_col: str, features: list[str], k: int,
-                      rounds: int, oversampling: int) -> DataFrame:
-    """``found`` with the candidates of the rounds beyond ``rounds``.
+    found = _candidates(distinct_points(points, group_col, features), group_col, features, k, rounds, oversampling)
+    return found.select(group_col, F.explode("_candidates").alias("_p")).select(group_col, "_p.*")
+
+
+def _candidates(each: DataFrame, group_col: str, features: list[str], k: int, rounds: int, oversampling: int) -> DataFrame:
+    """``(group, _candidates)`` from the distinct points with their counts.
 
     Equal points draw alike, so where a point has m copies on average a round
     draws m times fewer points than it should, and m times more are needed.
-    Here they read distinct points with their counts, and one pass tries m / 4
+    Beyond ``rounds`` one pass therefore tries m / 4
     rounds: up to a group's first round with a draw nothing changes in the
     group.  A group goes on by itself until it has k candidates; the others
     follow up to the same round, as rounds are shared.  After 4 m of a group's
     rounds (4 draws for every row of it) its points are drawn by
     their copies, which finds one in a round or two."""
-    each = ensure_parallelism(materialized(points.groupBy(group_col, *features).agg(F.count(F.lit(1)).alias("_n")),
-                                           "kmeans-distinct"))
-    copies, at = F.sum("_n") / F.count(F.lit(1)), F.col("_at")
+    copies, at, phi = F.sum("_n") / F.count(F.lit(1)), F.col("_at"), F.col("_phi")
+    point = F.struct(F.md5(point_text(features)).alias("_h"), *features)
     state = materialized(
-        each.groupBy(group_col).agg(F.ceil(copies / 4).alias("_step"), F.ceil(copies * 4).alias("_most"))
-        .join(_by_group(found, group_col), group_col)
-        .select(group_col, "_step", (F.col("_most") + rounds).alias("_most"), F.lit(rounds).cast("long").alias("_at"),
-                F.lit(float("inf")).alias("_phi"), "_candidates"), "kmeans-rounds")
+        each.groupBy(group_col).agg(F.array(F.min(point)).alias("_candidates"), F.ceil(copies / 4).alias("_step"),
+                                    (F.ceil(copies * 4) + rounds).alias("_most"))
+        .select(group_col, "_step", "_most", F.lit(0).cast("long").alias("_at"), F.lit(float("inf")).alias("_phi"),
+                "_candidates"), "kmeans-first")
+
+    # columns of a round, for all rounds: built once, as each costs calls to the JVM
+    distance, spread_of = _distance(features), F.sum(F.col("_n") * F.col("_d")).alias("_spread")
+    chance = F.lit(float(oversampling * k)) * F.col("_d") / F.col("_spread")
+    text_md5 = F.md5(point_text(features))
+
+    def turn_of(chance: Column) -> Column:
+        """The first of a row's rounds that draws it; text and bound are bound once a row, not once a round."""
+        bound = F.struct(point_text(features).alias("text"), _digits_below(chance).alias("below"))
+        return F.get(F.flatten(F.transform(F.array(bound), lambda b: F.filter(
+            F.sequence("_from", "_to"), lambda t: _digits(b["text"], t) < b["below"]))), F.lit(0))
+    turn = {False: turn_of(chance), True: turn_of(chance * F.col("_n"))}
+    drawn_of = [F.min("_turn").alias("_turn"), F.collect_list(F.struct("_turn", text_md5.alias("_h"), *features)).alias("_drawn")]
+    new = F.transform(F.filter("_drawn", lambda c: c["_turn"] == F.col("_turn")),
+                      lambda c: F.struct(*[c[x].alias(x) for x in ("_h", *features)]))
+    left = F.when(F.col("_to").isNull(), phi).otherwise(F.coalesce("_spread", F.lit(0.0)))
+    after_round = [
+        F.when(left > 0, F.coalesce("_turn", "_to", at)).otherwise(at).alias("_at"), left.alias("_phi"),
+        F.when(F.col("_turn").isNull(), F.col("_candidates")).otherwise(F.array_sort(F.concat("_candidates", new)))
+        .alias("_candidates")]
 
     def after(state: DataFrame, which: Column, until: Column, by_copies: bool = False) -> DataFrame:
         """The groups of ``which`` after their next round with a draw, or after a step without one."""
-        going = state.filter(which).select(group_col, "_candidates", (at + 1).alias("_from"),
-                                           F.least(at + F.col("_step"), until).alias("_to"))
-        near = each.join(going, group_col).withColumn("_d", _distance(features)).filter(F.col("_d") > 0)
-        spread = near.groupBy(group_col).agg(F.sum(F.col("_n") * F.col("_d")).alias("_spread"))
-        chance = F.lit(float(oversampling * k)) * F.col("_d") * (F.col("_n") if by_copies else 1) / F.col("_spread")
-        text, below = F.col("_text"), F.col("_below")
-        turn = F.get(F.filter(F.sequence("_from", "_to"), lambda t: _digits(text, t) < below), F.lit(0))
-        drawn = (near.join(spread, group_col).withColumn("_text", point_text(features)).withColumn("_below", _digits_below(chance))
-                 .select(group_col, turn.alias("_turn"), F.md5("_text").alias("_h"), *features).filter(F.col("_turn").isNotNull())
-                 .groupBy(group_col).agg(F.min("_turn").alias("_turn"), F.collect_list(F.struct("_turn", "_h", *features)).alias("_drawn")))
-        new = F.transform(F.filter("_drawn", lambda c: c["_turn"] == F.col("_turn")),
-                          lambda c: F.struct(*[c[x].alias(x) for x in ("_h", *features)]))
-        done = going.select(group_col, "_to").join(spread, group_col, "left").join(drawn, group_col, "left")
-        left = F.when(F.col("_to").isNull(), F.col("_phi")).otherwise(F.coalesce("_spread", F.lit(0.0)))
-        return materialized(state.join(done, group_col, "left").select(
-            group_col, "_step", "_most",
-            F.when(left > 0, F.coalesce("_turn", "_to", at)).otherwise(at).alias("_at"), left.alias("_phi"),
-            F.when(F.col("_turn").isNull(), F.col("_candidates")).otherwise(F.array_sort(F.concat("_candidates", new)))
-            .alias("_candidates")), "kmeans-rounds")
-
-    short = (F.size("_candidates") < k) & (F.col("_phi") > 0)
+        state = state.withColumn("_from", at + 1).withColumn("_to", F.when(which, F.least(at + F.col("_step"), until)))
+        spread = (each.join(state.filter(F.col("_to").isNotNull()).select(group_col, "_candidates"), group_col)
+                  .withColumn("_d", distance).filter(F.col("_d") > 0).groupBy(group_col).agg(spread_of))
+        # written, so that the points are not shuffled by group to meet it
+        state = materialized(state.join(spread, group_col, "left"), "kmeans-spread")
+        going = state.filter(F.col("_spread").isNotNull()).select(group_col, "_candidates", "_from", "_to", "_spread")
+        drawn = (each.join(going, group_col).withColumn("_d", distance).filter(F.col("_d") > 0)
+                 .withColumn("_turn", turn[by_copies]).filter(F.col("_turn").isNotNull()).groupBy(group_col).agg(*drawn_of))
+        return materialized(state.join(drawn, group_col, "left").select(group_col, "_step", "_most", *after_round), "kmeans-rounds")
+
+    for r in range(1, rounds + 1):
+        state = after(state, phi > 0, F.lit(r))
+    short = (F.size("_candidates") < k) & (phi > 0)
     while not state.filter(short & (at < F.col("_most"))).isEmpty():
         state = after(state, short & (at < F.col("_most")), F.col("_most"))
     last = F.least(F.lit(state.agg(F.max("_at")).first()[0]), F.col("_most"))
-    while not state.filter((at < last) & (F.col("_phi") > 0)).isEmpty():
-        state = after(state, (at < last) & (F.col("_phi") > 0), last)
+    while not state.filter((at < last) & (phi > 0)).isEmpty():
+        state = after(state, (at < last) & (phi > 0), last)
     while not state.filter(short).isEmpty():
         state = after(state, short, at + 1, by_copies=True)
-    return state.select(group_col, F.explode("_candidates").alias("_p")).select(group_col, "_p.*")
+    return state.select(group_col, "_candidates")
 
 
 def initial_centers(points: DataFrame, group_col: str, features: list[str], k: int,
@@ -159,14 +169,18 @@ def initial_centers(points: DataFrame, group_col: str, features: list[str], k: i
     candidates weighted by the points nearest to them (ties to the smaller
     md5), then k of them greedily: the heaviest, then whichever has the
     largest weight times squared distance to those chosen."""
-    found = start_candidates(points, group_col, features, k, rounds, oversampling)
+    return _centers(distinct_points(points, group_col, features), group_col, features, k, rounds, oversampling)
+
+
+def _centers(each: DataFrame, group_col: str, features: list[str], k: int, rounds: int, oversampling: int) -> DataFrame:
+    """``initial_centers`` from the distinct points with their counts."""
+    found = _candidates(each, group_col, features, k, rounds, oversampling)
     point = [F.col(c) for c in features]
     nearest = F.array_min(F.transform("_candidates", lambda c: F.struct(
-        _squared(point, [c[f] for f in features]).alias("d"), c["_h"].alias("_h"))))["_h"]
-    weights = (points.join(_by_group(found, group_col), group_col).groupBy(group_col, nearest.alias("_h"))
-               .agg(F.count(F.lit(1)).alias("_w")))
-    weighted = found.join(weights, [group_col, "_h"]).select(group_col, "_h", "_w", *features)
-    grouped = _by_group(weighted, group_col)
+        _squared(point, [c[f] for f in features]).alias("d"), c["_h"].alias("_h"), *[c[f].alias(f) for f in features])))
+    weighted = (each.join(found, group_col).select(group_col, "_n", nearest.alias("_c"))
+                .groupBy(group_col, *[F.col("_c")[x].alias(x) for x in ("_h", *features)]).agg(F.sum("_n").alias("_w")))
+    grouped = _by_group(weighted.select(group_col, "_h", "_w", *features), group_col)
 
     def heaviest(score) -> Column:
         """The candidate of the largest score, ties to the first."""
@@ -232,26 +246,29 @@ def fit_grouped_kmeans(df: DataFrame, group_col: str, features: list[str], k: in
     points than k gets a centre for each.
     """
     points = df.select(group_col, *[F.col(c).cast("double").alias(c) for c in features]).na.drop()
+    each = distinct_points(points, group_col, features)
     if persist:
-        points = points.persist(StorageLevel.MEMORY_AND_DISK)
-    start = initial_centers(points, group_col, features, k, rounds, oversampling)
+        each = each.persist(StorageLevel.MEMORY_AND_DISK)
+    start = _centers(each, group_col, features, k, rounds, oversampling)
     wide = materialized(start.select(group_col, *[F.get("_centers", F.lit(j))[c].alias(f"_c{j}_{i}")
                                                   for j in range(k) for i, c in enumerate(features)]), "kmeans-start")
     names, it = _center_columns(features, k), 0
+    # columns of a step, for all steps
+    nearest, mine, n = _nearest(features, k), [F.col("_k") == j for j in range(k)], F.col("_n")
+    rows = [F.sum(F.when(x, n)) for x in mine]
+    means = [F.sum(F.when(mine[j], n * F.col(c))) / rows[j] for j in range(k) for c in features]
+    means = [(x if digits is None else F.round(x, digits)).alias(f"_new{name}") for name, x in zip(names, means)]
+    moved = [F.coalesce(f"_new{name}", name) for name in names]
+    shift = F.greatest(F.lit(0.0), *[F.abs(m - F.col(name)) for m, name in zip(moved, names)]).alias("_shift")
+    moved = [m.alias(name) for m, name in zip(moved, names)]
     for it in range(1, max_iter + 1):
-        assigned = points.join(wide, group_col).withColumn("_k", _nearest(features, k))
-        means = assigned.groupBy(group_col).agg(*[
-            (F.avg(x) if digits is None else F.round(F.avg(x), digits)).alias(f"_new{n}")
-            for n, x in zip(names, (F.when(F.col("_k") == j, F.col(c)) for j in range(k) for c in features))])
-        moved = [F.coalesce(f"_new{n}", n) for n in names]
-        shift = F.greatest(F.lit(0.0), *[F.abs(m - F.col(n)) for m, n in zip(moved, names)])
-        step = materialized(wide.join(means, group_col).select(group_col, *[m.alias(n) for m, n in zip(moved, names)],
-                                                               shift.alias("_shift")), "kmeans-step")
+        new = each.join(wide, group_col).withColumn("_k", nearest).groupBy(group_col).agg(*means)
+        step = materialized(wide.join(new, group_col).select(group_col, *moved, shift), "kmeans-step")
         wide = step.drop("_shift")
-        if (step.agg(F.max("_shift")).first()[0] or 0.0) <= tol:
+        if step.filter(F.col("_shift") > tol).isEmpty():
             break
     if persist:
-        points.unpersist()
+        each.unpersist()
     return GroupedKMeansModel(wide, group_col, features, k, it)
 
 

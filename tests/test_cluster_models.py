@@ -263,3 +263,24 @@ def test_kmeans_per_group_of_copied_lineitems_starts_in_few_passes(spark, tmp_pa
     got = clustering.q_kmeans_per_group(spark, str(tmp_path), max_iter=2).groupBy("l_returnflag").count().collect()
     assert {r.l_returnflag: r["count"] for r in got} == {"A": 4, "N": 4, "R": 4}
     assert len([n for n in names if n != "kmeans-step"]) < 60
+
+
+def test_grouped_kmeans_keeps_distinct_points_and_equals_plain_steps(spark, monkeypatch):
+    # unlike numbers of copies: rounds and steps read each point once, weighted with its rows
+    points = [(g, float(x), float((x * x) % 7) + off) for g, off in (("a", 0.0), ("b", 30.0)) for x in range(25)]
+    rows = [p for i, p in enumerate(points) for _ in range(1 + 40 * (i % 3))] + [("a", None, 1.0), (None, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "g string, x double, y double").repartition(4)
+    start = {r.g: [tuple(c) for c in r._centers]
+             for r in cluster.initial_centers(df.na.drop(), "g", ["x", "y"], 4).collect()}
+    kept, persist = [], type(df).persist
+    monkeypatch.setattr(type(df), "persist", lambda self, *a: kept.append(self.count()) or persist(self, *a))
+    model = cluster.fit_grouped_kmeans(df, "g", ["x", "y"], k=4, max_iter=5)
+    assert kept == [len(points)]
+    for g, centers in start.items():
+        mine = [p[1:] for p in rows if p[0] == g and None not in p]
+        for _ in range(5):
+            nearest = [min(range(len(centers)), key=lambda j: (sum((a - b) ** 2 for a, b in zip(p, centers[j])), j)) for p in mine]
+            of = [[p for p, n in zip(mine, nearest) if n == j] for j in range(len(centers))]
+            centers = [tuple(sum(x) / len(x) for x in zip(*ps)) if ps else c for ps, c in zip(of, centers)]
+        got = [(r.x, r.y) for r in model.centers.filter(F.col("g") == g).orderBy("cluster").collect()]
+        assert len(got) == len(centers) and all(a == pytest.approx(b, abs=1e-9) for a, b in zip(got, centers))
