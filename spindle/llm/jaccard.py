@@ -13,8 +13,12 @@ Distance is 1 - |x & y| / |x | y|, a metric; documents link within
 2.  *Outer regions.*  Sets of one n-gram are the first pivots.  The cell of
     pivot {g} holds the documents for which g is among the n-grams that can
     be the first shared one; a document near several cells is replicated to
-    each.  A cell is merged into the region of its smallest document, and
-    that document's own cells with it, so that copies meet once or twice.
+    each.  Cells of the same documents are one.  Bitmaps of the sets bound
+    from above what two documents share; a cell falls apart into groups
+    between which no pair can link, so that documents with a common n-gram
+    by chance don't meet.  A group is merged into the region of its smallest
+    document, and that document's own groups with it, so that copies meet
+    once or twice.
 3.  *Inner regions.*  A region joins recursively: pivots are documents of the
     region, each document goes to its nearest pivot's cell, and to the cell
     of each pivot that is at most ``2 * eps`` farther (the triangle
@@ -28,6 +32,8 @@ of the space and are joined by a group-by.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -45,6 +51,12 @@ SLACK = 0.08
 FREQUENT_LEAST, FREQUENT_MOST = 8, 200_000
 #: Documents of a region that one task joins; larger regions are cut over several tasks.
 REGION_LIMIT = 4096
+#: Bits of a set's bitmap at most; a larger set is only held apart less well.
+MAP_BITS = 1 << 15
+#: Documents of a cell that one task compares by bitmaps, times the region limit; a larger cell stays whole.
+CELL_LIMIT = 4
+#: Rows of cells that one task gets, about.
+CELL_ROWS = 50_000
 #: Survivors up to this many ids (8 bytes each) are broadcast to the scan; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -263,6 +275,99 @@ def _prefix(threshold: float, frequent):
     return run, "gram long, rep long"
 
 
+def _bitmaps(batches):
+    """Sets -> their size and a bitmap, whose bit i tells that an n-gram falls on i."""
+    for batch in batches:
+        sizes, maps = [], []
+        for b in batch.column("grams").to_pylist():
+            g = _unpack(b)
+            width = min(max(64, 1 << (len(g) - 1).bit_length()), MAP_BITS)
+            bits = np.zeros(width, np.uint8)
+            bits[(g & np.uint64(width - 1)).astype(np.int64)] = 1
+            sizes.append(len(g))
+            maps.append(np.packbits(bits, bitorder="little").tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(sizes, pa.int64()), pa.array(maps, pa.binary())],
+                                         names=["rep", "n", "bits"])
+
+
+class _Bitmap:
+    """A set's bitmap as a whole number, folded to any smaller width."""
+
+    def __init__(self, n: int, bits: bytes):
+        self.n, self.width = n, 8 * len(bits)
+        bits = int.from_bytes(bits, "little")
+        self.folds = {self.width: (bits, bits.bit_count())}
+
+    def fold(self, width: int) -> tuple[int, int]:
+        if width not in self.folds:
+            bits, _ = self.fold(2 * width)
+            bits = (bits & ((1 << width) - 1)) | (bits >> width)
+            self.folds[width] = bits, bits.bit_count()
+        return self.folds[width]
+
+    def may_link(self, other: _Bitmap, threshold: float) -> bool:
+        """False only if no link is possible: every bit of one set alone
+        stands for an n-gram that the other set lacks."""
+        width = min(self.width, other.width)
+        (a, a_bits), (b, b_bits) = self.fold(width), other.fold(width)
+        same = (a & b).bit_count()
+        both = min(self.n - a_bits + same, other.n - b_bits + same)
+        return both >= threshold * (self.n + other.n - both) - 1e-9
+
+
+def _groups(maps: list[_Bitmap], threshold: float):
+    """Places in ``maps`` (ascending sizes) in groups between which no pair
+    can link; groups of one are left out."""
+    left, sizes = list(range(len(maps))), [m.n for m in maps]
+    while left:
+        group = todo = [left.pop(0)]
+        sizes.pop(0)
+        while todo and left:
+            p, todo = maps[todo[0]], todo[1:]
+            lo, hi = bisect_left(sizes, p.n * threshold - 1e-6), bisect_right(sizes, p.n / threshold + 1e-6)
+            near = {i for i in left[lo:hi] if p.may_link(maps[i], threshold)}
+            if near:
+                left = [i for i in left if i not in near]
+                sizes = [maps[i].n for i in left]
+                group, todo = [*group, *near], [*todo, *near]
+        if len(group) > 1:
+            yield group
+
+
+def _cut_cells(threshold: float):
+    """Cells of one key range -> the groups of each and their smallest document."""
+    def run(table: pa.Table) -> pa.Table:
+        gram, rep, n = (np.asarray(table.column(c)) for c in ("gram", "rep", "n"))
+        bits = table.column("bits").to_pylist()
+        order = np.lexsort((n, gram))
+        heads, reps = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for a, k in zip(*runs(gram[order])):
+            cell = order[a:a + k]
+            for group in _groups([_Bitmap(int(n[i]), bits[i]) for i in cell], threshold):
+                ids = rep[cell[group]]
+                heads.append(np.full(len(ids), ids.min()))
+                reps.append(ids)
+        return pa.table({"head": pa.array(np.concatenate(heads)), "rep": pa.array(np.concatenate(reps))})
+    return run, "head long, rep long"
+
+
+def _cell_groups(cells: DataFrame, points: DataFrame, threshold: float, limit: int) -> DataFrame:
+    """``(head, rep)``: documents of a cell that may link, under the smallest
+    of them.  Cells of more than ``limit`` documents stay whole."""
+    seen = (cells.groupBy("gram").agg(F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("rep")).alias("x"),
+                                      F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("y")).filter("c > 1"))
+    once = written(seen.groupBy("c", "x", "y").agg(F.min("gram").alias("gram")).select("gram", "c"), "jaccard-once")
+    maps = written(points.mapInArrow(_bitmaps, "rep long, n long, bits binary"), "jaccard-maps")
+    rows = once.filter(F.col("c") <= limit).agg(F.sum("c")).first()[0] or 0
+    part = F.pmod(F.xxhash64("gram"), F.lit(max(buckets(cells.sparkSession), -(-rows // CELL_ROWS))))
+    run, schema = _cut_cells(threshold)
+    groups = (cells.join(once.filter(F.col("c") <= limit).select("gram"), "gram").join(maps, "rep")
+              .groupBy(part.alias("part")).applyInArrow(run, schema))
+    large = once.filter(F.col("c") > limit).select("gram")
+    heads = cells.join(large, "gram").groupBy("gram").agg(F.min("rep").alias("head"))
+    return groups.unionByName(cells.join(heads, "gram").select("head", "rep")).distinct()
+
+
 class _Region:
     """Documents of a region as rows of n-gram numbers; distances by blocks."""
 
@@ -292,9 +397,10 @@ class _Region:
         """Sizes of the intersections of document ``p`` with ``others``."""
         mark = np.zeros(self.width, np.int64)
         mark[self.row(p)] = 1
-        pos = np.concatenate([np.arange(self.end[i] - self.size[i], self.end[i]) for i in others])
         n = self.size[others]
-        return np.add.reduceat(mark[self.inverse[pos]], np.cumsum(n) - n)
+        first = np.cumsum(n) - n
+        pos = np.repeat(self.end[others] - n - first, n) + np.arange(n.sum())
+        return np.add.reduceat(mark[self.inverse[pos]], first)
 
     def distance(self, p: int, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distances from ``p``, and whether each is a link (in whole numbers)."""
@@ -318,12 +424,15 @@ class _Region:
         todo = [members]
         while todo:
             rest = todo.pop()
-            while len(rest) > 1:
-                p, others = rest[0], rest[1:]
-                fits = ((self.size[others] >= _least(self.size[p:p + 1], self.threshold))
-                        & (self.size[p] >= _least(self.size[others], self.threshold)))
+            while len(rest) > 1 and len({self.root(i) for i in rest}) > 1:      # else all are joined
+                p, rest = rest[0], rest[1:]
+                # sizes alone hold the others farther than two eps away
+                least, most = np.minimum(self.size[rest], self.size[p]), np.maximum(self.size[rest], self.size[p])
+                close = 1 - least / most <= 2 * self.eps + 1e-9
+                others = rest[close]
+                if not len(others):
+                    continue
                 d, linked = self.distance(p, others)
-                linked &= fits
                 for x in others[linked]:
                     self.union(p, x)
                 # cell of p: linked documents.  Of the rest only those within two
@@ -334,19 +443,29 @@ class _Region:
                     near = ball[np.abs(db - dy) <= self.eps + 1e-9]
                     if self.root(y) != self.root(p) and self.touches(y, near):
                         self.union(p, y)
-                rest = others[~linked]
+                close[close] = linked
+                rest = rest[~close]
 
 
 def _join_region(threshold: float):
-    def run(table: pa.Table) -> pa.Table:
-        ids = np.asarray(table.column("rep"))
+    """One region, or all regions (by ``head``) of one key range."""
+    def join(ids: np.ndarray, blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         ids, first = np.unique(ids, return_index=True)
-        blobs = table.column("grams").to_pylist()
         region = _Region([_unpack(blobs[i]) for i in first], threshold)
         region.join(np.arange(len(ids)))
         top = np.array([region.root(i) for i in range(len(ids))])
         far = np.flatnonzero(top != np.arange(len(ids)))
-        return pa.table({"a": pa.array(ids[far]), "b": pa.array(ids[top[far]])})
+        return ids[far], ids[top[far]]
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        head, rep = np.asarray(table.column("head")), np.asarray(table.column("rep"))
+        order = np.argsort(head, kind="stable")
+        links = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for a, k in zip(*runs(head[order])):
+            rows = order[a:a + k]
+            links.append(join(rep[rows], table.column("grams").take(pa.array(rows)).to_pylist()))
+        return pa.table({c: pa.array(np.concatenate(x)) for c, x in zip("ab", zip(*links))})
     return run, "a long, b long"
 
 
@@ -377,8 +496,7 @@ def jaccard_components(docs: DataFrame, words: int = 4, threshold: float = 0.85,
     often = shared(points.sparkSession, frequent_grams(points, FREQUENT_LEAST, FREQUENT_MOST))
     run, schema = _prefix(threshold, often)
     cells = written(points.mapInArrow(run, schema).distinct(), "jaccard-cells")
-    heads = cells.groupBy("gram").agg(F.min("rep").alias("head"), F.count(F.lit(1)).alias("c")).filter("c > 1")
-    pairs = written(cells.join(heads, "gram").select("head", "rep").distinct(), "jaccard-pairs")
+    pairs = written(_cell_groups(cells, points, threshold, CELL_LIMIT * region_limit), "jaccard-groups")
     tops = (pairs.groupBy(F.col("rep").alias("a")).agg(F.min("head").alias("b"))
             .join(pairs.select(F.col("head").alias("a")).distinct(), "a", "left_semi").filter("a <> b"))
     tops = components(tops, "jaccard-heads").withColumnRenamed("id", "head")
@@ -402,7 +520,8 @@ def _region_links(regions: DataFrame, points: DataFrame, threshold: float, limit
     sizes = written(regions.groupBy("head").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > limit),
                     "jaccard-large")
     small = regions.join(sizes, "head", "left_anti")
-    links = small.join(points, "rep").groupBy("head").applyInArrow(run, schema)
+    part = F.pmod(F.xxhash64("head"), F.lit(max(buckets(points.sparkSession), -(-regions.count() // limit))))
+    links = small.join(points, "rep").groupBy(part.alias("part")).applyInArrow(run, schema)
     if not sizes.limit(1).count():
         return links
     # Regions over the limit: distances to the head by salted parts of the region,
