@@ -9,7 +9,7 @@ Distance is 1 - |x & y| / |x | y|, a metric; documents link within
     first in each (the prefix lemma).  Each part of the input sends the
     first n-grams of its documents to key ranges, which answer how many of
     them occur in another document; documents with too few leave.  A second
-    pass over the documents that are left uses whole sets.
+    pass uses whole sets, one document of each distinct set that is left.
 2.  *Outer regions.*  Sets of one n-gram are the first pivots.  The cell of
     pivot {g} holds the documents for which g is among the n-grams that can
     be the first shared one; a document near several cells is replicated to
@@ -59,6 +59,8 @@ CELL_LIMIT = 4
 CELL_ROWS = 50_000
 #: Survivors up to this many ids (8 bytes each) are broadcast to the scan; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
+#: The same for the sets that are left (40 bytes each).
+BROADCAST_SETS = 250_000
 
 
 def ngram_keys(column: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -201,22 +203,25 @@ def rows_without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(ids, "doc_id", "left_anti")
 
 
-def _sets(words: int):
+def _sets(words: int, whole: bool):
+    """Documents -> size and two fingerprints of their sets, and with ``whole`` the sets."""
     def run(batches):
         for batch in small_batches(batches):
             keys, n = ngram_keys(batch.column("text"), words)
             gram = keys & np.uint64((1 << GRAM_BITS) - 1)
-            end = np.cumsum(n)
-            rows = [r for r in range(len(n)) if n[r]]
-            cut = [gram[end[r] - n[r]:end[r]] for r in rows]
-            marks = [(int(mix64(g).sum(dtype=np.uint64).astype(np.int64)),
-                      int(np.bitwise_xor.reduce(mix64(g + np.uint64(77))).astype(np.int64))) for g in cut]
+            rows = np.flatnonzero(n)
+            if not len(rows):
+                continue
+            end = np.cumsum(n)[rows]
+            first = end - n[rows]
             ids = np.asarray(batch.column("doc_id").cast(pa.int64()))
-            yield pa.RecordBatch.from_arrays([
-                pa.array(ids[rows], pa.int64()), pa.array(n[rows], pa.int64()),
-                pa.array([m[0] for m in marks], pa.int64()), pa.array([m[1] for m in marks], pa.int64()),
-                pa.array([_pack(g) for g in cut], pa.binary())], names=["doc_id", "n", "fp1", "fp2", "grams"])
-    return run, "doc_id long, n long, fp1 long, fp2 long, grams binary"
+            out = [pa.array(x.astype(np.int64)) for x in
+                   (ids[rows], n[rows], np.add.reduceat(mix64(gram), first),
+                    np.bitwise_xor.reduceat(mix64(gram + np.uint64(77)), first))]
+            if whole:
+                out.append(pa.array([_pack(gram[a:b]) for a, b in zip(first, end)], pa.binary()))
+            yield pa.RecordBatch.from_arrays(out, names=["doc_id", "n", "fp1", "fp2", "grams"][:len(out)])
+    return run, "doc_id long, n long, fp1 long, fp2 long" + ", grams binary" * whole
 
 
 def _pack(g: np.ndarray) -> bytes:
@@ -482,17 +487,19 @@ def jaccard_components(docs: DataFrame, words: int = 4, threshold: float = 0.85,
     docs = docs.select("doc_id", "text").filter("doc_id is not null")
     counts = written(shared_counts(docs, words, threshold, slack), "jaccard-counts")
     some = written(counts.filter("shared >= need and n_shingles > 0").select("doc_id"), "jaccard-some")
-    again = written(shared_counts(kept_rows(docs, some), words, threshold, 1.0)
-                    .filter("shared >= need and n_shingles > 0").select("doc_id"), "jaccard-again")
-    run, schema = _sets(words)
-    sets = written(kept_rows(docs, again).mapInArrow(run, schema), "jaccard-sets")
     # every distinct set is a point of its own; a doc_id with several texts holds several
     key = ["n", "fp1", "fp2"]
-    same = written(sets.groupBy(*key).agg(F.min("doc_id").alias("first")).withColumn("rep", F.monotonically_increasing_id()),
+    marks = written(kept_rows(docs, some).mapInArrow(*_sets(words, False)), "jaccard-marks")
+    same = written(marks.groupBy(*key).agg(F.min("doc_id").alias("doc_id")).withColumn("rep", F.monotonically_increasing_id()),
                    "jaccard-same")
-    own = written(sets.select("doc_id", *key).join(same, key).select("doc_id", "rep").distinct(), "jaccard-own")
-    points = written(sets.join(same.withColumnRenamed("first", "doc_id"), [*key, "doc_id"]).dropDuplicates(["rep"])
-                     .select("rep", "grams"), "jaccard-points")
+    own = written(marks.join(same.drop("doc_id"), key).select("doc_id", "rep").distinct(), "jaccard-own")
+    firsts = written(same.select("doc_id").distinct(), "jaccard-firsts")
+    again = written(shared_counts(kept_rows(docs, firsts), words, threshold, 1.0)
+                    .filter("shared >= need and n_shingles > 0").select("doc_id"), "jaccard-again")
+    left = written(same.join(again, "doc_id"), "jaccard-left")
+    sets = kept_rows(docs, again).mapInArrow(*_sets(words, True))
+    left = F.broadcast(left) if left.count() <= BROADCAST_SETS else left
+    points = written(sets.join(left, [*key, "doc_id"]).dropDuplicates(["rep"]).select("rep", "grams"), "jaccard-points")
     often = shared(points.sparkSession, frequent_grams(points, FREQUENT_LEAST, FREQUENT_MOST))
     run, schema = _prefix(threshold, often)
     cells = written(points.mapInArrow(run, schema).distinct(), "jaccard-cells")
